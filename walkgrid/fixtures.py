@@ -104,7 +104,7 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
         "-73.69e0 + ((s_suppkey * 104729) % 991) / 991e0 * 0.13e0 + {dx} * ((s_suppkey * 17) % 7 - 3) * 0.0012e0",
         "45.46e0 + ((s_suppkey * 7919) % 997) / 997e0 * 0.08e0 + {dy} * ((s_suppkey * 31) % 7 - 3) * 0.0009e0",
     )
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("path_id"), line.alias("line"))
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("path_id"), F.array(line).alias("parts"))
 
 
 def parks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,18 +18,36 @@ def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
     """Add ``lng``, ``lat`` of a point inside the polygon: the middle of the widest inside span of one scan line.
 
     The scan line runs halfway between the vertex latitudes next above and next below mid-height, so it meets no
-    vertex. Degenerate polygons (no height) give their first vertex. Row-local: no shuffle.
+    vertex. If it falls into the gap between the parts of a polygon, the first ring's own scan line is taken;
+    degenerate polygons (no height) give their first vertex. Row-local: no shuffle.
     """
     kept = df.columns
     first = F.get(F.get(F.col(rings), F.lit(0)), F.lit(0))
+
+    def lats(ring: Column) -> Column:
+        return F.transform(ring, lambda p: p["lat"])
+
+    def scan_line(values: str, out: str) -> dict[str, Column]:
+        mid = (F.array_min(values) + F.array_max(values)) / 2
+        return {
+            out: (F.array_min(F.filter(values, lambda v: v > mid)) + F.array_max(F.filter(values, lambda v: v <= mid))) / 2
+        }
+
     return (
-        df.withColumn("_lats", F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["lat"]))))
-        .withColumn("_mid", (F.array_min("_lats") + F.array_max("_lats")) / 2)
-        .withColumn("_above", F.array_min(F.filter("_lats", lambda v: v > F.col("_mid"))))
-        .withColumn("_below", F.array_max(F.filter("_lats", lambda v: v <= F.col("_mid"))))
-        .withColumn("_scan", (F.col("_above") + F.col("_below")) / 2)
-        .withColumn("_edges", F.filter(polygon_edges(F.col(rings)), lambda e: straddles(e, F.col("_scan"))))
-        .withColumn("_hits", F.array_sort(F.transform("_edges", lambda e: crossing_lng(e, F.col("_scan")))))
+        df.withColumns({
+            "_all": F.flatten(F.transform(rings, lats)),
+            "_one": lats(F.get(F.col(rings), F.lit(0))),
+            "_edges": polygon_edges(F.col(rings)),
+        })
+        .withColumns({**scan_line("_all", "_scan_all"), **scan_line("_one", "_scan_one")})
+        .withColumn(
+            "_scan",
+            F.when(F.exists("_edges", lambda e: straddles(e, F.col("_scan_all"))), F.col("_scan_all")).otherwise(
+                F.col("_scan_one")
+            ),
+        )
+        .withColumn("_crossed", F.filter("_edges", lambda e: straddles(e, F.col("_scan"))))
+        .withColumn("_hits", F.array_sort(F.transform("_crossed", lambda e: crossing_lng(e, F.col("_scan")))))
         .withColumn(
             "_spans",
             F.when(
@@ -52,84 +70,93 @@ def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
     )
 
 
-def _floor_div(x: Column, step: float) -> Column:
-    return F.floor(x / step)
-
-
-def points_in_polygons(points: DataFrame, keys: list[str], polygons: DataFrame, name: str) -> DataFrame:
-    """(keys, name) for every point (``lng``, ``lat``, unique on ``keys``) and polygon (``rings``) that holds it.
-
-    Two equi-joins instead of an all-pairs predicate: points meet polygons by a tile of the polygon's bounding box,
-    then the edges of just those polygons by latitude band. An odd number of edges to the east means inside; the
-    half-open test puts a point on a shared border in exactly one of the two polygons.
-    """
+def _tiles_and_edges(polygons: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Index of the polygons: bounding boxes by tile, and non-horizontal edges by latitude band."""
     shapes = polygons.select(
         F.col(name).alias("_name"),
         F.xxhash64("rings").alias("_shape"),
         polygon_edges(F.col("rings")).alias("_edges"),
     )
+    xs, ys = F.transform("_edges", lambda e: e["x1"]), F.transform("_edges", lambda e: e["y1"])
     boxes = shapes.select(
         "_name",
         "_shape",
-        *[
-            agg(F.transform("_edges", lambda e, c=c: e[c])).alias(alias)
-            for alias, agg, c in (
-                ("_x_lo", F.array_min, "x1"), ("_x_hi", F.array_max, "x1"),
-                ("_y_lo", F.array_min, "y1"), ("_y_hi", F.array_max, "y1"),
-            )
-        ],
+        F.array_min(xs).alias("_x_lo"),
+        F.array_max(xs).alias("_x_hi"),
+        F.array_min(ys).alias("_y_lo"),
+        F.array_max(ys).alias("_y_hi"),
     ).filter(F.col("_x_lo").isNotNull())
-    tiles = boxes.select(
-        "*", F.explode(F.sequence(_floor_div(F.col("_x_lo"), TILE_DEG), _floor_div(F.col("_x_hi"), TILE_DEG))).alias("_tx")
-    ).select(
-        "*", F.explode(F.sequence(_floor_div(F.col("_y_lo"), TILE_DEG), _floor_div(F.col("_y_hi"), TILE_DEG))).alias("_ty")
+
+    def steps(low: Column, high: Column, step: float) -> Column:
+        return F.explode(F.sequence(F.floor(low / step), F.floor(high / step)))
+
+    tiles = boxes.select("*", steps(F.col("_x_lo"), F.col("_x_hi"), TILE_DEG).alias("_tx")).select(
+        "*", steps(F.col("_y_lo"), F.col("_y_hi"), TILE_DEG).alias("_ty")
     )
     edges = (
         shapes.select("_name", "_shape", F.explode("_edges").alias("e"))
         .select("_name", "_shape", "e.*")
         .filter(F.col("y1") != F.col("y2"))
     )
-    edges = edges.select(
-        "*",
-        F.explode(
-            F.sequence(
-                _floor_div(F.least("y1", "y2"), BAND_DEG), _floor_div(F.greatest("y1", "y2"), BAND_DEG)
-            )
-        ).alias("_band"),
+    return tiles, edges.select(
+        "*", steps(F.least("y1", "y2"), F.greatest("y1", "y2"), BAND_DEG).alias("_band")
     )
 
-    placed = points.select(*keys, "lng", "lat").dropna(subset=["lng", "lat"])
-    near = (
-        placed.withColumn("_tx", _floor_div(F.col("lng"), TILE_DEG))
-        .withColumn("_ty", _floor_div(F.col("lat"), TILE_DEG))
-        .join(tiles, ["_tx", "_ty"])
-        .filter(F.col("lng").between(F.col("_x_lo"), F.col("_x_hi")) & F.col("lat").between(F.col("_y_lo"), F.col("_y_hi")))
-        .select(*keys, "lng", "lat", "_name", "_shape", _floor_div(F.col("lat"), BAND_DEG).alias("_band"))
+
+def with_containing_polygon(points: DataFrame, keys: list[str], polygons: DataFrame, name: str) -> DataFrame:
+    """``points`` (``lng``, ``lat``; unique on ``keys``) plus ``name`` of the polygon (``rings``) holding each, else null.
+
+    Two equi-joins instead of an all-pairs predicate: points meet polygons by a tile of the polygon's bounding box,
+    then the edges of just those polygons by latitude band. An odd number of edges to the east means inside; the
+    half-open test puts a point on a shared border in exactly one of the two polygons. Should polygons overlap, the
+    alphabetically first name wins. The row itself travels along, so the input is read once and not joined back.
+    """
+    tiles, edges = _tiles_and_edges(polygons, name)
+    c = F.col
+    in_box = c("lng").between(c("_x_lo"), c("_x_hi")) & c("lat").between(c("_y_lo"), c("_y_hi"))
+    rows = points.select(
+        *keys, "lng", "lat", F.struct(*points.columns).alias("_row"),
+        F.floor(c("lng") / TILE_DEG).alias("_ptx"), F.floor(c("lat") / TILE_DEG).alias("_pty"),
+        F.floor(c("lat") / BAND_DEG).alias("_pband"),
     )
-    edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
-    east = straddles(edge, F.col("lat")) & (F.col("lng") < crossing_lng(edge, F.col("lat")))
+    near = rows.join(tiles, (c("_ptx") == c("_tx")) & (c("_pty") == c("_ty")) & in_box, "left").select(
+        *keys, "lng", "lat", "_row", "_name", "_shape", "_pband"
+    )
+    edge_side = edges.withColumnsRenamed({"_name": "_ename", "_shape": "_eshape"})
+    crossed = near.join(
+        edge_side,
+        (c("_name") == c("_ename")) & (c("_shape") == c("_eshape")) & (c("_pband") == c("_band")),
+        "left",
+    )
+    edge = {k: c(k) for k in ("x1", "y1", "x2", "y2")}
+    east = straddles(edge, c("lat")) & (c("lng") < crossing_lng(edge, c("lat")))
     return (
-        near.join(edges, ["_name", "_shape", "_band"])
-        .groupBy(*keys, "_name", "_shape")
-        .agg(F.count_if(east).alias("_crossings"))
-        .filter(F.col("_crossings") % 2 == 1)
-        .select(*keys, F.col("_name").alias(name))
+        crossed.groupBy(*keys, "_name", "_shape")
+        .agg(F.first("_row").alias("_row"), F.count_if(east).alias("_crossings"))
+        .groupBy(*keys)
+        .agg(
+            F.first("_row").alias("_row"),
+            F.min(F.when(c("_crossings") % 2 == 1, c("_name"))).alias("_found"),
+        )
+        .select("_row.*", c("_found").alias(name))
     )
 
 
-def tag_municipality(
+def tag_cells(
     cells: DataFrame, boundaries: DataFrame, res: int = 10, grid: HexGrid = DEFAULT_GRID,
     unknown: str = UNKNOWN_MUNICIPALITY,
 ) -> DataFrame:
-    """Distinct (q, r, municipality) of the given cells: the boundary holding the centre, else ``unknown``.
-
-    Should boundaries overlap, the alphabetically first wins. The result has one row per cell; join it back on (q, r).
-    """
-    distinct = cells.select("q", "r").dropna().distinct()
+    """``cells`` (one row per q, r) plus ``municipality``: the boundary holding the cell's centre, else ``unknown``."""
     lng, lat = grid.center(F.col("q"), F.col("r"), res)
-    centers = distinct.select("q", "r", lng.alias("lng"), lat.alias("lat"))
-    inside = points_in_polygons(centers, ["q", "r"], boundaries, "municipality")
-    found = inside.groupBy("q", "r").agg(F.min("municipality").alias("municipality"))
-    return distinct.join(found, ["q", "r"], "left").select(
-        "q", "r", F.coalesce("municipality", F.lit(unknown)).alias("municipality")
-    )
+    centers = cells.withColumns({"lng": lng, "lat": lat})
+    tagged = with_containing_polygon(centers, ["q", "r"], boundaries, "municipality").drop("lng", "lat")
+    return tagged.withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))
+
+
+def tag_rows(
+    df: DataFrame, boundaries: DataFrame, res: int = 10, grid: HexGrid = DEFAULT_GRID,
+    unknown: str = UNKNOWN_MUNICIPALITY,
+) -> DataFrame:
+    """Any rows with (q, r) plus ``municipality``; the lookup runs once per distinct cell. No cell: ``unknown``."""
+    tagged = tag_cells(df.select("q", "r").dropna().distinct(), boundaries, res, grid, unknown)
+    return df.join(tagged, ["q", "r"], "left").withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))
