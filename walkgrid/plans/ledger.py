@@ -54,12 +54,12 @@ def stale_tables(snapshots: DataFrame, limits: DataFrame, now: Column) -> DataFr
     A snapshot exactly ``max_days`` old is still fresh; a table without snapshot is stale.
     """
     newest = snapshots.groupBy("asset").agg(F.max("ts").alias("ts"))
-    age = F.timestamp_diff("MICROSECOND", F.col("ts"), now)
+    age = now - F.col("ts")
     return limits.join(newest, "asset", "left").select(
         "asset",
         "max_days",
-        F.floor(age / 86_400_000_000).alias("age_days"),
-        F.coalesce(age > F.col("max_days").cast("long") * 86_400_000_000, F.lit(True)).alias("stale"),
+        F.extract(F.lit("DAY"), age).cast("long").alias("age_days"),
+        F.coalesce(age > F.make_dt_interval(F.col("max_days")), F.lit(True)).alias("stale"),
     )
 
 
