@@ -28,7 +28,12 @@ def arc_metres(dlat: Column, dlng: Column, cos1: Column, cos2: Column) -> Column
     """Haversine of given differences (radians) and cosines of latitude; rounding may not leave asin's domain."""
     half_lat, half_lng = F.sin(dlat / 2), F.sin(dlng / 2)
     a = half_lat * half_lat + cos1 * cos2 * half_lng * half_lng
-    return F.asin(F.least(F.lit(1.0), F.sqrt(a))) * (2 * EARTH_RADIUS_M)
+    return arc_of(F.sqrt(a))
+
+
+def arc_of(half_chord: Column) -> Column:
+    """Metres along the surface for half a chord of the unit sphere; missing stays missing (``least`` would hide it)."""
+    return F.asin(F.when(half_chord > 1.0, 1.0).otherwise(half_chord)) * (2 * EARTH_RADIUS_M)
 
 
 def to_wgs84(x: Column, y: Column, srid: int | None) -> tuple[Column, Column]:

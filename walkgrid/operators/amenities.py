@@ -85,14 +85,27 @@ def indexed(df: DataFrame, grid: HexGrid = DEFAULT_GRID, res: int = 10) -> DataF
     return df.withColumn(f"cell_r{res}", cell_id(res, q, r))
 
 
+def with_parent(
+    df: DataFrame, res: int, coarse: int, names: tuple[str, str] = ("pq", "pr"), grid: HexGrid = DEFAULT_GRID
+) -> DataFrame:
+    """Add the coarse cell of each fine cell (q, r).
+
+    The pair comes out of a generator: later filters and projections then refer to it instead of repeating the
+    nested arithmetic, which would grow with every level.
+    """
+    pq, pr = grid.parent(F.col("q"), F.col("r"), res, coarse)
+    pair = F.explode(F.array(F.struct(pq.alias(names[0]), pr.alias(names[1])))).alias("_parent")
+    return df.select("*", pair).select(*df.columns, f"_parent.{names[0]}", f"_parent.{names[1]}")
+
+
 def indexed_addresses(addresses: DataFrame, grid: HexGrid = DEFAULT_GRID) -> DataFrame:
-    """Add the analysis cell and its shard cell; rows without a cell are dropped."""
+    """Add the analysis cell and its shard cell; rows without a position (so without a cell) are dropped."""
     q, r = grid.axial(F.col("lng"), F.col("lat"), 10)
-    placed = addresses.withColumns({"_q": q, "_r": r}).filter(F.col("_q").isNotNull())
-    pq, pr = grid.parent(F.col("_q"), F.col("_r"), 10, 6)
-    return placed.withColumns(
-        {"cell_r10": cell_id(10, F.col("_q"), F.col("_r")), "cell_r6": cell_id(6, pq, pr)}
-    ).drop("_q", "_r")
+    placed = addresses.dropna(subset=["lng", "lat"]).withColumns({"q": q, "r": r})
+    sharded = with_parent(placed, 10, 6, grid=grid)
+    return sharded.withColumns(
+        {"cell_r10": cell_id(10, F.col("q"), F.col("r")), "cell_r6": cell_id(6, F.col("pq"), F.col("pr"))}
+    ).drop("q", "r", "pq", "pr")
 
 
 def indexed_parks(parks: DataFrame, grid: HexGrid = DEFAULT_GRID) -> DataFrame:

@@ -22,8 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from walkgrid.constants import CATEGORIES, DIST_COLUMNS, EARTH_RADIUS_M, EDGE_M, MAX_RING, SCORE_KNOTS
-from walkgrid.functions.geo import M_PER_DEG, arc_metres
+from walkgrid.constants import CATEGORIES, DIST_COLUMNS, EDGE_M, MAX_RING, SCORE_KNOTS
+from walkgrid.functions.geo import M_PER_DEG, arc_metres, arc_of
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, disk_offsets, ring_offsets
 from walkgrid.session import materialize
 
@@ -170,10 +170,7 @@ def _closest(
         .agg(*[F.min(F.when(F.col("cat") == i, F.col("chord2"))).alias(c) for i, c in enumerate(CATEGORIES, 1)])
     )
 
-    def metres(chord2: Column) -> Column:
-        return F.asin(F.least(F.lit(1.0), F.sqrt(chord2) / 2)) * (2 * EARTH_RADIUS_M)
-
-    found = least.select("lat", "lng", *[metres(F.col(c)).alias(f"dist_{c}") for c in CATEGORIES])
+    found = least.select("lat", "lng", *[arc_of(F.sqrt(c) / 2).alias(f"dist_{c}") for c in CATEGORIES])
     if radius is not None:
         found = found.select(
             "lat", "lng", *[F.when(F.col(d) <= radius, F.col(d)).alias(d) for d in DIST_COLUMNS]

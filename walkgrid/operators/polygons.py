@@ -62,11 +62,19 @@ def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
             ),
         )
         .withColumn("_widest", F.array_min("_spans"))
-        .select(
-            *[F.col(c) for c in kept if c not in ("lng", "lat")],
-            F.coalesce(F.col("_widest.lng"), first["lng"]).alias("lng"),
-            F.when(F.col("_widest").isNotNull(), F.col("_scan")).otherwise(first["lat"]).alias("lat"),
+        .withColumn(
+            "_point",
+            # a generator, so that later filters on the point do not drag the whole computation along
+            F.explode(
+                F.array(
+                    F.struct(
+                        F.coalesce(F.col("_widest.lng"), first["lng"]).alias("lng"),
+                        F.when(F.col("_widest").isNotNull(), F.col("_scan")).otherwise(first["lat"]).alias("lat"),
+                    )
+                )
+            ),
         )
+        .select(*[F.col(c) for c in kept if c not in ("lng", "lat")], "_point.lng", "_point.lat")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from walkgrid.constants import CATEGORIES, CATEGORY_LABELS, SCORE_COLUMNS, UNKNOWN_MUNICIPALITY
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, cell_id
 from walkgrid.functions.text import label, match_key
+from walkgrid.operators.amenities import with_parent
 
 VALUE_COLUMNS = ("livability", *SCORE_COLUMNS)
 
@@ -40,10 +41,8 @@ def hex_rollup(scores: DataFrame, res: int = 9, fine: int = 10, grid: HexGrid =
 
     The means and the mode share one aggregate per (coarse cell, municipality) and one per coarse cell.
     """
-    pq, pr = grid.parent(F.col("q"), F.col("r"), fine, res)
     parts = (
-        scores.dropna(subset=["q", "r"])
-        .withColumns({"pq": pq, "pr": pr})
+        with_parent(scores.dropna(subset=["q", "r"]), fine, res, grid=grid)
         .groupBy("pq", "pr", "municipality")
         .agg(F.count("*").alias("_n"), *_weighted_sums())
     )

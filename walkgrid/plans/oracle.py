@@ -55,9 +55,9 @@ def cell(res: int = 10, q: str = "q", r: str = "r") -> str:
 
 
 def metres(lng1: str, lat1: str, lng2: str, lat2: str) -> str:
-    return f"""({num(2 * EARTH_RADIUS_M)} * asin(least(1e0, sqrt(
+    return f"""({num(2 * EARTH_RADIUS_M)} * asin(sqrt(
       pow(sin((radians({lat2}) - radians({lat1})) / 2), 2)
-      + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lng2}) - radians({lng1})) / 2), 2)))))"""
+      + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lng2}) - radians({lng1})) / 2), 2))))"""
 
 
 def score(d: str) -> str:

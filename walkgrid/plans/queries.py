@@ -56,11 +56,11 @@ def cell_index(spark, sf):
 
 
 def cell_parent(spark, sf):
-    cells = _address_cells(spark, sf)
-    out = {"cell": _cell()}
-    for coarse in (9, 6):
-        out[f"parent_r{coarse}"] = cell_id(coarse, *GRID.parent(F.col("q"), F.col("r"), 10, coarse))
-    return cells.select(*[c.alias(n) for n, c in out.items()])
+    cells = am.with_parent(_address_cells(spark, sf), 10, 9, ("q9", "r9"))
+    cells = am.with_parent(cells, 10, 6, ("q6", "r6"))
+    return cells.select(
+        _cell().alias("cell"), _cell(9, "q9", "r9").alias("parent_r9"), _cell(6, "q6", "r6").alias("parent_r6")
+    )
 
 
 def cell_center(spark, sf):
@@ -237,8 +237,8 @@ def category_share(spark, sf):
 
 
 def map_center(spark, sf):
-    q, r = GRID.parent(F.col("q"), F.col("r"), 10, 9)
-    hexes = _address_cells(spark, sf).select(q.alias("q"), r.alias("r")).distinct()
+    parents = am.with_parent(_address_cells(spark, sf), 10, 9)
+    hexes = parents.select(F.col("pq").alias("q"), F.col("pr").alias("r")).distinct()
     return rounded(rollup.map_center(hexes), 6, "lat", "lng")
 
 
