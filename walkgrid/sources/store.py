@@ -141,7 +141,7 @@ class SnapshotStore:
         )
         self._append_log(location, gone)
 
-    def _open(self, location: str, stamps: list[str], schema: T.StructType, shard_column: str | None) -> DataFrame:
+    def _open(self, location: str, stamps: list[str], schema: T.StructType) -> DataFrame:
         data = self._data(location)
         full = T.StructType([*schema.fields, T.StructField("stamp", T.StringType())])
         reader = self.spark.read.schema(full).option("basePath", data)
@@ -159,16 +159,18 @@ class SnapshotStore:
         schema = T.StructType.fromJson(json.loads(newest["schema"]))
         column = newest["shard_column"]
         if column is None:
-            return self._open(location, [newest["stamp"]], schema, None).drop("stamp")
+            return self._open(location, [newest["stamp"]], schema).drop("stamp")
+        # runs since the last whole write: a handful
+        whole = log.filter("full").agg(F.max("stamp")).first()[0] or ""
+        stamps = sorted(r["stamp"] for r in log.filter(F.col("stamp") >= whole).select("stamp").distinct().collect())
         registry = self.shards(location)
-        # stamps in play are the runs since the last whole write: a handful
-        stamps = sorted(r["stamp"] for r in registry.select("stamp").distinct().collect())
-        if not stamps:
+        written = sorted(r["stamp"] for r in registry.select("stamp").distinct().collect())
+        if not written:
             return self.spark.createDataFrame([], schema)
-        df = self._open(location, stamps, schema, column)
+        df = self._open(location, written, schema)
         if shard is not None:
             df = df.filter(F.col(column) == shard)
-        if len(stamps) > 1:
+        if len(stamps) > 1:  # some shard has been replaced or dropped since
             current = registry.select(F.col("shard").alias(column), "stamp")
             df = df.join(current, [column, "stamp"], "left_semi")
         return df.select(*schema.names)
