@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from walkgrid.constants import CATEGORIES, DIST_COLUMNS, EDGE_M, MAX_RING, SCORE_KNOTS
@@ -30,7 +30,7 @@ from walkgrid.session import materialize
 RADIUS_M = SCORE_KNOTS[-1][0]
 
 # Most position pairs one pair of cells may produce before it is split.
-MAX_PRODUCT = 2048
+MAX_PRODUCT = 8192
 
 # Cells of this many halvings are smaller than a double can tell positions apart on the ground.
 MAX_LEVEL = 30
@@ -138,9 +138,10 @@ def _closest(
     partitions = _partitions(pairs)
     candidates = []
     level = 0
-    pairs = materialize(_pruned(pairs, radius), "nearest-pairs")
     while True:
         small = F.col("product") <= max_product if level < MAX_LEVEL else F.lit(True)
+        crowded = Observation()  # counted while the pairs are written, so asking costs no job
+        pairs = materialize(_pruned(pairs, radius).observe(crowded, F.count_if(~small).alias("n")), "nearest-pairs")
         a = seekers.withColumn("aj", _sub_cell(F.col("lat"), side_deg, level)).withColumn(
             "ai", _sub_cell(F.col("lng"), side_deg, level)
         )
@@ -159,10 +160,9 @@ def _closest(
             .join(a, A_CELL)
             .select("lat", "lng", "cat", (dx * dx + dy * dy + dz * dz).alias("chord2"))
         )
-        deep = pairs.filter(~small)
-        if deep.isEmpty():
+        if crowded.get["n"] == 0:
             break
-        pairs = materialize(_pruned(_split(deep, seekers, targets, side_deg, level), radius), "nearest-pairs")
+        pairs = _split(pairs.filter(~small), seekers, targets, side_deg, level)
         level += 1
     least = (
         reduce(DataFrame.unionByName, candidates)

@@ -81,11 +81,12 @@ def ring_cells(spark, sf):
     ring = _address_cells(spark, sf).select("q", "r", F.explode(disk_offsets(10)).alias("o"))
     ring = ring.select("q", "r", (F.col("q") + F.col("o.dq")).alias("nq"), (F.col("r") + F.col("o.dr")).alias("nr"))
     k = hex_distance(F.col("q"), F.col("r"), F.col("nq"), F.col("nr")).alias("k")
-    return ring.select(_cell().alias("cell"), k, "nq", "nr").groupBy("cell", "k").agg(
+    sums = ring.select("q", "r", k, "nq", "nr").groupBy("q", "r", "k").agg(
         F.count("*").alias("n_cells"),
         F.sum(F.col("nq") * 1009 + F.col("nr")).alias("checksum"),
         F.sum(F.col("nq").cast("long") * F.col("nr")).alias("product_sum"),
     )
+    return sums.select(_cell().alias("cell"), "k", "n_cells", "checksum", "product_sum")
 
 
 def line_trace(spark, sf):
