@@ -4,9 +4,8 @@ import pytest
 from compare import difference, oracle_connection
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from walkgrid.plans.oracle import ORACLE
+from walkgrid.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,7 @@ def con(sf_dir):
 
 def test_every_query_has_a_text():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
