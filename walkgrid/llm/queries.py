@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkgrid.llm import decontam, langid, line_dedup, near_dedup, packing
+from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "source", "n_lines", "n_dropped", F.length("kept_text").cast("long").alias("kept_chars"), F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,6 +51,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_fingerprint": op2_fingerprint,
     "op3_line_dedup": op3_line_dedup,
     "op5_pack": op5_pack,
     "op7_near_dedup": op7_near_dedup,
