@@ -50,7 +50,7 @@ _ODD = np.uint64(0x5851F42D4C957F2D)
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64, and of its inverse."""
     if len(_TABLES.get("up", ())) < n:
         size = 1 << max(16, (n - 1).bit_length())
@@ -84,7 +84,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(start):
         return np.empty(0, np.uint64)
-    up, down = _powers(len(raw) + 1)
+    up, down = powers(len(raw) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])))
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing
+from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "n_lines", "n_dropped", F.length("kept_text").cast("long").alias("kept_chars"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_first=False)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprint": op2_fingerprint,
     "op3_line_dedup": op3_line_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pack": op5_pack,
     "op7_near_dedup": op7_near_dedup,
     "op10_language": op10_language,
