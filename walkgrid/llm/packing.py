@@ -22,7 +22,7 @@ from walkgrid.session import materialize
 
 CAPACITY = 2048
 #: Pieces that one packing task holds at most, about.
-GROUP = 16_000
+GROUP = 3_000
 #: Stretches of which a worker remembers the ids: about 200 bytes each.
 MEMO = 800_000
 
