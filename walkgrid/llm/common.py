@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from walkgrid.session import materialize
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -33,9 +35,22 @@ def with_columns_in_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict[s
     return df.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
-def row_key(*columns: str) -> Column:
-    """Rows equal in all these columns, and as good as no others, share it."""
-    return F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns), F.lit(1))
+def table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, with the shuffle files of the write let go at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``k2, k1, doc_id, text``: two numbers that name a row (equal for rows equal in id and text), first in order of a
+    numeric id. Ids that are null or no numbers are hashed."""
+    number = F.coalesce(F.expr(f"try_cast(`{doc_id}` as bigint)"), F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("\0"))))
+    return docs.select(number.alias("k2"), F.xxhash64(F.col(text)).alias("k1"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,7 +60,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_PIECE = 1 << 21
+_PIECE, _SPACE = 1 << 20, re.compile(rb"[\x20\x09-\x0D]")
 _ODD = np.uint64(0x5851F42D4C957F2D)
 _TABLES: dict[str, np.ndarray] = {}
 
@@ -64,29 +79,32 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES["up"][:n], _TABLES["down"][:n]
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) of a text, in order."""
-    if len(text) > _PIECE:  # the tables of powers stay small
-        words, parts, own = text.split(), [], b""
-        for w in words:
-            if len(w) > _PIECE:
-                w = hashlib.blake2b(w.lower(), digest_size=16).hexdigest().encode()
-            own += b" " + w
-            if len(own) > _PIECE // 2:
-                parts.append(word_hashes(own))
-                own = b""
-        return np.concatenate([*parts, word_hashes(own)])
+def words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash, start and end (bytes) of each word (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) of a text, in order."""
+    if len(text) > 2 * _PIECE:  # pieces end at white space, so that the tables of powers stay small
+        parts, at = [], 0
+        while at < len(text):
+            found = _SPACE.search(text, min(at + _PIECE, len(text)))
+            end = found.start() if found else len(text)
+            h, start, stop = words(text[at:end]) if end - at <= 2 * _PIECE else _words(text[at:end])
+            parts.append((h, start + at, stop + at))
+            at = end
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    return _words(text)
+
+
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(text.lower(), np.uint8)
-    if not len(raw):
-        return np.empty(0, np.uint64)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(np.concatenate(([True], space, [True])).view(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(start):
-        return np.empty(0, np.uint64)
     up, down = powers(len(raw) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])))
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), start, end
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    return words(text)[0]
 
 
 def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import raw_texts, with_columns_in_arrow
-from walkgrid.session import materialize
+from walkgrid.llm.common import raw_texts, table, with_columns_in_arrow
 
 #: Windows (and distinct words) of one automaton at most. What is broadcast is bounded by it; more windows make more automata.
 BLOCK_WINDOWS = 300_000
@@ -121,7 +120,7 @@ def find_benchmark_text(docs: DataFrame, benchmark: DataFrame, text: str = "text
     out = docs
     for k, block in enumerate(_blocks(benchmark, item_id, item_text, window)):
         if k:
-            out = materialize(out, "decontam")  # else the automata of all passes would sit in memory together
+            out = table(out, "decontam")  # else the automata of all passes would sit in memory together
         out = _pass(out, sc.broadcast(block), k, text)
     return out
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walkgrid.session import materialize
+from walkgrid.llm.common import table
+
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -15,11 +16,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     minimum and join, so a hub is no single task's work, and the number of rounds grows with the logarithm of the longest
     chain. Every round is a table in the shared folder; the driver only sees whether a round changed anything.
     """
-    now = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    now = table(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     state = _state(now)
     while state[0]:
         large = _star(now.union(now.select("b", "a")), larger_only=True)
-        now = materialize(_star(large, larger_only=False), label)
+        now = table(_star(large, larger_only=False), label)
         state, before = _state(now), state
         if state == before:
             break

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from walkgrid.session import materialize
+from walkgrid.llm.common import table
+
 
 #: The band of inverse document frequency: terms in one of 50 to one of 500 documents. It has at most 500 times as many terms as
 #: a document has distinct terms on average, whatever the number of documents.
@@ -26,7 +27,7 @@ def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
     """``term`` (64-bit hash) of the terms inside the band, counted over all documents. Fewer than two documents never make a term."""
     n = docs.count()
     counts = docs.select(F.explode(terms(F.col(text))).alias("w")).groupBy(F.xxhash64("w").alias("term")).agg(F.count("*").alias("n"))
-    return materialize(counts.filter((F.col("n") >= max(2.0, n / LEAST)) & (F.col("n") <= max(3.0, n / MOST))).select("term"), "lexicon")
+    return table(counts.filter((F.col("n") >= max(2.0, n / LEAST)) & (F.col("n") <= max(3.0, n / MOST))).select("term"), "lexicon")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -42,7 +43,7 @@ def successors(rows: DataFrame, doc_id: str) -> DataFrame:
     light = rows.select(F.col(doc_id).alias("id"), "k1", "k2", F.length("text").alias("chars")).distinct()
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The range of a row must not be found out anew by each reader, hence the table.
-    light = materialize(light.repartitionByRange(width, *order).withColumn("range", F.spark_partition_id()), "order")
+    light = table(light.repartitionByRange(width, *order).withColumn("range", F.spark_partition_id()), "order")
     last = light.groupBy("range").agg(F.max(F.struct(F.col("id").isNotNull().alias("known"), *order, "chars")).alias("end"))
     ends = last.select("range", F.lag("end").over(Window.orderBy("range")).alias("end"), F.max("range").over(Window.partitionBy(F.lit(0))).alias("top"))
     # One row per range: bounded by the number of partitions.
@@ -95,7 +96,7 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Each text is shuffled once, by its key, and a quarter of it once more, to its predecessor; all grouping stays on that key.
     """
     keyed = _keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    follow = materialize(successors(keyed, "doc_id"), "successors")
+    follow = table(successors(keyed, "doc_id"), "successors")
     words = lexicon(docs, text)
     start = keyed.join(follow, ["k1", "k2"]).select("p1", "p2", F.left("text", F.floor(F.col("p_chars") / 4).cast("int")).alias("start"))
     start = start.dropDuplicates(["p1", "p2"]).select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "start")
@@ -112,7 +113,7 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         _text_of(F.col("slots0"), F.col("text")).alias("fingerprint"),
         _text_of(F.col("slots1"), F.col("edited")).alias("edited_fingerprint"),
     )
-    found = materialize(found, "fingerprints")
+    found = table(found, "fingerprints")
     nexts = found.select("k1", "k2", "fingerprint").dropDuplicates(["k1", "k2"]).join(follow, ["k1", "k2"]).select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.col("fingerprint").alias("_next"))
     return found.join(nexts, ["k1", "k2"]).select(
         "doc_id",

@@ -19,7 +19,7 @@ WIDTH = 4096
 SAMPLE_ROWS, MAX_LANGUAGES = 4000, 200
 CENTROIDS = 4
 #: A text farther from every centroid than this share of the cosine that its language's training texts reach is rejected.
-REJECT_SHARE = 0.5
+REJECT_SHARE = 0.3
 
 _SHIFT = np.uint32(32 - 12)
 #: A-Z lower-cased; digits, punctuation and controls become one separator.

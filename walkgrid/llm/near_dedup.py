@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import Batches, mix, raw_texts, shingle_hashes, with_columns_in_arrow, word_hashes
+from walkgrid.llm.common import Batches, mix, raw_texts, shingle_hashes, table, with_columns_in_arrow, word_hashes
 from walkgrid.llm.graph import components
-from walkgrid.session import materialize
 
 SHINGLE, PERCENT = 5, 75
 #: Trees of the forest; values that the rows of a region share at least; values that order a tree. A pair of likeness 0.75
@@ -149,7 +148,7 @@ def _labelled(nodes: DataFrame, node: str, labels: DataFrame, out: str) -> DataF
 
 def _rest(crowd: DataFrame, labels: DataFrame, sigs: DataFrame, tested: DataFrame) -> DataFrame:
     """Pairs that share a region, lie in different components, look alike and have not been compared yet."""
-    rows = materialize(_labelled(crowd, "node", labels, "comp"), "near-crowd")
+    rows = table(_labelled(crowd, "node", labels, "comp"), "near-crowd")
     mixed = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("region", "n")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -174,27 +173,27 @@ def links(sets: DataFrame, texts_of) -> DataFrame:
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = sets.mapInArrow(_orders, "region long, deep long, node binary")
     sort = ["region", "deep", "node"]
-    met = materialize(
+    met = table(
         orders.repartitionByRange(width, *sort).sortWithinPartitions(*sort).mapInArrow(_neighbours, "region long, node binary, other binary").filter("other is not null"),
         "near-met",
     )
     both = met.select("node", "other").union(met.select("other", "node")).groupBy("node", "other").agg(F.count("*").alias("n"))
     best = both.groupBy("node").agg(F.max(F.struct("n", "other")).alias("m")).select("node", F.col("m.other").alias("other"))
-    first = materialize(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-first")
+    first = table(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-first")
     crowd = met.select("region", "node").union(met.select("region", F.col("other").alias("node"))).distinct()
-    texts = materialize(texts_of(met.select("node").union(met.select("other")).distinct()), "near-texts")
-    done = materialize(confirm(first, texts), "near-confirmed")
-    labels = materialize(components(done.filter("linked"), "near-components"), "near-labels")
-    rest = materialize(_rest(crowd, labels, sets, done), "near-rest")
+    texts = table(texts_of(met.select("node").union(met.select("other")).distinct()), "near-texts")
+    done = table(confirm(first, texts), "near-confirmed")
+    labels = table(components(done.filter("linked"), "near-components"), "near-labels")
+    rest = table(_rest(crowd, labels, sets, done), "near-rest")
     for everything in (False, True):
         across = _labelled(_labelled(rest.join(done.select("a", "b"), ["a", "b"], "left_anti"), "a", labels, "ca"), "b", labels, "cb").filter("ca != cb")
         if not everything:
             two = (F.least("ca", "cb"), F.greatest("ca", "cb"))
             across = across.groupBy(two[0].alias("ca"), two[1].alias("cb")).agg(F.max(F.struct("share", "a", "b")).alias("m")).select("m.a", "m.b")
-        tested = materialize(confirm(across, texts), "near-confirmed")
+        tested = table(confirm(across, texts), "near-confirmed")
         done = done.unionByName(tested)
         if not tested.filter("linked").isEmpty():
-            labels = materialize(components(done.filter("linked"), "near-components"), "near-labels")
+            labels = table(components(done.filter("linked"), "near-components"), "near-labels")
     return labels
 
 
@@ -214,9 +213,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     group only if all are null. Repeated rows (same id, same text) get the same answer. An empty table gives no rows.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = materialize(signed(base.withColumn("key", _text_key("doc_id", "text")), "text").drop("text"), "near-signed")
+    rows = table(signed(base.withColumn("key", _text_key("doc_id", "text")), "text").drop("text"), "near-signed")
     sets = rows.filter("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.min("key").alias("key"), F.min("doc_id").alias("doc_id"))
-    sets = materialize(sets, "near-sets")
+    sets = table(sets, "near-sets")
     keyed = base.withColumn("key", _text_key("doc_id", "text")).select("key", "text")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
@@ -226,7 +225,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = links(sets.select("node", "sig"), texts_of)
     least = _labelled(sets.select("node", "doc_id"), "node", labels, "comp")
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_set = materialize(least.select("node", "comp").join(smallest, "comp").select("node", "component_id"), "near-of-set")
+    of_set = table(least.select("node", "comp").join(smallest, "comp").select("node", "component_id"), "near-of-set")
     out = rows.select("doc_id", "n_shingles", "node", "key").join(of_set, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "key", F.col("node").isNull().alias("empty"))

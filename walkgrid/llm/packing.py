@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from walkgrid.session import materialize
+from walkgrid.llm.common import table
+
 
 CAPACITY = 2048
 #: Pieces that one packing task holds at most, about.
@@ -262,7 +263,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     while True:
         groups, last_round = max(1, -(-rows // GROUP)), rows <= GROUP
         dealt = rest.withColumn("_group", F.pmod(F.xxhash64(*columns, F.lit(n_round)), F.lit(groups)).cast("int"))
-        packed = materialize(dealt.groupBy("_group").applyInPandas(_packer(columns, length, capacity, n_round, last_round), schema), "packed")
+        packed = table(dealt.groupBy("_group").applyInPandas(_packer(columns, length, capacity, n_round, last_round), schema), "packed")
         closed = packed.filter("not _open").drop("_open")
         done = closed if done is None else done.unionByName(closed)
         if last_round:
@@ -281,6 +282,6 @@ def tokenizer_path() -> str:
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """All documents cut and packed; see ``pieces`` and ``pack``."""
-    return pack(materialize(pieces(docs, path or tokenizer_path()), "pieces"))
+    return pack(table(pieces(docs, path or tokenizer_path()), "pieces"))
 
 

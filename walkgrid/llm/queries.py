@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing, suffix_dedup
+from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraph_dedup.remove_repeated_paragraphs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_paragraphs", "n_repeated", "n_removed", F.length("kept_text").cast("long").alias("kept_chars"), "kept_sha256")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     model = langid.fit(docs.filter("not held_out").select("doc_id", "text", "lang"))
@@ -61,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pack": op5_pack,
     "op7_near_dedup": op7_near_dedup,
+    "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_language": op10_language,
 }

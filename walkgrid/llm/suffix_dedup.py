@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import Batches, mix, powers, raw_texts
-from walkgrid.session import materialize
+from walkgrid.llm.common import Batches, keyed, mix, powers, raw_texts, table
 
 LENGTH, GRAM = 200, 48
 #: Windows of a text that are hashed at a time.
@@ -164,7 +163,7 @@ def _crowded(cut: DataFrame) -> DataFrame:
     combined before the shuffle, so neither a gram nor a window is one task's work."""
     rows = cut.filter("many").mapInArrow(_windows, "k2 long, k1 long, gram long, own long, at long, i int, h1 long, h2 long").dropDuplicates(["gram", "own", "i"])
     place = F.struct("k2", "k1", (F.shiftright("at", 8) + F.col("i")).alias("p"))
-    twice = materialize(rows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(place).alias("first")).filter("c > 1"), "suffix-crowded")
+    twice = table(rows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(place).alias("first")).filter("c > 1"), "suffix-crowded")
     found = rows.join(twice, ["h1", "h2"]).withColumn("later", place > F.col("first"))
     run = F.array("i", F.col("i") + 1)
     return found.groupBy("gram", "own").agg(F.flatten(F.collect_list(F.when(F.col("later"), run))).alias("earlier"), F.flatten(F.collect_list(run)).alias("other"))
@@ -207,19 +206,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Shuffled are 24 to 48 bytes for each stretch (one for about 77 bytes of text), then only stretches whose gram occurs again,
     and each text once. Joins on a gram or stretch have one row per key on one side, so the hot side can be split.
     """
-    number = F.coalesce(F.expr(f"try_cast(`{doc_id}` as bigint)"), F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("\0"))))
-    keyed = docs.select(number.alias("k2"), F.xxhash64(F.col(text)).alias("k1"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    every = keyed.mapInArrow(_stretched, "k2 long, k1 long, gram long, own long, at long")
-    again = materialize(every.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "suffix-grams")
-    found = materialize(every.join(again, "gram"), "suffix-found")
+    rows = keyed(docs, doc_id, text)
+    every = rows.mapInArrow(_stretched, "k2 long, k1 long, gram long, own long, at long")
+    again = table(every.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "suffix-grams")
+    found = table(every.join(again, "gram"), "suffix-found")
     place = F.struct("k2", "k1", "at")
-    kinds = materialize(found.groupBy("gram", "own").agg(F.count("*").alias("c"), F.min(place).alias("first")), "suffix-kinds")
+    kinds = table(found.groupBy("gram", "own").agg(F.count("*").alias("c"), F.min(place).alias("first")), "suffix-kinds")
     mixed = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("gram", (F.col("kinds") > BUCKET).alias("many"))
     parts = kinds.join(mixed, "gram").groupBy(F.col("first.k2").alias("k2"), F.col("first.k1").alias("k1")).agg(F.collect_list(F.struct("gram", "own", "first.at", "many")).alias("parts"))
-    cut = keyed.join(parts, ["k2", "k1"]).select("k2", "k1", "text", "parts").mapInArrow(_cut_out, _CUT)
-    cut = materialize(cut, "suffix-cut")
+    cut = rows.join(parts, ["k2", "k1"]).select("k2", "k1", "text", "parts").mapInArrow(_cut_out, _CUT)
+    cut = table(cut, "suffix-cut")
     few = cut.filter("not many").select("gram", "own", "bytes", "n", "k2", "k1", "at").repartition("gram").sortWithinPartitions("gram", "k2", "k1", "at").mapInArrow(_match, _MATCHED)
-    matched = materialize(few.unionByName(_crowded(cut)), "suffix-matched")
+    matched = table(few.unionByName(_crowded(cut)), "suffix-matched")
     none = F.array().cast("array<int>")
     whole = F.array(F.lit(0), F.pmod("at", F.lit(256)).cast("int"))
     is_first = place == F.col("first")
@@ -231,4 +229,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.array(F.col("start") + F.get("runs", i), F.col("start") + F.get("runs", i + 1)))
     spans = spans.filter(F.size("runs") > 0).select("k2", "k1", F.explode(pairs).alias("run")).groupBy("k2", "k1").agg(F.collect_list("run").alias("runs"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *T._parse_datatype_string("n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary, kept_sha256 string").fields])
-    return keyed.join(spans, ["k2", "k1"], "left").select("doc_id", "text", "runs").mapInArrow(_remove, schema)
+    return rows.join(spans, ["k2", "k1"], "left").select("doc_id", "text", "runs").mapInArrow(_remove, schema)
