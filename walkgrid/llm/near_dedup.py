@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,10 +17,10 @@ SHINGLE, PERCENT = 5, 75
 TREES, ROOT, DEPTH = 24, 3, 5
 #: Rows before it in the sorted order that a row is first compared with.
 NEAR = 4
-#: Pairs whose signatures agree in less of their values are not compared in full: at likeness 0.75 that is 5 deviations off.
+#: Candidates whose signatures agree in less of their values make no cluster: at likeness 0.75 that is 5 deviations off.
 SKETCH = 0.55
-#: Rows of a region that one task compares at most; larger regions are cut into blocks, compared two by two.
-BLOCK = 2048
+#: Sets of a cluster that one task compares at most, and sets that all blocks of a larger cluster share, about.
+BLOCK, PIVOTS = 1024, 128
 
 _SEEDS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -86,58 +84,72 @@ def _neighbours(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["region", "node", "other"])
 
 
-def _confirm(batches: Batches) -> Batches:
+def _alike(batches: Batches) -> Batches:
+    """Candidate pairs whose signatures agree in enough values."""
     for batch in batches:
-        keep = []
-        for x, y in zip(raw_texts(batch.column("ta")), raw_texts(batch.column("tb")), strict=True):
-            a, b = shingle_hashes(word_hashes(x), SHINGLE), shingle_hashes(word_hashes(y), SHINGLE)
-            common = 0
-            if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b)):
-                common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
-
-
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, linked`` of each pair, judged on the full sets of the two texts (``node, text``)."""
-    a, b = (texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}")) for n in "ab")
-    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(_confirm, "a binary, b binary, linked boolean")
-
-
-def _across(batches: Batches) -> Batches:
-    """Of rows sorted by region and block: pairs of different components whose signatures agree in enough values."""
-
-    def groups() -> Iterator[tuple[list, list, list, list]]:
-        key, rows = None, ([], [], [], [])
-        for batch in batches:
-            for r, x, y, own, node, comp, sig in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if (r, x, y) != key:
-                    if len(rows[0]) > 1:
-                        yield rows
-                    key, rows = (r, x, y), ([], [], [], [])
-                for o, v in zip(rows, (own, node, comp, sig), strict=True):
-                    o.append(v)
-        if len(rows[0]) > 1:
-            yield rows
-
-    for own, node, comp, sig in groups():
-        s, side = np.frombuffer(b"".join(sig), "<u4").reshape(len(node), -1), np.array(own)
-        label = np.unique([c.hex() for c in comp], return_inverse=True)[1]
-        two = side.min() != side.max()  # a pair of blocks: only across
-        a, b, share = [], [], []
-        for i in range(len(node) - 1):
-            ok = label[i + 1 :] != label[i]
-            if two:
-                ok &= side[i + 1 :] != side[i]
-            at = np.flatnonzero(ok) + i + 1
-            if len(at):
-                agree = (s[at] == s[i]).mean(1)
-                for j, g in zip(at[agree >= SKETCH], agree[agree >= SKETCH], strict=True):
-                    a.append(min(node[i], node[j]))
-                    b.append(max(node[i], node[j]))
-                    share.append(float(g))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(share, pa.float64())], ["a", "b", "share"])
+        if batch.num_rows:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+            yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(1) >= SKETCH))
+
+
+def block_links(texts: list[bytes], label: list, seeks: list[bool]) -> list[tuple[int, int]]:
+    """Links among the texts of a block that join different labels, as few as join them all: positions of two texts each.
+
+    An inverted index of the full shingle sets gives the exact intersection of one text with all others at a time. Only texts
+    that seek are compared with all others.
+    """
+    sets = [shingle_hashes(word_hashes(t), SHINGLE) for t in texts]
+    size = np.array([len(s) for s in sets])
+    value, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(value, kind="stable")
+    holder = doc[order]
+    new = np.concatenate(([True], value[order][1:] != value[order][:-1]))
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(value)))
+    term = np.empty(len(value), np.int64)
+    term[order] = np.cumsum(new) - 1
+    at = np.concatenate(([0], np.cumsum(size)))
+    up = np.unique(label, return_inverse=True)[1].reshape(-1)  # label of the group that each text is in by now
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(seeks):
+        if (up == up[0]).all():
+            break
+        own = term[at[i] : at[i + 1]]
+        own = own[count[own] > 1]
+        n = count[own]
+        where = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(holder[where], minlength=len(sets))
+        for j in np.flatnonzero((100 * common >= PERCENT * (size[i] + size - common)) & (up != up[i])):
+            if up[j] != up[i]:
+                links.append((int(i), int(j)))
+                up[up == up[j]] = up[i]
+    return links
+
+
+def _blocks(batches: Batches) -> Batches:
+    """Links of each block of rows that are sorted by cluster and block."""
+
+    def done(rows: list[tuple]) -> pa.RecordBatch:
+        found = block_links([r[3] for r in rows], [r[2] for r in rows], [r[4] for r in rows])
+        nodes = [r[1] for r in rows]
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.binary()), pa.array([nodes[j] for _, j in found], pa.binary())], ["a", "b"])
+
+    key, rows = None, []
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("cluster", "x", "y", "node", "label", "seeks")]
+        for c, x, y, node, label, seeks, text in zip(*cols, raw_texts(batch.column("text")), strict=True):
+            if (c, x, y) != key:
+                if len(rows) > 1:
+                    yield done(rows)
+                key, rows = (c, x, y), []
+            rows.append(((c, x, y), node, label.hex(), text, seeks))
+    if len(rows) > 1:
+        yield done(rows)
+
+
+def _linked(blocks: DataFrame, texts: DataFrame) -> DataFrame:
+    rows = blocks.join(texts, "node").select("cluster", "x", "y", "node", "label", "seeks", "text")
+    return rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y").mapInArrow(_blocks, "a binary, b binary")
 
 
 def _labelled(nodes: DataFrame, node: str, labels: DataFrame, out: str) -> DataFrame:
@@ -146,54 +158,47 @@ def _labelled(nodes: DataFrame, node: str, labels: DataFrame, out: str) -> DataF
     return nodes.join(own, node, "left").withColumn(out, F.coalesce(out, node))
 
 
-def _rest(crowd: DataFrame, labels: DataFrame, sigs: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs that share a region, lie in different components, look alike and have not been compared yet."""
-    rows = table(_labelled(crowd, "node", labels, "comp"), "near-crowd")
-    mixed = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("region", "n")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    every = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.least(i, F.col("own")).alias("x"), F.greatest(i, F.col("own")).alias("y")))
-    dealt = rows.join(mixed, "region").join(sigs, "node").withColumn("own", own).withColumn("_at", F.explode(every))
-    dealt = dealt.select("region", "_at.x", "_at.y", "own", "node", "comp", "sig")
-    found = dealt.repartition("region", "x", "y").sortWithinPartitions("region", "x", "y").mapInArrow(_across, "a binary, b binary, share double")
-    return found.groupBy("a", "b").agg(F.max("share").alias("share")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
 def links(sets: DataFrame, texts_of) -> DataFrame:
     """Component of every set that is linked with another: ``node, component``.
 
     ``sets`` has one row ``node, sig`` for each distinct set. ``texts_of(nodes)`` gives ``node, text`` for a table of nodes.
 
-    Three rounds, each confirmed on the full sets. First, a row of a sorted order meets the rows before it, and each set is
-    compared with the neighbour that it meets in most trees. Second, in regions whose rows still lie in several components, rows
-    whose signatures look alike across components are compared, the likest pair of any two components first; third, all such
-    pairs that still lie across. So no pair of a region is left out unless it is already connected.
+    Rows near each other in a region of a sorted order are candidates; those whose signatures agree enough form clusters.
+    Within a cluster all links are found on the full sets: in one task up to ``BLOCK`` sets; larger clusters in two passes. The
+    first deals their sets to blocks and adds the same ``PIVOTS`` sets to each, which joins what is widely linked. The second
+    compares what is still outside the cluster's largest component with the whole cluster, block by block. So the work on a
+    large group of near copies grows with its size, no pair is left out, and of the links only a spanning forest is written.
     """
-    spark = sets.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     orders = sets.mapInArrow(_orders, "region long, deep long, node binary")
     sort = ["region", "deep", "node"]
-    met = table(
-        orders.repartitionByRange(width, *sort).sortWithinPartitions(*sort).mapInArrow(_neighbours, "region long, node binary, other binary").filter("other is not null"),
-        "near-met",
-    )
-    both = met.select("node", "other").union(met.select("other", "node")).groupBy("node", "other").agg(F.count("*").alias("n"))
-    best = both.groupBy("node").agg(F.max(F.struct("n", "other")).alias("m")).select("node", F.col("m.other").alias("other"))
-    first = table(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-first")
-    crowd = met.select("region", "node").union(met.select("region", F.col("other").alias("node"))).distinct()
-    texts = table(texts_of(met.select("node").union(met.select("other")).distinct()), "near-texts")
-    done = table(confirm(first, texts), "near-confirmed")
-    labels = table(components(done.filter("linked"), "near-components"), "near-labels")
-    rest = table(_rest(crowd, labels, sets, done), "near-rest")
-    for everything in (False, True):
-        across = _labelled(_labelled(rest.join(done.select("a", "b"), ["a", "b"], "left_anti"), "a", labels, "ca"), "b", labels, "cb").filter("ca != cb")
-        if not everything:
-            two = (F.least("ca", "cb"), F.greatest("ca", "cb"))
-            across = across.groupBy(two[0].alias("ca"), two[1].alias("cb")).agg(F.max(F.struct("share", "a", "b")).alias("m")).select("m.a", "m.b")
-        tested = table(confirm(across, texts), "near-confirmed")
-        done = done.unionByName(tested)
-        if not tested.filter("linked").isEmpty():
-            labels = table(components(done.filter("linked"), "near-components"), "near-labels")
+    met = orders.repartitionByRange(width, *sort).sortWithinPartitions(*sort).mapInArrow(_neighbours, "region long, node binary, other binary").filter("other is not null")
+    met = table(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-met")
+    sa, sb = (sets.select(F.col("node").alias(n), F.col("sig").alias(f"s{n}")) for n in "ab")
+    alike = table(met.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a binary, b binary"), "near-alike")
+    clusters = table(components(alike, "near-clusters"), "near-clusters").withColumnRenamed("component", "cluster")
+    texts = table(texts_of(clusters.select("node")), "near-texts")
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
+    rows = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("label", F.col("node"))
+    h = F.xxhash64("node", F.lit(5))
+    pivot = (F.col("blocks") > 1) & (F.pmod(h, F.greatest(F.lit(1), (F.col("n") / PIVOTS).cast("long"))) == 0)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    dealt = rows.withColumn("x", F.explode(F.when(pivot, every).otherwise(F.array(F.pmod(F.shiftright(h, 20), "blocks").cast("int")))))
+    done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", F.lit(True).alias("seeks")), texts), "near-links")
+    labels = table(components(done, "near-components"), "near-labels")
+
+    large = _labelled(rows.filter("blocks > 1").select("cluster", "node", "n"), "node", labels, "label")
+    counts = large.groupBy("cluster", "label").agg(F.count("*").alias("c"))
+    most = counts.groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("top")).select("cluster", F.col("top.c").alias("c"), F.col("top.label").alias("top"))
+    left = table(large.join(most, "cluster").filter("c < n"), "near-left")
+    if not left.isEmpty():
+        out = F.ceil((F.col("n") - F.col("c")) / BLOCK).cast("int")
+        all_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        own = lambda k: F.pmod(F.xxhash64("node", F.lit(9)), k).cast("int")
+        seekers = left.filter("label != top").select("cluster", own(out).alias("x"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("y"), "node", "label", F.lit(True).alias("seeks"))
+        whole = left.select("cluster", F.explode(F.sequence(F.lit(0), out - 1)).alias("x"), own(all_blocks).alias("y"), "node", "label", F.lit(False).alias("seeks"))
+        both = seekers.unionByName(whole).groupBy("cluster", "x", "y", "node", "label").agg(F.max("seeks").alias("seeks"))
+        labels = table(components(table(_linked(both, texts), "near-links").unionByName(done), "near-components"), "near-labels")
     return labels
 
 
