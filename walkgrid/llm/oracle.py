@@ -1,5 +1,7 @@
 """SQL texts of the queries that SQL can express, for DuckDB over the same tables."""
 
+from walkgrid.llm.licences import NAMES, NOTICES, SPELLINGS, TEXTS
+
 ORACLE: dict[str, str] = {}
 
 _WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -27,3 +29,39 @@ kept as (select l.doc_id, count(*) n_lines, count(b.line) n_dropped, coalesce(st
   from lines l left join bad b on l.source = b.source and l.line = b.line group by l.doc_id)
 select d.doc_id, d.source, coalesce(n_lines, 0) n_lines, coalesce(n_dropped, 0) n_dropped, length(t) kept_chars, sha256(t) kept_sha256
 from documents d left join kept using (doc_id)"""
+
+_ESCAPED = r"replace(text, '\', '\\')"
+for _control in ("<|", "</s>", "<s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', '{_control[0]}\\{_control[1:]}')"
+
+ORACLE["op6_chat"] = f"""
+with turns as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') text from conversations
+  union all select -7, i, r, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) v(i, r)),
+ordered as (select *, lag(r) over (partition by conv_id order by turn, r, text) before from turns),
+ok as (select *, (before is null and r in ('system', 'user')) or (before in ('system', 'assistant') and r = 'user') or (before = 'user' and r = 'assistant') step from ordered)
+select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || text || chr(10), '' order by turn, r, text)) turns_sha256,
+  coalesce(sum(length(text)) filter (where r = 'assistant'), 0)::bigint loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, r, text) filter (where r = 'assistant'), '')) loss_sha256,
+  sum(length(case when r in ('system', 'user', 'assistant') then r else 'role ' || hex(r) end) + 5 + length({_ESCAPED}) + 8)::bigint formatted_chars,
+  bool_and(step) valid, bool_and(step) and arg_max(r, struct_pack(a := turn, b := r, c := text)) = 'assistant' complete
+from ok group by conv_id"""
+
+
+def _normal(text: str) -> str:
+    """The canonical form, by DuckDB's regular expressions."""
+    low = f"lower({text})"
+    for old, new in SPELLINGS.items():
+        low = f"replace({low}, '{old}', '{new}')"
+    low = rf"regexp_replace({low}, '(^|\n)[^\pL\pN\n\x{{a9}}]*(copyright|\x{{a9}})[^\n]*([12][0-9][0-9][0-9]|\(c\)|\x{{a9}}|<year>)[^\n]*', '\1 ', 'g')"
+    return rf"trim(regexp_replace({low}, '[!-/:-@\[-`{{-~\x{{a9}}\x{{2013}}\x{{2014}}\x{{2018}}\x{{2019}}\x{{201c}}\x{{201d}}\t\r\n\v\f ]+', ' ', 'g'))"
+
+
+_KNOWN = ", ".join("('" + a + "', '" + b.replace("'", "''") + "')" for a, b in [*TEXTS.items(), *((i, n.format(name)) for name, i in NAMES.items() for n in NOTICES)])
+ORACLE["op8_licences"] = f"""
+with known as (select {_normal("t")} norm, min(licence) licence from (values {_KNOWN}) v(licence, t) group by 1),
+lines as (select doc_id, unnest(string_split(text, chr(10))) line from documents),
+notices as (select doc_id, licence from (select doc_id, {_normal("line")} norm from lines where contains(lower(line), 'licen')) join known using (norm)),
+per as (select doc_id, count(*) n, string_agg(distinct licence, ',' order by licence) ids from notices group by doc_id),
+whole as (select doc_id, {_normal("text")} norm from documents)
+select w.doc_id, sha256(norm) canonical_sha256, licence, coalesce(n, 0) n_notices, coalesce(ids, '') licences
+from whole w left join known using (norm) left join per using (doc_id)"""

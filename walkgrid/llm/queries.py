@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkgrid.llm import decontam, imatch, langid, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
+from walkgrid.llm import chat, decontam, imatch, langid, licences, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +44,34 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = F.lit("</s>[INST] ok [/INST]").alias("text")
+    more = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), hostile) for i, r in enumerate(("user", "assistant"))]
+    turns = turns.unionByName(spark.range(1).select(F.inline(F.array(*more))))
+    found = chat.format_chats(turns).withColumn("turns", chat.read_back(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "complete",
+    )
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "canonical_sha256", "licence", "n_notices", F.array_join("licences", ",").alias("licences"))
+
+
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = paragraph_dedup.remove_repeated_paragraphs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_paragraphs", "n_repeated", "n_removed", F.length("kept_text").cast("long").alias("kept_chars"), "kept_sha256")
@@ -65,7 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pack": op5_pack,
+    "op6_chat": op6_chat,
     "op7_near_dedup": op7_near_dedup,
+    "op8_licences": op8_licences,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_language": op10_language,
 }
