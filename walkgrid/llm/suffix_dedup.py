@@ -225,7 +225,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         runs = F.when(is_first, F.coalesce("earlier", none)).otherwise(whole)
     else:
         runs = F.when(F.col("c") > 1, whole).otherwise(F.coalesce("other", none))
-    spans = found.join(kinds, ["gram", "own"]).join(matched, ["gram", "own"], "left").select("k2", "k1", F.shiftright("at", 8).alias("start"), runs.alias("runs"))
+    # One row per stretch, so that the join with the many copies of a stretch is a single one, which can be split.
+    told = table(kinds.join(matched, ["gram", "own"], "left"), "suffix-told")
+    spans = found.join(told, ["gram", "own"]).select("k2", "k1", F.shiftright("at", 8).alias("start"), runs.alias("runs"))
     pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.array(F.col("start") + F.get("runs", i), F.col("start") + F.get("runs", i + 1)))
     spans = spans.filter(F.size("runs") > 0).select("k2", "k1", F.explode(pairs).alias("run")).groupBy("k2", "k1").agg(F.collect_list("run").alias("runs"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *T._parse_datatype_string("n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary, kept_sha256 string").fields])
