@@ -174,15 +174,16 @@ class _Search:
         for i in out:
             self._put(i, other)
 
-    def _better(self, victim: int, most: int) -> tuple[list[int], list[int], int] | None:
-        """Pieces of the victim to give away, pieces to take instead, and the bin, with the largest gain that is found."""
+    def _better(self, victim: int, most: int, avoid: int = -1) -> tuple[list[int], list[int], int] | None:
+        """Pieces of the victim to give away, the piece to take instead, and the bin, which is no emptier; the largest gain that
+        is found."""
         own = sorted(self.bins[victim], key=lambda i: -self.n[i])
         pairs = [(i, j) for k, i in enumerate(own[:12]) for j in own[k + 1 : 12]]
         for gain in range(most, 0, -1):
             for out in [(i,) for i in own] + pairs:
                 want = sum(self.n[i] for i in out) - gain
                 for j in sorted(self.by_length.get(want, ()))[:64]:
-                    if self.home[j] != victim and self.free[self.home[j]] >= gain:
+                    if self.home[j] not in (victim, avoid) and gain <= self.free[self.home[j]] <= self.free[victim]:
                         return list(out), [j], self.home[j]
         return None
 
@@ -221,9 +222,15 @@ class _Search:
                     continue
                 best = max((self.free[b] for b in under if b != victim), default=0)
                 step = self._better(victim, min(best, 256)) or self._two(victim, sorted(under, key=lambda b: -self.free[b])[:200])
+                giver = victim
+                if step is None:  # two other bins: the emptier one gets emptier, until it can take a piece of the victim
+                    for giver in sorted((b for b in under if b != victim and self.free[b]), key=lambda b: -self.free[b])[:8]:
+                        step = self._better(giver, min(best, 256), victim)
+                        if step:
+                            break
                 if step is None:
                     break
-                self._swap(*step[:2], victim, step[2])
+                self._swap(*step[:2], giver, step[2])
             if self.bins[victim]:
                 break
             under = [b for b in under if self.free[b] and self.bins[b]]
