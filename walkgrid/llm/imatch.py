@@ -37,8 +37,8 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def successors(rows: DataFrame, doc_id: str) -> DataFrame:
-    """``k1, k2`` of each distinct row with ``p1, p2`` of the row before it in (id, ``k1``) order and ``p_chars``; the first
-    follows the last. Ranges of the order are sorted each by itself; only the first row of each range crosses over."""
+    """``k1, k2, id`` of each distinct row with ``p1, p2`` of the row before it in (id, ``k1``) order and ``p_chars``; the
+    first follows the last. Ranges of the order are sorted each by itself; only the first row of each range crosses over."""
     order = ["id", "k1", "k2"]
     light = rows.select(F.col(doc_id).alias("id"), "k1", "k2", F.length("text").alias("chars")).distinct()
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -52,7 +52,7 @@ def successors(rows: DataFrame, doc_id: str) -> DataFrame:
     before = F.lag(F.struct("k1", "k2", "chars")).over(Window.partitionBy("range").orderBy(*order))
     out = light.withColumn("before", before).join(ends, "range")
     pick = lambda name: F.coalesce(F.col("before")[name], F.col("end")[name])
-    return out.select("k1", "k2", pick("k1").alias("p1"), pick("k2").alias("p2"), pick("chars").alias("p_chars"))
+    return out.select("k1", "k2", "id", pick("k1").alias("p1"), pick("k2").alias("p2"), pick("chars").alias("p_chars"))
 
 
 def _fingerprints(versions: DataFrame, words: DataFrame) -> DataFrame:
@@ -98,14 +98,14 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     keyed = _keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
     follow = table(successors(keyed, "doc_id"), "successors")
     words = lexicon(docs, text)
-    start = keyed.join(follow, ["k1", "k2"]).select("p1", "p2", F.left("text", F.floor(F.col("p_chars") / 4).cast("int")).alias("start"))
+    rows = keyed.select("k1", "k2", "text")  # the same columns on both sides of what follows, so one shuffle serves both
+    start = rows.join(follow, ["k1", "k2"]).select("p1", "p2", F.left("text", F.floor(F.col("p_chars") / 4).cast("int")).alias("start"))
     start = start.dropDuplicates(["p1", "p2"]).select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "start")
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    edited = keyed.join(start, ["k1", "k2"]).withColumn("edited", F.concat(F.left("text", n - quarter), F.left("start", quarter)))
+    edited = rows.join(start, ["k1", "k2"]).withColumn("edited", F.concat(F.left("text", n - quarter), F.left("start", quarter)))
     prints = _fingerprints(edited, words)
     found = edited.join(prints, ["k1", "k2"], "left").select(
-        "doc_id",
         "k1",
         "k2",
         n.cast("long").alias("n_chars"),
@@ -115,8 +115,8 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     found = table(found, "fingerprints")
     nexts = found.select("k1", "k2", "fingerprint").dropDuplicates(["k1", "k2"]).join(follow, ["k1", "k2"]).select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.col("fingerprint").alias("_next"))
-    return found.join(nexts, ["k1", "k2"]).select(
-        "doc_id",
+    return found.join(nexts, ["k1", "k2"]).join(follow.select("k1", "k2", "id"), ["k1", "k2"]).select(
+        F.col("id").alias("doc_id"),
         "n_chars",
         "edited_sha256",
         "fingerprint",
