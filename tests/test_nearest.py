@@ -51,7 +51,7 @@ def test_exact_on_even_points(spark, center):
     rng = random.Random(7)
     a = [(i, *p) for i, p in enumerate(points(rng, 60, *center, 0.02))] + [(1000, None, None)]
     b = [(CATEGORIES[i % 5], *p) for i, p in enumerate(points(rng, 120, *center, 0.02))]
-    check(run(spark, a, b), brute(a, b, 1000.0))
+    check(run(spark, a, b, radius=1000.0), brute(a, b, 1000.0))
 
 
 def test_exact_on_skewed_points_splits_crowded_cells(spark):
@@ -62,13 +62,13 @@ def test_exact_on_skewed_points_splits_crowded_cells(spark):
     b = [("school", *p) for p in points(rng, 150, 45.5003, -73.6002, 0.0003)]
     b += [("bike", 45.5, -73.6)] * 150 + [("park", *p) for p in points(rng, 100, 45.5, -73.6, 0.015)]
     b += [("museum", 45.5, -73.6)]
-    check(run(spark, a, b, max_product=16), brute(a, b, 1000.0))
+    check(run(spark, a, b, max_product=16, radius=1000.0), brute(a, b, 1000.0))
 
 
 def test_exact_radius_edge_and_empty_sides(spark):
     a = [(1, 45.5, -73.6)]
     step = 1 / 111319.49079327358
-    got = run(spark, a, [("park", 45.5 + 999.9 * step, -73.6), ("bike", 45.5 + 1000.1 * step, -73.6)])
+    got = run(spark, a, [("park", 45.5 + 999.9 * step, -73.6), ("bike", 45.5 + 1000.1 * step, -73.6)], radius=1000.0)
     assert set(got[1]) == {"park"}
     assert run(spark, a, []) == {1: {}}
     assert run(spark, [], [("park", 45.5, -73.6)]) == {}
@@ -108,3 +108,17 @@ def test_columns(spark):
     a = spark.createDataFrame([(1, 45.5, -73.6, "x")], "id long, lat double, lng double, note string")
     b = spark.createDataFrame([("park", 45.5, -73.6)], "category string, lat double, lng double")
     assert nearest(a, b).columns == ["id", "lat", "lng", "note", *DIST_COLUMNS]
+
+
+def test_exact_across_the_date_line_and_at_the_pole(spark):
+    a = [(1, 10.0, 179.9999), (2, 89.997, 10.0), (3, -90.0, 0.0)]
+    b = [("park", 10.0, -179.9999), ("bike", 89.998, 160.0), ("school", -89.999, -77.0)]
+    got = run(spark, a, b)
+    check(got, brute(a, b, 1465.0))
+    assert set(got[1]) == {"park"} and set(got[2]) == {"bike"} and set(got[3]) == {"school"}
+
+
+def test_more_positions_than_the_budget_within_a_nanometre_end(spark):
+    a = [(i, 45.5 + i * 1e-14, -73.6) for i in range(9)]
+    b = [("park", 45.5, -73.6 - i * 2e-14) for i in range(9)]
+    check(run(spark, a, b, max_product=2), brute(a, b, 1465.0))

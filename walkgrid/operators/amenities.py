@@ -47,11 +47,12 @@ def in_bbox(lng: Column, lat: Column, bbox: tuple[float, float, float, float]) -
     return lng.between(min_lng, max_lng) & lat.between(min_lat, max_lat)
 
 
-def poi_points(elements: DataFrame) -> DataFrame:
-    """Elements (type, id, lon, lat, center, tags, position) as classified points, one per (type, id).
+def poi_points(elements: DataFrame, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Elements (type, id, lon, lat, center, tags, position) as classified points, one per (type, id); of those inside
+    ``bbox`` only, if one is given, which is filtered before anything is shuffled.
 
     Own coordinates count if both are there, else the centre's. The first element in source order wins; that is a
-    minimum with map-side combine, so a much-copied element does not pile up.
+    minimum that is sorted and combined before the shuffle, so a much-copied element does not pile up.
     """
     own = F.col("lon").isNotNull() & F.col("lat").isNotNull()
     points = elements.select(
@@ -63,6 +64,8 @@ def poi_points(elements: DataFrame) -> DataFrame:
         F.when(own, F.col("lat")).otherwise(F.col("center.lat")).alias("lat"),
         "position",
     ).dropna(subset=["fclass", "lng", "lat"])
+    if bbox is not None:
+        points = points.filter(in_bbox(F.col("lng"), F.col("lat"), bbox))
     return (
         points.groupBy("osm_type", "osm_id")
         .agg(F.min(F.struct("position", "name", "fclass", "lng", "lat")).alias("x"))

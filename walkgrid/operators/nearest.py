@@ -22,44 +22,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from walkgrid.constants import CATEGORIES, DIST_COLUMNS, EDGE_M, MAX_RING, SCORE_KNOTS
-from walkgrid.functions.geo import M_PER_DEG, arc_metres, arc_of
-from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, disk_offsets, ring_offsets
+from walkgrid.constants import CATEGORIES, DIST_COLUMNS, EARTH_RADIUS_M, EDGE_M, MAX_RING
+from walkgrid.functions.geo import arc_of
+from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, around_cells, ring_offsets
 from walkgrid.session import materialize
 
-RADIUS_M = SCORE_KNOTS[-1][0]
+# From anywhere in a cell to anywhere in its outermost ring.
+RADIUS_M = (MAX_RING * math.sqrt(3) + 2) * EDGE_M[10]
 
 # Most position pairs one pair of cells may produce before it is split.
 MAX_PRODUCT = 8192
 
-# Cells of this many halvings are smaller than a double can tell positions apart on the ground.
-MAX_LEVEL = 30
+# Positions are binned as whole numbers of this many halvings of the unit sphere's radius, 6 nanometres on the ground. Splitting
+# ends there: positions that share such a cube cannot be told apart by distance, and are compared one by one.
+BITS = 50
 
 # Rings probed for every cell before the far ones are probed for cells still lacking a category.
 NEAR_RINGS = 2
 
-A_GROUP, B_GROUP = ["ag1", "ag2"], ["bg1", "bg2"]
-A_CELL, B_CELL = [*A_GROUP, "aj", "ai"], [*B_GROUP, "bj", "bi"]
+AXES = "xyz"
+A_GROUP, B_GROUP = ["ag1", "ag2", "ag3"], ["bg1", "bg2", "bg3"]
+A_CELL, B_CELL = [*A_GROUP, "ax", "ay", "az"], [*B_GROUP, "bx", "by", "bz"]
 
 
-def _sub_cell(value: Column, side_deg: float, level: int) -> Column:
+def _whole(axis: str) -> Column:
+    """A coordinate of the unit vector as a whole number, never negative."""
+    return F.floor((F.col(f"u{axis}") + 1) * float(1 << BITS))
+
+
+def _last_level(side: float) -> int:
+    """Halvings after which a sub-cell is one step of the whole numbers."""
+    return max(1, math.ceil(math.log2(side)) + BITS)
+
+
+def _sub_cell(axis: str, side: float, level: int) -> Column:
     """Index of a position's sub-cell after ``level`` halvings; halving the index gives the level above."""
-    return F.lit(0).cast("long") if level == 0 else F.floor(value * (2.0**level / side_deg))
+    return F.lit(0).cast("long") if level == 0 else F.shiftright(_whole(axis), max(0, _last_level(side) - level))
+
+
+def _with_sub_cells(points: DataFrame, side: str, side_len: float, level: int) -> DataFrame:
+    return points.withColumns({f"{side}{x}": _sub_cell(x, side_len, level) for x in AXES})
 
 
-def _cells(points: DataFrame, side: str, side_deg: float, level: int) -> DataFrame:
+def _cells(points: DataFrame, side: str, side_len: float, level: int) -> DataFrame:
     """Bounding box and position count per sub-cell of one side (``a`` addresses, ``b`` amenities)."""
     group = A_GROUP if side == "a" else ["cat", *B_GROUP]
     return (
-        points.withColumn(f"{side}j", _sub_cell(F.col("lat"), side_deg, level))
-        .withColumn(f"{side}i", _sub_cell(F.col("lng"), side_deg, level))
-        .groupBy(*group, f"{side}j", f"{side}i")
+        _with_sub_cells(points, side, side_len, level)
+        .groupBy(*group, *[f"{side}{x}" for x in AXES])
         .agg(
             F.count("*").alias(f"{side}_n"),
-            F.min("lat").alias(f"{side}_lat_lo"),
-            F.max("lat").alias(f"{side}_lat_hi"),
-            F.min("lng").alias(f"{side}_lng_lo"),
-            F.max("lng").alias(f"{side}_lng_hi"),
+            *[f(f"u{x}").alias(f"{side}_{x}_{end}") for x in AXES for end, f in (("lo", F.min), ("hi", F.max))],
         )
     )
 
@@ -71,84 +84,64 @@ def _partitions(df: DataFrame) -> int:
 def _pruned(pairs: DataFrame, radius: float | None) -> DataFrame:
     """Keep the pairs that can hold an address's nearest amenity.
 
-    Both bounds hold on the sphere: the haversine term grows with each difference and with both cosines, so taking
-    the least (greatest) of each gives a distance no real pair undercuts (exceeds).
+    Both bounds are squared chords between boxes of unit vectors, which no real pair undercuts (exceeds); they know no
+    poles and no date line.
     """
     c = F.col
-    gap = lambda axis: F.greatest(
-        c(f"a_{axis}_lo") - c(f"b_{axis}_hi"), c(f"b_{axis}_lo") - c(f"a_{axis}_hi"), F.lit(0.0)
-    )
-    span = lambda axis: F.greatest(
-        c(f"a_{axis}_hi") - c(f"b_{axis}_lo"), c(f"b_{axis}_hi") - c(f"a_{axis}_lo")
-    )
-    least_cos = lambda s: F.least(F.cos(F.radians(c(f"{s}_lat_lo"))), F.cos(F.radians(c(f"{s}_lat_hi"))))
-    most_cos = lambda s: F.cos(
-        F.radians(F.greatest(c(f"{s}_lat_lo"), -c(f"{s}_lat_hi"), F.lit(0.0)))
-    )
-    lower = arc_metres(F.radians(gap("lat")), F.radians(gap("lng")), least_cos("a"), least_cos("b"))
-    upper = arc_metres(F.radians(span("lat")), F.radians(span("lng")), most_cos("a"), most_cos("b"))
+
+    def gap(x: str) -> Column:
+        return F.greatest(c(f"a_{x}_lo") - c(f"b_{x}_hi"), c(f"b_{x}_lo") - c(f"a_{x}_hi"), F.lit(0.0))
+
+    def span(x: str) -> Column:
+        return F.greatest(c(f"a_{x}_hi") - c(f"b_{x}_lo"), c(f"b_{x}_hi") - c(f"a_{x}_lo"))
+
+    square = lambda f: reduce(lambda p, q: p + q, [f(x) * f(x) for x in AXES])
     bounded = pairs.select(
-        *A_CELL, "cat", *B_CELL, (c("a_n") * c("b_n")).alias("product"), lower.alias("lower"), upper.alias("upper")
+        *A_CELL, "cat", *B_CELL, (c("a_n") * c("b_n")).alias("product"), square(gap).alias("lower"), square(span).alias("upper")
     )
+    slack = 1.0 + 1e-9  # rounding of the bounds themselves
     if radius is not None:
-        bounded = bounded.filter(c("lower") <= radius)
+        bounded = bounded.filter(c("lower") <= _chord(radius) ** 2 * slack)
     # one shuffle serves the window, keeps the session's parallelism and sets the layout of the written pairs
     bounded = bounded.repartition(_partitions(pairs), *A_CELL)
     best = F.min("upper").over(Window.partitionBy(*A_CELL, "cat"))
-    slack = 1.0 + 1e-9  # rounding of the bounds themselves
     return (
         bounded.withColumn("best", best)
-        .filter(c("lower") <= c("best") * slack + 1e-6)
+        .filter(c("lower") <= c("best") * slack + 1e-24)
         .drop("lower", "upper", "best")
     )
 
 
-def _split(deep: DataFrame, seekers: DataFrame, targets: DataFrame, side_deg: float, level: int) -> DataFrame:
+def _split(deep: DataFrame, seekers: DataFrame, targets: DataFrame, side_len: float, level: int) -> DataFrame:
     """Replace pairs of cells of ``level`` by the pairs of their parts, one level down."""
 
     def parts(points: DataFrame, side: str, group: list[str]) -> DataFrame:
-        j, i = f"{side}j", f"{side}i"
-        wanted = deep.select(*group, j, i).distinct()
-        inside = (
-            points.withColumn(j, _sub_cell(F.col("lat"), side_deg, level))
-            .withColumn(i, _sub_cell(F.col("lng"), side_deg, level))
-            .join(wanted, [*group, j, i], "left_semi")
-            .drop(j, i)
-        )
+        cell = [f"{side}{x}" for x in AXES]
+        wanted = deep.select(*group, *cell).distinct()
+        inside = _with_sub_cells(points, side, side_len, level).join(wanted, [*group, *cell], "left_semi").drop(*cell)
         up = (lambda x: F.lit(0).cast("long")) if level == 0 else (lambda x: F.shiftright(x, 1))
-        return (
-            _cells(inside, side, side_deg, level + 1)
-            .withColumn(f"{side}pj", up(F.col(j)))
-            .withColumn(f"{side}pi", up(F.col(i)))
-        )
+        return _cells(inside, side, side_len, level + 1).withColumns({f"{side}p{x}": up(F.col(f"{side}{x}")) for x in AXES})
 
-    renamed = deep.select(
-        *A_GROUP, F.col("aj").alias("apj"), F.col("ai").alias("api"), "cat",
-        *B_GROUP, F.col("bj").alias("bpj"), F.col("bi").alias("bpi"),
-    )
-    return renamed.join(parts(seekers, "a", A_GROUP), [*A_GROUP, "apj", "api"]).join(
-        parts(targets, "b", ["cat", *B_GROUP]), ["cat", *B_GROUP, "bpj", "bpi"]
+    renamed = deep.select(*A_GROUP, "cat", *B_GROUP, *[F.col(f"{side}{x}").alias(f"{side}p{x}") for side in "ab" for x in AXES])
+    return renamed.join(parts(seekers, "a", A_GROUP), [*A_GROUP, *[f"ap{x}" for x in AXES]]).join(
+        parts(targets, "b", ["cat", *B_GROUP]), ["cat", *B_GROUP, *[f"bp{x}" for x in AXES]]
     )
 
 
 def _closest(
-    seekers: DataFrame, targets: DataFrame, pairs: DataFrame, side_deg: float, radius: float | None, max_product: int
+    seekers: DataFrame, targets: DataFrame, pairs: DataFrame, side_len: float, radius: float | None, max_product: int
 ) -> DataFrame:
     """(lat, lng, dist_<category>...) of the least distance per address position over its candidate groups."""
     partitions = _partitions(pairs)
     candidates = []
     level = 0
     while True:
-        small = F.col("product") <= max_product if level < MAX_LEVEL else F.lit(True)
+        small = F.col("product") <= max_product if level < _last_level(side_len) else F.lit(True)
         crowded = Observation()  # counted while the pairs are written, so asking costs no job
         pairs = materialize(_pruned(pairs, radius).observe(crowded, F.count_if(~small).alias("n")), "nearest-pairs")
-        a = seekers.withColumn("aj", _sub_cell(F.col("lat"), side_deg, level)).withColumn(
-            "ai", _sub_cell(F.col("lng"), side_deg, level)
-        )
-        b = targets.select(
-            "cat", *B_GROUP,
-            _sub_cell(F.col("lat"), side_deg, level).alias("bj"), _sub_cell(F.col("lng"), side_deg, level).alias("bi"),
-            F.col("ux").alias("vx"), F.col("uy").alias("vy"), F.col("uz").alias("vz"),
+        a = _with_sub_cells(seekers, "a", side_len, level)
+        b = _with_sub_cells(targets, "b", side_len, level).select(
+            "cat", *B_CELL, *[F.col(f"u{x}").alias(f"v{x}") for x in AXES]
         )
         dx, dy, dz = F.col("ux") - F.col("vx"), F.col("uy") - F.col("vy"), F.col("uz") - F.col("vz")
         candidates.append(
@@ -162,7 +155,7 @@ def _closest(
         )
         if crowded.get["n"] == 0:
             break
-        pairs = _split(pairs.filter(~small), seekers, targets, side_deg, level)
+        pairs = _split(pairs.filter(~small), seekers, targets, side_len, level)
         level += 1
     least = (
         reduce(DataFrame.unionByName, candidates)
@@ -187,41 +180,29 @@ def _unit_vector(lng: Column, lat: Column) -> list[Column]:
     ]
 
 
-def _lng_reach(row: Column, side_deg: float) -> Column:
-    """Longitude degrees that cover the radius from anywhere in a latitude row or the rows beside it."""
-    farthest = F.greatest(F.abs(row - 1), F.abs(row + 2)) * side_deg
-    return F.lit(side_deg * 1.001) / F.cos(F.radians(F.least(farthest, F.lit(89.0))))
+def _chord(metres: float) -> float:
+    """Length through the unit sphere of an arc on the ground."""
+    return 2 * math.sin(min(metres / (2 * EARTH_RADIUS_M), math.pi / 2))
 
 
-def _bin_pairs(seekers: DataFrame, targets: DataFrame, side_deg: float) -> DataFrame:
-    """Address bins against the amenity bins that reach within the radius of them."""
-    around = _cells(seekers, "a", side_deg, 0).withColumn(
-        "bg1", F.explode(F.sequence(F.col("ag1") - 1, F.col("ag1") + 1))
-    )
-    reach = _lng_reach(F.col("bg1"), side_deg)
-    probes = around.withColumn(
-        "bg2",
-        F.explode(
-            F.sequence(F.floor(F.col("a_lng_lo") / reach) - 1, F.floor(F.col("a_lng_hi") / reach) + 1)
-        ),
-    )
-    return probes.join(_cells(targets, "b", side_deg, 0), B_GROUP)
+def _bin_pairs(seekers: DataFrame, targets: DataFrame, side_len: float) -> DataFrame:
+    """Address bins against the amenity bins around them: cubes as wide as the radius, so 27 hold all that is in reach."""
+    probes = _cells(seekers, "a", side_len, 0)
+    for a, b in zip(A_GROUP, B_GROUP, strict=True):
+        probes = probes.withColumn(b, F.explode(F.sequence(F.col(a) - 1, F.col(a) + 1)))
+    return probes.join(_cells(targets, "b", side_len, 0), B_GROUP)
 
 
-def _ring_pairs(seekers: DataFrame, targets: DataFrame, side_deg: float, max_k: int) -> DataFrame:
+def _ring_pairs(seekers: DataFrame, targets: DataFrame, side_len: float, max_k: int) -> DataFrame:
     """Address hexagons against the amenity hexagons of their first non-empty ring, per category."""
-    homes = _cells(seekers, "a", side_deg, 0)
-    shops = _cells(targets, "b", side_deg, 0)
+    homes = _cells(seekers, "a", side_len, 0)
+    shops = _cells(targets, "b", side_len, 0)
     shop_cells = shops.select("cat", *B_GROUP)
 
     def hits(cells: DataFrame, low: int, high: int) -> DataFrame:
-        offsets = F.filter(disk_offsets(high), lambda o: o["k"] >= low)
         return (
-            cells.select(*A_GROUP, F.explode(offsets).alias("o"))
-            .select(
-                *A_GROUP, F.col("o.k").alias("k"),
-                (F.col("ag1") + F.col("o.dq")).alias("bg1"), (F.col("ag2") + F.col("o.dr")).alias("bg2"),
-            )
+            around_cells(cells, "ag1", "ag2", low, high, ("bg1", "bg2"))
+            .withColumn("bg3", F.col("ag3"))
             .join(shop_cells, B_GROUP)
             .groupBy(*A_GROUP, "cat")
             .agg(F.min("k").alias("k"))
@@ -235,7 +216,8 @@ def _ring_pairs(seekers: DataFrame, targets: DataFrame, side_deg: float, max_k:
         far = hits(cells.join(done, A_GROUP, "left_anti"), NEAR_RINGS + 1, max_k)
         near = near.unionByName(far).groupBy(*A_GROUP, "cat").agg(F.min("k").alias("k"))
     rings = near.select(*A_GROUP, "cat", F.explode(ring_offsets(F.col("k"))).alias("o")).select(
-        *A_GROUP, "cat", (F.col("ag1") + F.col("o.dq")).alias("bg1"), (F.col("ag2") + F.col("o.dr")).alias("bg2")
+        *A_GROUP, "cat", (F.col("ag1") + F.col("o.dq")).alias("bg1"), (F.col("ag2") + F.col("o.dr")).alias("bg2"),
+        F.col("ag3").alias("bg3"),
     )
     return rings.join(shops, ["cat", *B_GROUP]).join(homes, A_GROUP)
 
@@ -255,7 +237,7 @@ def nearest(
     ``mode="exact"``: the true nearest within ``radius``. ``mode="first_ring"``: the nearest inside the first
     non-empty hexagon ring of at most ``max_k`` rings (a closer one may sit in the next ring). Addresses need
     ``lat``/``lng`` and amenities ``category``/``lat``/``lng``; addresses without a position are kept with nulls.
-    Positions nearer the poles than 1 degree or across the 180th meridian are not joined to each other.
+    The default radius covers the outermost ring. Jobs run when this is called; reading the result runs the last join.
     """
     if mode not in ("exact", "first_ring"):
         raise ValueError(f"unknown mode {mode!r}; expected 'exact' or 'first_ring'")
@@ -269,20 +251,20 @@ def nearest(
         .distinct()
     )
     if mode == "exact":
-        side_deg = radius / M_PER_DEG * 1.0001
-        row = F.floor(F.col("lat") / side_deg)
-        g1, g2 = row, F.floor(F.col("lng") / _lng_reach(row, side_deg))
+        side_len = _chord(radius) * 1.0001
+        groups = [F.floor(F.col(f"u{x}") / side_len) for x in AXES]
     else:
-        side_deg = 2 * EDGE_M[10] / M_PER_DEG
-        g1, g2 = (x.cast("long") for x in grid.axial(F.col("lng"), F.col("lat"), 10))
+        side_len = 2 * EDGE_M[10] / EARTH_RADIUS_M
+        groups = [*(x.cast("long") for x in grid.axial(F.col("lng"), F.col("lat"), 10)), F.lit(0).cast("long")]
     unit = _unit_vector(F.col("lng"), F.col("lat"))
-    seekers = materialize(a.select("*", g1.alias("ag1"), g2.alias("ag2"), *unit), "nearest-addresses")
-    targets = materialize(b.select("*", g1.alias("bg1"), g2.alias("bg2"), *unit), "nearest-amenities")
+    named = lambda side: [g.alias(f"{side}g{i}") for i, g in enumerate(groups, 1)]
+    seekers = materialize(a.select("*", *unit).select("*", *named("a")), "nearest-addresses")
+    targets = materialize(b.select("*", *unit).select("*", *named("b")), "nearest-amenities")
     if mode == "exact":
-        pairs, limit = _bin_pairs(seekers, targets, side_deg), radius
+        pairs, limit = _bin_pairs(seekers, targets, side_len), radius
     else:
-        pairs, limit = _ring_pairs(seekers, targets, side_deg, max_k), None
-    found = _closest(seekers, targets, pairs, side_deg, limit, max_product)
+        pairs, limit = _ring_pairs(seekers, targets, side_len, max_k), None
+    found = _closest(seekers, targets, pairs, side_len, limit, max_product)
     return _join_back(addresses, found, id_col)
 
 

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from walkgrid.constants import UNKNOWN_MUNICIPALITY
 from walkgrid.functions.geo import crossing_lng, polygon_edges, straddles
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid
+from walkgrid.session import materialize
 
-# Index steps in degrees. They only decide how many rows meet per join key, never the result.
+# Index steps in degrees. They only decide how many rows meet per join key, never the result. A polygon too large for ``TILES``
+# tiles a side is indexed by tiles and bands twice, four times ... as wide, so its index rows are bounded.
 TILE_DEG = 0.02
 BAND_DEG = 0.002
+TILES = 4
 
 
 def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
@@ -96,8 +99,11 @@ def _tiles_and_edges(polygons: DataFrame, name: str) -> tuple[DataFrame, DataFra
     ).filter(F.col("_x_lo").isNotNull())
 
     def steps(low: Column, high: Column, step: float) -> Column:
-        return F.explode(F.sequence(F.floor(low / step), F.floor(high / step)))
+        width = F.lit(step) * F.pow(F.lit(2.0), F.col("_level"))
+        return F.explode(F.sequence(F.floor(low / width), F.floor(high / width)))
 
+    side = F.greatest(F.col("_x_hi") - F.col("_x_lo"), F.col("_y_hi") - F.col("_y_lo"))
+    boxes = boxes.withColumn("_level", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(side / (TILES * TILE_DEG), F.lit(1.0))))).cast("int"))
     tiles = boxes.select("*", steps(F.col("_x_lo"), F.col("_x_hi"), TILE_DEG).alias("_tx")).select(
         "*", steps(F.col("_y_lo"), F.col("_y_hi"), TILE_DEG).alias("_ty")
     )
@@ -105,10 +111,11 @@ def _tiles_and_edges(polygons: DataFrame, name: str) -> tuple[DataFrame, DataFra
         shapes.select("_name", "_shape", F.explode("_edges").alias("e"))
         .select("_name", "_shape", "e.*")
         .filter(F.col("y1") != F.col("y2"))
+        .join(boxes.select("_name", "_shape", "_level").distinct(), ["_name", "_shape"])
     )
-    return tiles, edges.select(
-        "*", steps(F.least("y1", "y2"), F.greatest("y1", "y2"), BAND_DEG).alias("_band")
-    )
+    banded = edges.select("*", steps(F.least("y1", "y2"), F.greatest("y1", "y2"), BAND_DEG).alias("_band")).drop("_level")
+    # Written, so that a join is planned by the measured size of the index: generated rows do not show in Spark's estimates.
+    return materialize(tiles, "polygon-tiles"), materialize(banded.distinct(), "polygon-edges")
 
 
 def with_containing_polygon(points: DataFrame, keys: list[str], polygons: DataFrame, name: str) -> DataFrame:
@@ -122,14 +129,14 @@ def with_containing_polygon(points: DataFrame, keys: list[str], polygons: DataFr
     tiles, edges = _tiles_and_edges(polygons, name)
     c = F.col
     in_box = c("lng").between(c("_x_lo"), c("_x_hi")) & c("lat").between(c("_y_lo"), c("_y_hi"))
+    levels = sorted(r[0] for r in tiles.select("_level").distinct().collect()) or [0]  # a dozen at most
     rows = points.select(
-        *keys, "lng", "lat", F.struct(*points.columns).alias("_row"),
-        F.floor(c("lng") / TILE_DEG).alias("_ptx"), F.floor(c("lat") / TILE_DEG).alias("_pty"),
-        F.floor(c("lat") / BAND_DEG).alias("_pband"),
-    )
-    near = rows.join(tiles, (c("_ptx") == c("_tx")) & (c("_pty") == c("_ty")) & in_box, "left").select(
-        *keys, "lng", "lat", "_row", "_name", "_shape", "_pband"
+        *keys, "lng", "lat", F.struct(*points.columns).alias("_row"), F.explode(F.array(*map(F.lit, levels))).alias("_plevel")
     )
+    at = lambda x, step: F.floor(c(x) / (F.lit(step) * F.pow(F.lit(2.0), c("_plevel"))))
+    rows = rows.withColumns({"_ptx": at("lng", TILE_DEG), "_pty": at("lat", TILE_DEG), "_pband": at("lat", BAND_DEG)})
+    same = (c("_plevel") == c("_level")) & (c("_ptx") == c("_tx")) & (c("_pty") == c("_ty"))
+    near = rows.join(tiles, same & in_box, "left").select(*keys, "lng", "lat", "_row", "_name", "_shape", "_pband")
     edge_side = edges.withColumnsRenamed({"_name": "_ename", "_shape": "_eshape"})
     crossed = near.join(
         edge_side,

@@ -7,7 +7,7 @@ no bins, no tiles, no shortcuts.
 from __future__ import annotations
 
 from walkgrid.constants import (
-    CATEGORIES, CATEGORY_LABELS, COLOR_STOPS, DEFAULT_WEIGHTS, EARTH_RADIUS_M, EDGE_M, POI_TAGS, SCORE_KNOTS,
+    CATEGORIES, CATEGORY_LABELS, COLOR_STOPS, DEFAULT_WEIGHTS, EARTH_RADIUS_M, EDGE_M, MAX_RING, POI_TAGS, SCORE_KNOTS,
     UNKNOWN_MUNICIPALITY,
 )
 from walkgrid.functions.geo import M_PER_DEG
@@ -24,6 +24,9 @@ def num(x: float) -> str:
     return f"cast('{float(x)!r}' as double)"
 
 
+REACH = num((MAX_RING * 3**0.5 + 2) * EDGE_M[10])
+
+
 def axial(source: str, lng: str, lat: str, res: int, q: str = "q", r: str = "r") -> str:
     """``source`` plus the cell of (lng, lat) as ``q``, ``r``."""
     e = num(EDGE_M[res])
@@ -175,9 +178,22 @@ CELLED = f"""celled as (select * from {axial("fx_address", "lng", "lat", 10)}),
 DIST = f"""{FX_ADDRESS}, {FX_AMENITY},
   pairs as (select a.id, b.category, min({metres("a.lng", "a.lat", "b.lng", "b.lat")}) as d
     from fx_address a cross join fx_amenity b where a.lat is not null group by a.id, b.category),
-  dist as (select a.id, a.lat, a.lng, {each("max(case when p.category = '{c}' and p.d <= 1000 then p.d end) as dist_{c}")}
+  dist as (select a.id, a.lat, a.lng, {each("max(case when p.category = '{c}' and p.d <= " + REACH + " then p.d end) as dist_{c}")}
     from fx_address a left join pairs p on a.id = p.id group by a.id, a.lat, a.lng)"""
 
+
+
+def _moved(source: str, key: str) -> str:
+    """A fixture's positions, even ids around the 180th meridian and odd ids around the pole."""
+    name = source.split(" ")[0]
+    return f"""{source.replace(name, "raw_" + name)}, {name} as (select * replace (
+      case when {key} % 2 = 1 then 90e0 - (lat - 45.45e0) else lat end as lat,
+      case when {key} % 2 = 1 then (lng + 73.70e0) * 2400e0 - 180e0 when lng + 73.625e0 + 180e0 > 180e0 then lng + 73.625e0 + 180e0 - 360e0
+        else lng + 73.625e0 + 180e0 end as lng) from raw_{name})"""
+
+
+EDGE_DIST = DIST.replace(FX_ADDRESS, _moved(FX_ADDRESS, "id")).replace(FX_AMENITY, _moved(FX_AMENITY, "pid"))
+
 EDGES = f"""{FX_MUNICIPALITY},
   edges as (select a.municipality, a.lng as x1, a.lat as y1, b.lng as x2, b.lat as y2
     from fx_municipality a join fx_municipality b on a.municipality = b.municipality and b.i = (a.i + 1) % 4
@@ -317,8 +333,10 @@ ORACLE: dict[str, str] = {
     "polygon_point": f"""with {PARK_POINT} select park_id, round(lng, 6) as lng, round(lat, 6) as lat, {cell()} as cell
       from park_cells""",
     "mercator_to_wgs84": f"with {FX_ADDRESS} select id, round(lng, 6) as lng, round(lat, 6) as lat from fx_address",
-    "haversine_pairs": f"""with {FX_ADDRESS}, {FX_AMENITY} select id, round({metres("a.lng", "a.lat", "b.lng", "b.lat")}, 2)
-      as metres from fx_address a join fx_amenity b on a.id = b.pid""",
+    "haversine_pairs": f"""with {FX_ADDRESS}, {FX_AMENITY}
+      select b.pid as id, round({metres("a.lng", "a.lat", "b.lng", "b.lat")}, 2) as metres
+      from fx_amenity b join fx_address a on a.id = (b.pid - 1) % (select max(id) from fx_address) + 1""",
+    "nearest_edges": f"with {EDGE_DIST} select id, {rounds([f'dist_{c}' for c in CATEGORIES], 2)} from dist",
     "nearest_exact": f"with {DIST} select id, {rounds([f'dist_{c}' for c in CATEGORIES], 2)} from dist",
     "nearest_first_ring": f"""with {FIRST_RING} select a.id,
       {each("round(max(case when f.category = '{c}' then f.d end), 2) as dist_{c}")}

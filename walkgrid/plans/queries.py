@@ -11,7 +11,7 @@ from walkgrid import fixtures as fx
 from walkgrid.constants import CATEGORIES, DIST_COLUMNS, POI_BBOX, SCORE_COLUMNS
 from walkgrid.functions.geo import M_PER_DEG, haversine, to_wgs84
 from walkgrid.functions.grid import DEFAULT_GRID as GRID
-from walkgrid.functions.grid import cell_id, disk_offsets, hex_distance
+from walkgrid.functions.grid import around_cells, cell_id, hex_distance
 from walkgrid.functions.score import custom_blend, distance_score, score_color
 from walkgrid.operators import amenities as am
 from walkgrid.operators import quality, rollup
@@ -78,8 +78,7 @@ def cell_outline(spark, sf):
 
 
 def ring_cells(spark, sf):
-    ring = _address_cells(spark, sf).select("q", "r", F.explode(disk_offsets(10)).alias("o"))
-    ring = ring.select("q", "r", (F.col("q") + F.col("o.dq")).alias("nq"), (F.col("r") + F.col("o.dr")).alias("nr"))
+    ring = around_cells(_address_cells(spark, sf).select("q", "r"), "q", "r", 0, 10, ("nq", "nr"))
     k = hex_distance(F.col("q"), F.col("r"), F.col("nq"), F.col("nr")).alias("k")
     sums = ring.select("q", "r", k, "nq", "nr").groupBy("q", "r", "k").agg(
         F.count("*").alias("n_cells"),
@@ -118,7 +117,10 @@ def haversine_pairs(spark, sf):
     a = fx.addresses(spark, sf).select("id", F.col("lat").alias("lat1"), F.col("lng").alias("lng1"))
     b = fx.amenities(spark, sf).select(F.col("pid").alias("id"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"))
     metres = haversine(F.col("lng1"), F.col("lat1"), F.col("lng2"), F.col("lat2"))
-    return a.join(b, "id").select("id", F.round(metres, 2).alias("metres"))
+    # every amenity once: addresses are met round by round, and both tables count from 1
+    n = a.agg(F.max("id")).first()[0] or 1
+    pairs = b.withColumn("home", (F.col("id") - 1) % n + 1).join(a.withColumnRenamed("id", "home"), "home")
+    return pairs.select("id", F.round(metres, 2).alias("metres"))
 
 
 def _distances(spark, sf, mode="exact"):
@@ -129,6 +131,19 @@ def nearest_exact(spark, sf):
     return rounded(_distances(spark, sf).select("id", *DIST_COLUMNS), 2, *DIST_COLUMNS)
 
 
+def nearest_edges(spark, sf):
+    """The same join on the other side of the world: even ids straddle the 180th meridian, odd ids lie around the pole."""
+
+    def moved(df, key):
+        odd = F.col(key) % 2 == 1
+        east = F.col("lng") + 73.625 + 180
+        lng = F.when(odd, (F.col("lng") + 73.70) * 2400 - 180).otherwise(F.when(east > 180, east - 360).otherwise(east))
+        return df.withColumns({"lng": lng, "lat": F.when(odd, 90 - (F.col("lat") - 45.45)).otherwise(F.col("lat"))})
+
+    found = nearest(moved(fx.addresses(spark, sf), "id"), moved(fx.amenities(spark, sf), "pid"))
+    return rounded(found.select("id", *DIST_COLUMNS), 2, *DIST_COLUMNS)
+
+
 def nearest_first_ring(spark, sf):
     return rounded(_distances(spark, sf, "first_ring").select("id", *DIST_COLUMNS), 2, *DIST_COLUMNS)
 
@@ -529,7 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
-        mercator_to_wgs84, haversine_pairs, nearest_exact, nearest_first_ring, distance_profile, distance_scores,
+        mercator_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
         cell_scores, livability, livability_custom_weights, custom_blends, score_colors, score_profile, score_metadata,
         tag_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,

@@ -1,6 +1,6 @@
 """Readers for landed files: GeoJSON features, stop lists, POI elements, and any columnar or text table.
 
-Schemas are always given, so no reader scans its input twice. Newline-delimited files split over tasks; a file that is
+Feature and element readers know their schema; the stop list and ``read_data`` without a schema look at their input first. Newline-delimited files split over tasks; a file that is
 one JSON document (``multiline=True``) is one task by nature.
 """
 
@@ -105,14 +105,16 @@ def read_stops(spark: SparkSession, path: str, columns: tuple[str, ...] = ("stop
 
 
 def read_elements(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """POI elements, one per line or (``multiline``) one document with ``elements``; ``position`` is source order."""
+    """POI elements, one per line or (``multiline``) one document with ``elements``; ``position`` is source order: by file
+    name, then by place in the file, whatever order Spark reads files in."""
     if not multiline:
         rows = spark.read.schema(ELEMENT_SCHEMA).json(path)
-        return rows.withColumn("position", F.monotonically_increasing_id())
+        at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+        return rows.withColumn("position", at)
     document = T.StructType([T.StructField("elements", T.ArrayType(T.StructType.fromDDL(ELEMENT_SCHEMA)))])
     rows = spark.read.schema(document).option("multiLine", True).json(path)
     return rows.select(F.input_file_name().alias("file"), F.posexplode("elements").alias("pos", "e")).select(
-        "e.*", F.struct("file", "pos").alias("position")
+        "e.*", F.struct("file", F.lit(0).cast("long").alias("block"), F.col("pos").cast("long").alias("pos")).alias("position")
     )
 
 
@@ -122,14 +124,17 @@ def parse_elements(lines: DataFrame, text: str, position: str) -> DataFrame:
     return lines.select(element, F.col(position).alias("position")).select("e.*", "position")
 
 
-def read_data(spark: SparkSession, path: str, format: str | None = None) -> DataFrame:
-    """Any Parquet, CSV or JSON table; the format comes from the extension if not given (``pq`` is Parquet)."""
+def read_data(spark: SparkSession, path: str, format: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+    """Any Parquet, CSV or JSON table; the format comes from the extension if not given (``pq`` is Parquet).
+
+    Without ``schema`` CSV and JSON are scanned once more to infer it.
+    """
     if format is None:
         extension = path.rstrip("/").rsplit(".", 1)[-1].lower()
         format = {"pq": "parquet"}.get(extension, extension)
     if format not in _FORMATS:
         raise ValueError(f"unsupported format {format!r}; expected one of {list(_FORMATS)}")
-    reader = spark.read
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if format == "csv":
-        reader = reader.option("header", True).option("inferSchema", True)
+        reader = reader.option("header", True).option("inferSchema", schema is None)
     return reader.format(format).load(path)

@@ -39,6 +39,11 @@ def format_size(size_bytes: Column) -> Column:
     return F.format_string("%.2f MB", size_bytes / (1024 * 1024))
 
 
+def shard_key(value: Column) -> Column:
+    """Name of a shard in the registry; null and empty text share one directory, so they are one shard."""
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First rows without geometry arrays."""
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType))]
@@ -85,7 +90,7 @@ class SnapshotStore:
                 raise ValueError("a shard needs the column it is taken from")
             require_columns(df, shard_column)
             only = self.spark.createDataFrame([(shard,)], "shard string")
-            return self.write_sharded(df.filter(F.col(shard_column) == shard), location, shard_column, only, stamp)
+            return self.write_sharded(df.filter(shard_key(F.col(shard_column)) == shard), location, shard_column, only, stamp)
         stamp = stamp or now_stamp()
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self._data(location)}/stamp={stamp}")
@@ -96,7 +101,8 @@ class SnapshotStore:
     def write_sharded(
         self, df: DataFrame, location: str, shard_column: str, only: DataFrame | None = None, stamp: str | None = None
     ) -> str:
-        """Write all shards in one job, one directory each; return the shared stamp.
+        """Write all shards in one job, one directory each; return the shared stamp. Rows without a shard (null or empty text,
+        which are one directory on disk) are a shard of their own, named by the empty text.
 
         ``only`` (column shard) names the shards being replaced (others keep their snapshot); without it the table is replaced as a
         whole and shards not in ``df`` vanish. The rebalance hint gathers a shard's rows into few files but splits a
@@ -110,11 +116,11 @@ class SnapshotStore:
         common = [F.lit(stamp).alias("stamp"), F.lit(only is None).alias("full"), F.lit(shard_column).alias("shard_column")]
         written = (
             self.spark.read.schema(df.schema).parquet(path)
-            .groupBy(F.col(shard_column).alias("shard"))
+            .groupBy(shard_key(F.col(shard_column)).alias("shard"))
             .agg(F.count("*").alias("rows"))
         )
         if only is not None:
-            written = only.select(F.col("shard").cast("string")).distinct().join(written, "shard", "left").fillna(0, ["rows"])
+            written = only.select(shard_key(F.col("shard")).alias("shard")).distinct().join(written, "shard", "left").fillna(0, ["rows"])
         rows = written.select(*common, "shard", "rows", F.lit(schema).alias("schema"))
         if only is None:
             # marks the version even when no shard has rows
@@ -137,7 +143,7 @@ class SnapshotStore:
         """Take shards (column shard) out of the registry; their files stay for older readers."""
         gone = shards.select(
             F.lit(now_stamp()).alias("stamp"), F.lit(False).alias("full"), F.lit(shard_column).alias("shard_column"),
-            F.col("shard").cast("string").alias("shard"),
+            shard_key(F.col("shard")).alias("shard"),
         )
         self._append_log(location, gone)
 
@@ -160,20 +166,16 @@ class SnapshotStore:
         column = newest["shard_column"]
         if column is None:
             return self._open(location, [newest["stamp"]], schema).drop("stamp")
-        # runs since the last whole write: a handful
-        whole = log.filter("full").agg(F.max("stamp")).first()[0] or ""
-        stamps = sorted(r["stamp"] for r in log.filter(F.col("stamp") >= whole).select("stamp").distinct().collect())
         registry = self.shards(location)
-        written = sorted(r["stamp"] for r in registry.select("stamp").distinct().collect())
+        written = sorted(r["stamp"] for r in registry.select("stamp").distinct().collect())  # at most one per current shard
         if not written:
             return self.spark.createDataFrame([], schema)
         df = self._open(location, written, schema)
         if shard is not None:
-            df = df.filter(F.col(column) == shard)
-        if len(stamps) > 1:  # some shard has been replaced or dropped since
-            current = registry.select(F.col("shard").alias(column), "stamp")
-            df = df.join(current, [column, "stamp"], "left_semi")
-        return df.select(*schema.names)
+            df = df.filter(F.col(column) == shard if shard else shard_key(F.col(column)) == shard)
+        # The registry decides, however many writes there were: a version may hold shards that were replaced or dropped since.
+        current = registry.select(F.col("shard").alias("_shard"), F.col("stamp"))
+        return df.withColumn("_shard", shard_key(F.col(column))).join(current, ["_shard", "stamp"], "left_semi").select(*schema.names)
 
     def snapshot_metadata(self, location: str) -> DataFrame:
         """One row per snapshot: rows, size on disk, columns. Reads file listings, no data."""
