@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,16 +22,28 @@ def raw_texts(array: pa.Array) -> list[bytes | None]:
     return array.cast(pa.binary()).to_pylist()
 
 
-def with_columns_in_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: list[T.StructField]) -> DataFrame:
-    """``df`` with the columns that ``make`` computes of each batch; a column of the same name is replaced."""
+def slices(batch: pa.RecordBatch, name: str, size: int) -> Batches:
+    """A batch in slices of about ``size`` bytes of one column, a row at least."""
+    at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
+def with_columns_in_arrow(
+    df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: list[T.StructField], sized_by: str | None = None, slice_bytes: int = 4 << 20
+) -> DataFrame:
+    """``df`` with the columns that ``make`` computes of each batch; a column of the same name is replaced. With ``sized_by``, a
+    text column, a batch is handled and handed on in slices of about ``slice_bytes`` of it, so that no more results are held."""
     names = [f.name for f in fields]
     kept = [f for f in df.schema.fields if f.name not in names]
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
-            if batch.num_rows:
-                made = make(batch)
-                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(made[n] for n in names)], [*(f.name for f in kept), *names])
+        for whole in batches:
+            for batch in slices(whole, sized_by, slice_bytes) if sized_by and whole.num_rows else [whole]:
+                if batch.num_rows:
+                    made = make(batch)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(made[n] for n in names)], [*(f.name for f in kept), *names])
 
     return df.mapInArrow(run, T.StructType([*kept, *fields]))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkgrid.llm import chat, decontam, imatch, langid, licences, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
+from walkgrid.llm import chat, decontam, imatch, langid, licences, line_dedup, near_dedup, packing, paragraph_dedup, periodic, spelling, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,40 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), noise=97))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(periodic.with_loops(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # Greatest exact length / period: compared by cross products, which stay exact; the first of equals is the least by start, then period.
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", 0),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out())
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~toxicity.held_out())
+    found = toxicity.score(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_matched")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprint": op2_fingerprint,
@@ -94,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_language": op10_language,
+    "op11_spelling": op11_spelling,
+    "op12_runs": op12_runs,
+    "op13_toxicity": op13_toxicity,
 }
