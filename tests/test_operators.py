@@ -47,7 +47,7 @@ def test_containing_polygon_handles_holes_borders_and_outsiders(spark):
     )
     pts = {1: (0.5, 2.0), 2: (2.0, 2.0), 3: (4.0, 2.0), 4: (6.0, 3.99), 5: (9.0, 2.0), 6: (2.0, 0.0)}
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts.items()], "id int, lng double, lat double")
-    got = {r["id"]: r["name"] for r in with_containing_polygon(df, ["id"], polygons, "name").collect()}
+    got = {r["id"]: r["name"] for r in with_containing_polygon(df, polygons, "name").collect()}
     assert got == {1: "b", 2: None, 3: "a", 4: "a", 5: None, 6: "b"}
 
 

@@ -137,6 +137,24 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-shaped zones, the largest 20 degrees wide, which overlap one another and all boundaries."""
+    corners = [(0, 0), (20, 0), (20, 8), (9, 8), (9, 20), (0, 20)]
+    size = "(1e0 - r_regionkey * 0.15e0)"
+    ring = _vertices(corners, "-90e0 + r_regionkey * 3.1e0 + {dx} * " + size, "33e0 + r_regionkey * 2.3e0 + {dy} * " + size)
+    return table(spark, sf_dir, "region").select(F.concat(F.lit("zone "), "r_name").alias("name"), F.array(ring).alias("rings"))
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of which two in three lie in the city and the others all over the zones and beyond."""
+    near = F.col("p_partkey") % 3 != 0
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.when(near, _lng("p_partkey")).otherwise(F.expr("-92e0 + ((p_partkey * 104729) % 10009) / 10009e0 * 30e0")).alias("lng"),
+        F.when(near, _lat("p_partkey")).otherwise(F.expr("31e0 + ((p_partkey * 7919) % 10007) / 10007e0 * 26e0")).alias("lat"),
+    )
+
+
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check history; the newest per (asset, check_name, shard) is by (run_ts, event_id)."""
     return table(spark, sf_dir, "events").select(

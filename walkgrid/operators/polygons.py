@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from walkgrid.constants import UNKNOWN_MUNICIPALITY
 from walkgrid.functions.geo import crossing_lng, polygon_edges, straddles
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid
+from walkgrid.operators.cover import Cell, base_cells
 from walkgrid.session import materialize
 
-# Index steps in degrees. They only decide how many rows meet per join key, never the result. A polygon too large for ``TILES``
-# tiles a side is indexed by tiles and bands twice, four times ... as wide, so its index rows are bounded.
-TILE_DEG = 0.02
-BAND_DEG = 0.002
-TILES = 4
+#: Base cells of the index: the largest polygon spans about so many a side. Edges that a fine cell carries about, at most so many
+#: halvings of a base cell to get there. They only decide how many rows the index has, never the result.
+BASE_CELLS, CELL_EDGES, MAX_TIMES = 8, 16, 7
 
 
 def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
@@ -81,80 +87,101 @@ def with_representative_point(df: DataFrame, rings: str = "rings") -> DataFrame:
     )
 
 
-def _tiles_and_edges(polygons: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Index of the polygons: bounding boxes by tile, and non-horizontal edges by latitude band."""
-    shapes = polygons.select(
-        F.col(name).alias("_name"),
-        F.xxhash64("rings").alias("_shape"),
-        polygon_edges(F.col("rings")).alias("_edges"),
-    )
-    xs, ys = F.transform("_edges", lambda e: e["x1"]), F.transform("_edges", lambda e: e["y1"])
-    boxes = shapes.select(
-        "_name",
-        "_shape",
-        F.array_min(xs).alias("_x_lo"),
-        F.array_max(xs).alias("_x_hi"),
-        F.array_min(ys).alias("_y_lo"),
-        F.array_max(ys).alias("_y_hi"),
-    ).filter(F.col("_x_lo").isNotNull())
-
-    def steps(low: Column, high: Column, step: float) -> Column:
-        width = F.lit(step) * F.pow(F.lit(2.0), F.col("_level"))
-        return F.explode(F.sequence(F.floor(low / width), F.floor(high / width)))
-
-    side = F.greatest(F.col("_x_hi") - F.col("_x_lo"), F.col("_y_hi") - F.col("_y_lo"))
-    boxes = boxes.withColumn("_level", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(side / (TILES * TILE_DEG), F.lit(1.0))))).cast("int"))
-    tiles = boxes.select("*", steps(F.col("_x_lo"), F.col("_x_hi"), TILE_DEG).alias("_tx")).select(
-        "*", steps(F.col("_y_lo"), F.col("_y_hi"), TILE_DEG).alias("_ty")
-    )
-    edges = (
-        shapes.select("_name", "_shape", F.explode("_edges").alias("e"))
-        .select("_name", "_shape", "e.*")
-        .filter(F.col("y1") != F.col("y2"))
-        .join(boxes.select("_name", "_shape", "_level").distinct(), ["_name", "_shape"])
-    )
-    banded = edges.select("*", steps(F.least("y1", "y2"), F.greatest("y1", "y2"), BAND_DEG).alias("_band")).drop("_level")
+_EDGES = "array<struct<x1: double, y1: double, x2: double, y2: double>>"
+
+
+def _edge_rows(edges: np.ndarray) -> list[dict[str, float]]:
+    return [dict(zip(("x1", "y1", "x2", "y2"), e, strict=True)) for e in edges.tolist()]
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def _side(polygons: DataFrame) -> float | None:
+    """Side of the base cells, a power of two: the one number that the driver learns of the polygons."""
+    flat = F.flatten("rings")
+    extent = lambda c: F.array_max(F.transform(flat, lambda p: p[c])) - F.array_min(F.transform(flat, lambda p: p[c]))
+    largest = polygons.agg(F.max(F.greatest(extent("lng"), extent("lat")))).first()[0]
+    return 2.0 ** math.ceil(math.log2(max(largest / BASE_CELLS, 1e-6))) if largest is not None else None
+
+
+def _cover(polygons: DataFrame, name: str, side: float) -> tuple[DataFrame, DataFrame]:
+    """Index of the polygons in two tables, one row a cell.
+
+    ``bx, by, times, inner``: of each base cell the halvings that lead to its fine cells, as many as its edges ask for, and the least
+    name of the polygons that hold all of it. ``times, fx, fy, inner, leaves``: of each fine cell the least name of the polygons that
+    hold all of it but not of its base cell, and the polygons whose border it meets, with the edges that touch it (``cover``).
+    A polygon has at most some ``BASE_CELLS ** 2`` base cells, a base cell at most ``4 ** MAX_TIMES`` fine ones, whatever the extent of
+    the polygon; only cells on its border carry edges, each edge only the cells that it touches.
+    """
+    cell = T.StructType.fromDDL(f"bx long, by long, name string, n long, odd boolean, turns array<double>, edges {_EDGES}")
+    leaf = f"struct<name: string, odd: boolean, turns: array<double>, edges: {_EDGES}>"
+    part = T.StructType.fromDDL(f"times int, fx long, fy long, name string, leaf {leaf}")
+    cell_batch, part_batch = to_arrow_schema(cell), to_arrow_schema(part)
+
+    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, rings in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = base_cells(rings.as_py() or [], side)
+                rows = [(c.x, c.y, label, len(c.edges) + len(c.turns), c.odd, c.turns.tolist(), _edge_rows(c.edges)) for c in found]
+                yield _batch(rows, cell_batch)
+
+    named = polygons.select(F.col(name).cast("string").alias("name"), "rings").filter("name is not null")
+    cells = materialize(named.mapInArrow(base, cell), "polygon-cells")
+    times = F.ceil(F.log2(F.greatest(F.sum("n") / CELL_EDGES, F.lit(1.0)))).cast("int")
+    whole = F.min(F.when(F.col("n") == 0, F.col("name")))
+    bases = materialize(cells.groupBy("bx", "by").agg(F.least(times, F.lit(MAX_TIMES)).alias("times"), whole.alias("inner")), "polygon-base")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                edges = np.array([[e["x1"], e["y1"], e["x2"], e["y2"]] for e in row["edges"]], float).reshape(-1, 4)
+                out = []
+                for c in Cell(side, row["bx"], row["by"], edges, row["odd"], np.array(row["turns"], float)).split(row["times"]):
+                    if c.whole():
+                        k = round(c.side * 2.0 ** row["times"] / side)
+                        out += [(row["times"], c.x * k + i, c.y * k + j, row["name"], None) for i in range(k) for j in range(k)]
+                    else:
+                        leaf = {"name": row["name"], "odd": c.odd, "turns": c.turns.tolist(), "edges": _edge_rows(c.edges)}
+                        out.append((row["times"], c.x, c.y, None, leaf))
+                yield _batch(out, part_batch)
+
+    border = cells.filter("n > 0").join(bases.select("bx", "by", "times"), ["bx", "by"]).select("bx", "by", "name", "odd", "turns", "edges", "times")
+    fine = border.mapInArrow(split, part).groupBy("times", "fx", "fy").agg(F.min("name").alias("inner"), F.collect_list("leaf").alias("leaves"))
     # Written, so that a join is planned by the measured size of the index: generated rows do not show in Spark's estimates.
-    return materialize(tiles, "polygon-tiles"), materialize(banded.distinct(), "polygon-edges")
+    return bases, materialize(fine, "polygon-fine")
 
 
-def with_containing_polygon(points: DataFrame, keys: list[str], polygons: DataFrame, name: str) -> DataFrame:
-    """``points`` (``lng``, ``lat``; unique on ``keys``) plus ``name`` of the polygon (``rings``) holding each, else null.
+def with_containing_polygon(points: DataFrame, polygons: DataFrame, name: str) -> DataFrame:
+    """``points`` (``lng``, ``lat``) plus ``name`` of the polygon (``rings``) holding each, else null; a column ``name`` is replaced.
 
-    Two equi-joins instead of an all-pairs predicate: points meet polygons by a tile of the polygon's bounding box,
-    then the edges of just those polygons by latitude band. An odd number of edges to the east means inside; the
-    half-open test puts a point on a shared border in exactly one of the two polygons. Should polygons overlap, the
-    alphabetically first name wins. The row itself travels along, so the input is read once and not joined back.
+    Each point is looked up in a quadtree cover of the polygons: two left joins to tables with one row a cell, so no row is
+    repeated, nothing is grouped, and Spark broadcasts the index or sorts (and splits hot cells) by its measured size. Only in a
+    cell on a border edges are tested, those that touch it. An odd number of edges to the east means inside; the half-open test
+    puts a point on a shared border in exactly one of the two polygons. Should polygons overlap, the alphabetically first name
+    wins. Points without a position and polygons without a name or an edge match nothing.
     """
-    tiles, edges = _tiles_and_edges(polygons, name)
-    c = F.col
-    in_box = c("lng").between(c("_x_lo"), c("_x_hi")) & c("lat").between(c("_y_lo"), c("_y_hi"))
-    levels = sorted(r[0] for r in tiles.select("_level").distinct().collect()) or [0]  # a dozen at most
-    rows = points.select(
-        *keys, "lng", "lat", F.struct(*points.columns).alias("_row"), F.explode(F.array(*map(F.lit, levels))).alias("_plevel")
-    )
-    at = lambda x, step: F.floor(c(x) / (F.lit(step) * F.pow(F.lit(2.0), c("_plevel"))))
-    rows = rows.withColumns({"_ptx": at("lng", TILE_DEG), "_pty": at("lat", TILE_DEG), "_pband": at("lat", BAND_DEG)})
-    same = (c("_plevel") == c("_level")) & (c("_ptx") == c("_tx")) & (c("_pty") == c("_ty"))
-    near = rows.join(tiles, same & in_box, "left").select(*keys, "lng", "lat", "_row", "_name", "_shape", "_pband")
-    edge_side = edges.withColumnsRenamed({"_name": "_ename", "_shape": "_eshape"})
-    crossed = near.join(
-        edge_side,
-        (c("_name") == c("_ename")) & (c("_shape") == c("_eshape")) & (c("_pband") == c("_band")),
-        "left",
-    )
-    edge = {k: c(k) for k in ("x1", "y1", "x2", "y2")}
-    east = straddles(edge, c("lat")) & (c("lng") < crossing_lng(edge, c("lat")))
-    return (
-        crossed.groupBy(*keys, "_name", "_shape")
-        .agg(F.first("_row").alias("_row"), F.count_if(east).alias("_crossings"))
-        .groupBy(*keys)
-        .agg(
-            F.first("_row").alias("_row"),
-            F.min(F.when(c("_crossings") % 2 == 1, c("_name"))).alias("_found"),
-        )
-        .select("_row.*", c("_found").alias(name))
-    )
+    kept = [c for c in points.columns if c != name]
+    side = _side(polygons)
+    if side is None:
+        return points.select(*kept, F.lit(None).cast("string").alias(name))
+    bases, fine = _cover(polygons, name, side)
+    at = lambda of, times: F.floor(F.col(of) / F.lit(side) * F.pow(F.lit(2.0), times)).cast("long")
+    zero = F.lit(0.0)
+    # Inner columns cannot clash: the row travels as one struct.
+    rows = points.select(F.struct(*points.columns).alias("row"), F.col("lng").alias("lng"), F.col("lat").alias("lat"), at("lng", zero).alias("bx"), at("lat", zero).alias("by"))
+    rows = rows.join(bases.withColumnRenamed("inner", "inner_base"), ["bx", "by"], "left")
+    rows = rows.withColumns({"fx": at("lng", F.col("times")), "fy": at("lat", F.col("times"))})
+    rows = rows.join(fine, ["times", "fx", "fy"], "left")
+
+    def inside(leaf: Column) -> Column:
+        east = F.filter(leaf["edges"], lambda e: straddles(e, F.col("lat")) & (F.col("lng") < crossing_lng(e, F.col("lat"))))
+        turned = F.filter(leaf["turns"], lambda t: t <= F.col("lat"))
+        return (F.size(east) + F.size(turned) + leaf["odd"].cast("int")) % 2 == 1
+
+    border = F.array_min(F.transform(F.filter("leaves", inside), lambda leaf: leaf["name"]))
+    return rows.select(*[F.col("row")[c].alias(c) for c in kept], F.least("inner_base", "inner", border).alias(name))
 
 
 def tag_cells(
@@ -164,7 +191,7 @@ def tag_cells(
     """``cells`` (one row per q, r) plus ``municipality``: the boundary holding the cell's centre, else ``unknown``."""
     lng, lat = grid.center(F.col("q"), F.col("r"), res)
     centers = cells.withColumns({"lng": lng, "lat": lat})
-    tagged = with_containing_polygon(centers, ["q", "r"], boundaries, "municipality").drop("lng", "lat")
+    tagged = with_containing_polygon(centers, boundaries, "municipality").drop("lng", "lat")
     return tagged.withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))
 
 

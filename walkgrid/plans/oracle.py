@@ -156,6 +156,18 @@ FX_MUNICIPALITY = """fx_municipality as (select n_name as municipality,
   from nation cross join (select 0 as i, 0e0 as dx, 0e0 as dy union all select 1, 0.022e0, 0e0
     union all select 2, 0.022e0, 0.016e0 union all select 3, 0e0, 0.016e0) v)"""
 
+FX_ZONE = """fx_zone as (select concat('zone ', r_name) as name, v.i,
+  -90e0 + r_regionkey * 3.1e0 + v.dx * (1e0 - r_regionkey * 0.15e0) as lng,
+  33e0 + r_regionkey * 2.3e0 + v.dy * (1e0 - r_regionkey * 0.15e0) as lat
+  from region cross join (select 0 as i, 0 as dx, 0 as dy union all select 1, 20, 0 union all select 2, 20, 8
+    union all select 3, 9, 8 union all select 4, 9, 20 union all select 5, 0, 20) v)"""
+
+FX_SITE = """fx_site as (select p_partkey as id,
+  case when p_partkey % 3 <> 0 then 45.45e0 + ((p_partkey * 15485863) % 9973) / 9973e0 * 0.10e0
+    else 31e0 + ((p_partkey * 7919) % 10007) / 10007e0 * 26e0 end as lat,
+  case when p_partkey % 3 <> 0 then -73.70e0 + ((p_partkey * 32452843) % 9967) / 9967e0 * 0.15e0
+    else -92e0 + ((p_partkey * 104729) % 10009) / 10009e0 * 30e0 end as lng from part)"""
+
 FX_VERDICT = """fx_verdict as (select event_id, event_type as asset, user_id % 10 as shard, ts as run_ts,
   case event_id % 4 when 0 then 'schema_contract' when 1 then 'row_uniqueness'
     when 2 then 'field_completeness' else 'value_range' end as check_name,
@@ -360,6 +372,15 @@ ORACLE: dict[str, str] = {
     "score_metadata": f"""with {LIV} select count(*) as num_cells, count(distinct municipality) as num_municipalities,
       round(avg(livability), 2) as mean_livability from liv""",
     "tag_municipality": f"with {FX_ADDRESS}, {CELLED}, {EDGES} select {cell()} as cell, municipality from tagged",
+    "tag_zones": f"""with {FX_MUNICIPALITY}, {FX_ZONE}, {FX_SITE},
+      vertices as (select municipality as name, 4 as n, i, lng, lat from fx_municipality union all select name, 6, i, lng, lat from fx_zone),
+      edges as (select a.name, a.lng as x1, a.lat as y1, b.lng as x2, b.lat as y2
+        from vertices a join vertices b on a.name = b.name and b.i = (a.i + 1) % a.n where a.lat <> b.lat),
+      inside as (select s.id, e.name from fx_site s cross join edges e group by s.id, e.name
+        having sum(case when (y1 > lat) <> (y2 > lat) and lng < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 then 1 else 0 end) % 2 = 1)
+      select s.id, min(i.name) as name from fx_site s left join inside i on s.id = i.id group by s.id""",
+    "address_municipality": f"""with {FX_ADDRESS}, {CELLED}, {EDGES} select a.id, coalesce(t.municipality, '{UNKNOWN_MUNICIPALITY}') as municipality
+      from celled a left join tagged t on a.q = t.q and a.r = t.r""",
     "hex_rollup": f"with {HEXES} select {cell(9, 'pq', 'pr')} as cell, addresses, {rounds(VALUES)}, municipality from hexed",
     "dominant_municipality": """select segment, municipality from (select c_mktsegment as segment, n_name as municipality,
       row_number() over (partition by c_mktsegment order by count(*) desc, n_name) as rn

@@ -17,7 +17,7 @@ from walkgrid.operators import amenities as am
 from walkgrid.operators import quality, rollup
 from walkgrid.operators import scores as sc
 from walkgrid.operators.nearest import nearest
-from walkgrid.operators.polygons import tag_cells, with_representative_point
+from walkgrid.operators.polygons import tag_cells, tag_rows, with_containing_polygon, with_representative_point
 from walkgrid.plans import ledger as lg
 from walkgrid.plans import report
 from walkgrid.plans.contracts import CONTRACTS, Contract
@@ -205,6 +205,19 @@ def tag_municipality(spark, sf):
     return tagged.select(_cell().alias("cell"), "municipality")
 
 
+def tag_zones(spark, sf):
+    """Sites by city-sized boundaries and zones of up to 20 degrees at once."""
+    boundaries = am.municipalities(fx.boundaries(spark, sf)).select(F.col("municipality").alias("name"), "rings")
+    found = with_containing_polygon(fx.sites(spark, sf), boundaries.unionByName(fx.zones(spark, sf)), "name")
+    return found.select("id", "name")
+
+
+def address_municipality(spark, sf):
+    """Every address with the municipality of its cell, those without a position too."""
+    rows = sc.with_cell(fx.addresses(spark, sf))
+    return tag_rows(rows, am.municipalities(fx.boundaries(spark, sf))).select("id", "municipality")
+
+
 def hex_rollup(spark, sf):
     hexes = rollup.hex_rollup(_livability(spark, sf)).drop("q", "r", "outline")
     return rounded(hexes, 4, *rollup.VALUE_COLUMNS)
@@ -546,7 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
         mercator_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
         cell_scores, livability, livability_custom_weights, custom_blends, score_colors, score_profile, score_metadata,
-        tag_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
+        tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,
         boundary_types, check_schema, check_uniqueness, check_completeness, check_range, check_bundle_by_shard,
         latest_verdicts, verdict_tally, error_failures, reused_verdicts, stale_tables, changed_shards,
