@@ -494,6 +494,8 @@ ORACLE: dict[str, str] = {
     "geojson_addresses": f"""with {FX_ADDRESS}, {CELLED} select cast(id as varchar) as "ID_UEV",
       cast(nk as varchar) as "MUNICIPALITE", id % 7 as "NOMBRE_LOGEMENT", cast(null as varchar) as "NOM_RUE",
       {cell()} as cell_r10 from celled where q is not null""",
+    "feature_collection": f"""with {FX_PARK} select park_id, cast(i as integer) as i, round(lng, 6) as lng, round(lat, 6) as lat
+      from fx_park""",
     "stops_csv": f"""with {FX_STOP} select stop_id, round(lng, 6) as lng, round(lat, 6) as lat, {cell()} as cell_r10
       from {axial("fx_stop", "lng", "lat", 10)}""",
     "feature_json": f"""with {HEXES}, c as (select pq as q, pr as r, municipality, addresses, livability, score_bike from hexed),
@@ -506,3 +508,4 @@ ORACLE: dict[str, str] = {
       best as (select *, {_personal} as personal_score from timed order by personal_score desc, q, r limit 10)
       select {cell()} as cell, round(personal_score, 4) as personal_score, {_why} as why from best""",
 }
+ORACLE |= {name: ORACLE["poi_elements"] for name in ("elements_document", "elements_files")}  # the same points, however they landed

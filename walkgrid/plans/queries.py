@@ -118,8 +118,9 @@ def haversine_pairs(spark, sf):
     b = fx.amenities(spark, sf).select(F.col("pid").alias("id"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"))
     metres = haversine(F.col("lng1"), F.col("lat1"), F.col("lng2"), F.col("lat2"))
     # every amenity once: addresses are met round by round, and both tables count from 1
-    n = a.agg(F.max("id")).first()[0] or 1
-    pairs = b.withColumn("home", (F.col("id") - 1) % n + 1).join(a.withColumnRenamed("id", "home"), "home")
+    most = a.agg(F.max("id").alias("n"))  # one row
+    home = (F.col("id") - 1) % F.col("n") + 1
+    pairs = b.join(F.broadcast(most)).withColumn("home", home).join(a.withColumnRenamed("id", "home"), "home")
     return pairs.select("id", F.round(metres, 2).alias("metres"))
 
 
@@ -271,11 +272,9 @@ def map_center(spark, sf):
     return rounded(rollup.map_center(hexes), 6, "lat", "lng")
 
 
-def _poi_points(spark, sf):
+def _poi_points(spark, sf, bbox=None):
     """Elements as JSON lines, parsed and classified."""
-    elements = fx.elements(spark, sf)
-    line = F.to_json(F.struct("type", "id", "lon", "lat", "center", "tags"))
-    return am.poi_points(files.parse_elements(elements.select(line.alias("line"), "position"), "line", "position"))
+    return am.poi_points(files.parse_elements(_element_lines(spark, sf), "value", "position"), bbox)
 
 
 def _stop_points(spark, sf):
@@ -288,9 +287,9 @@ def poi_elements(spark, sf):
 
 
 def poi_bbox(spark, sf):
-    """POIs of the southern half of the source box."""
+    """POIs of the southern half of the source box, which is cut out before anything is shuffled."""
     min_lng, min_lat, max_lng, _ = POI_BBOX
-    points = _poi_points(spark, sf).filter(am.in_bbox(F.col("lng"), F.col("lat"), (min_lng, min_lat, max_lng, 45.5)))
+    points = _poi_points(spark, sf, (min_lng, min_lat, max_lng, 45.5))
     return points.groupBy("fclass").agg(F.count("*").alias("n"), F.round(F.max("lat"), 6).alias("max_lat"))
 
 
@@ -525,6 +524,46 @@ def geojson_addresses(spark, sf):
     return am.indexed_addresses(back).select("ID_UEV", "MUNICIPALITE", "NOMBRE_LOGEMENT", "NOM_RUE", "cell_r10")
 
 
+def _one_document(items: DataFrame, order: str, array: str, path: str) -> None:
+    """``value`` texts as one landed file ``{"<array>": [...]}``. One file is one task to write, sorted on disk; not to read."""
+    lines = items.select(F.lit(1).alias("part"), F.col(order).alias("at"), "value")
+    ends = items.sparkSession.range(2).select((F.col("id") * 2).cast("int").alias("part"), F.lit(None).cast(lines.schema["at"].dataType).alias("at"), F.when(F.col("id") == 0, f'{{"kind": "]}}", "{array}": [{{"type": null}}').otherwise("]}").alias("value"))
+    text = F.when(F.col("part") == 1, F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value")
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "at").select(text).write.text(path)
+
+
+def feature_collection(spark, sf):
+    """Parks as one GeoJSON document, read in ranges of 8 KB."""
+    path = scratch_path(spark, "features")
+    parks = fx.parks(spark, sf)
+    _one_document(_feature_lines(parks, "Polygon", F.transform("rings", _pairs), "park_id").select("value", F.get_json_object("value", "$.properties.park_id").cast("long").alias("at")), "at", "features", path)
+    back = files.read_features(spark, path, "polygon", "park_id long", multiline=True, split=8 << 10).filter("park_id is not null")
+    vertices = back.select("park_id", F.posexplode(F.get("rings", F.lit(0))).alias("i", "p"))
+    return vertices.select("park_id", "i", F.round("p.lng", 6).alias("lng"), F.round("p.lat", 6).alias("lat"))
+
+
+def _element_lines(spark, sf):
+    return fx.elements(spark, sf).select(F.to_json(F.struct("type", "id", "lon", "lat", "center", "tags")).alias("value"), "position")
+
+
+def elements_document(spark, sf):
+    """POI elements as one document, read in ranges of 64 KB; the first of a repeated element wins by its place in the document."""
+    path = scratch_path(spark, "elements")
+    _one_document(_element_lines(spark, sf), "position", "elements", path)
+    points = am.poi_points(files.read_elements(spark, path, multiline=True, split=64 << 10))
+    return rounded(points.withColumn("category", am.category_of(F.col("fclass"))), 6, "lng", "lat")
+
+
+def elements_files(spark, sf):
+    """POI elements line by line in files of unequal size; the first wins by file name and place, however Spark deals the files."""
+    path = scratch_path(spark, "elements")
+    lines = _element_lines(spark, sf)
+    part = F.when(F.col("position.copy") == 1, 2).when(F.col("position.p_partkey") % 10 != 0, 1).otherwise(0).alias("part")
+    lines.select(part, "position", "value").repartitionByRange(3, "part").sortWithinPartitions("part", "position").select("value").write.text(path)
+    points = am.poi_points(files.read_elements(spark, path))
+    return rounded(points.withColumn("category", am.category_of(F.col("fclass"))), 6, "lng", "lat")
+
+
 def stops_csv(spark, sf):
     path = scratch_path(spark, "stops")
     fx.stops(spark, sf).write.option("header", True).csv(path)
@@ -564,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         boundary_types, check_schema, check_uniqueness, check_completeness, check_range, check_bundle_by_shard,
         latest_verdicts, verdict_tally, error_failures, reused_verdicts, stale_tables, changed_shards,
         shard_reconcile, sql_fragment, snapshot_roundtrip, sharded_roundtrip, one_shard, snapshot_metadata,
-        read_formats, geojson_paths, geojson_boundaries, geojson_addresses, stops_csv, feature_json, personal_top,
+        read_formats, geojson_paths, geojson_boundaries, geojson_addresses, feature_collection, elements_document,
+        elements_files, stops_csv, feature_json, personal_top,
     )
 }

@@ -1,17 +1,22 @@
 """Readers for landed files: GeoJSON features, stop lists, POI elements, and any columnar or text table.
 
-Feature and element readers know their schema; the stop list and ``read_data`` without a schema look at their input first. Newline-delimited files split over tasks; a file that is
-one JSON document (``multiline=True``) is one task by nature.
+Feature and element readers know their schema; the stop list and ``read_data`` without a schema look at their input first.
+Newline-delimited files split over tasks, and so does a file that is one JSON document (``multiline=True``): it is cut into byte
+ranges of ``split`` bytes at object borders (``documents``). With ``split=None`` Spark reads it whole, in one task, from any file
+system.
 """
 
 from __future__ import annotations
 
+from pathlib import PurePosixPath
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walkgrid.functions.geo import to_wgs84
 from walkgrid.operators.amenities import require_columns
+from walkgrid.sources import documents
 
 ADDRESS_PROPERTIES = (
     "ID_UEV string, CIVIQUE_DEBUT string, CIVIQUE_FIN string, NOM_RUE string, SUITE_DEBUT string, "
@@ -26,7 +31,9 @@ ELEMENT_SCHEMA = (
     "type string, id long, lon double, lat double, center struct<lon: double, lat: double>, tags map<string,string>"
 )
 
-_FORMATS = ("csv", "json", "parquet")
+#: What Spark's readers are told, by format; other names of a format.
+_OPTIONS = {"csv": {"header": "true"}, "json": {}, "parquet": {}}
+_ALIASES = {"pq": "parquet"}
 
 
 def _properties(properties: str) -> T.StructType:
@@ -52,6 +59,7 @@ def read_features(
     properties: str = "",
     srid: int | None = None,
     multiline: bool = False,
+    split: int | None = documents.RANGE,
 ) -> DataFrame:
     """GeoJSON features as rows: the properties, then the geometry in WGS84.
 
@@ -65,7 +73,9 @@ def read_features(
             T.StructField("geometry", T.StructType.fromDDL("type string, coordinates string")),
         ]
     )
-    if multiline:
+    if multiline and split:
+        rows = documents.read_array(spark, path, "features", split).select(F.from_json("value", feature).alias("f")).select("f.*")
+    elif multiline:
         document = T.StructType([T.StructField("features", T.ArrayType(feature))])
         rows = spark.read.schema(document).option("multiLine", True).json(path)
         rows = rows.select(F.explode("features").alias("f")).select("f.*")
@@ -104,13 +114,16 @@ def read_stops(spark: SparkSession, path: str, columns: tuple[str, ...] = ("stop
     )
 
 
-def read_elements(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_elements(spark: SparkSession, path: str, multiline: bool = False, split: int | None = documents.RANGE) -> DataFrame:
     """POI elements, one per line or (``multiline``) one document with ``elements``; ``position`` is source order: by file
     name, then by place in the file, whatever order Spark reads files in."""
     if not multiline:
         rows = spark.read.schema(ELEMENT_SCHEMA).json(path)
         at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
         return rows.withColumn("position", at)
+    if split:
+        lines = documents.read_array(spark, path, "elements", split)
+        return parse_elements(lines.select("value", F.struct("file", F.col("position").alias("block"), F.lit(0).cast("long").alias("pos")).alias("position")), "value", "position")
     document = T.StructType([T.StructField("elements", T.ArrayType(T.StructType.fromDDL(ELEMENT_SCHEMA)))])
     rows = spark.read.schema(document).option("multiLine", True).json(path)
     return rows.select(F.input_file_name().alias("file"), F.posexplode("elements").alias("pos", "e")).select(
@@ -125,16 +138,15 @@ def parse_elements(lines: DataFrame, text: str, position: str) -> DataFrame:
 
 
 def read_data(spark: SparkSession, path: str, format: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
-    """Any Parquet, CSV or JSON table; the format comes from the extension if not given (``pq`` is Parquet).
+    """A Parquet, CSV (first line: names) or JSON table; without ``format`` the path's ending tells which.
 
     Without ``schema`` CSV and JSON are scanned once more to infer it.
     """
-    if format is None:
-        extension = path.rstrip("/").rsplit(".", 1)[-1].lower()
-        format = {"pq": "parquet"}.get(extension, extension)
-    if format not in _FORMATS:
-        raise ValueError(f"unsupported format {format!r}; expected one of {list(_FORMATS)}")
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    if format == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-    return reader.format(format).load(path)
+    ending = PurePosixPath(path).suffix.removeprefix(".").lower() if format is None else format
+    kind = _ALIASES.get(ending, ending)
+    if kind not in _OPTIONS:
+        raise ValueError(f"{path}: unsupported format {ending!r}, not one of {', '.join(_OPTIONS)}")
+    reader = spark.read.options(**_OPTIONS[kind])
+    if schema is not None:
+        return reader.schema(schema).format(kind).load(path)
+    return reader.option("inferSchema", True).format(kind).load(path)
