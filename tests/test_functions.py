@@ -7,6 +7,7 @@ from walkgrid.constants import CATEGORIES, DEFAULT_WEIGHTS
 from walkgrid.functions.geo import haversine, to_wgs84
 from walkgrid.functions.grid import DEFAULT_GRID as GRID
 from walkgrid.functions.grid import hex_distance, ring_offsets
+from walkgrid.functions.projection import system
 from walkgrid.functions.score import blend, check_weights, custom_blend, distance_score, score_color
 from walkgrid.functions.text import label, match_key, thousands
 from walkgrid.operators.amenities import line_cells, traced_lines, with_parent
@@ -47,7 +48,27 @@ def test_mercator(spark):
     lng, lat = df.select(*to_wgs84(F.col("x"), F.col("y"), 3857)).first()
     assert (lng, lat) == (pytest.approx(-73.572, abs=1e-3), pytest.approx(45.433, abs=1e-3))
     with pytest.raises(ValueError):
-        to_wgs84(F.col("x"), F.col("y"), 2950)
+        to_wgs84(F.col("x"), F.col("y"), 27700)
+
+
+@pytest.mark.parametrize("srid", [2950, 32188, 26918, 32618, 32718, 32631])
+def test_transverse_mercator_there_and_back(spark, srid):
+    """All over a zone and three degrees beyond, with the published length of the meridian's half."""
+    zone = system(srid)
+    south = -1 if zone.northing else 1
+    points = [(zone.meridian + d / 2, south * lat) for d in range(-9, 10) for lat in (0.0, 1e-7, 12.5, 45.0, 60.0, 83.9)]
+    df = spark.createDataFrame(points, "lng double, lat double")
+    x, y = zone.project(F.col("lng"), F.col("lat"))
+    df = df.withColumn("x", x).withColumn("y", y)
+    lng, lat = to_wgs84(F.col("x"), F.col("y"), srid)
+    rows = df.select("*", lng.alias("lng2"), lat.alias("lat2")).collect()
+    assert max(max(abs(r["lng"] - r["lng2"]), abs(r["lat"] - r["lat2"])) for r in rows) < 1e-10
+    on_axis = [r for r in rows if r["lng"] == zone.meridian]
+    assert all(r["x"] == pytest.approx(zone.easting, abs=1e-6) for r in on_axis)
+    equator = next(r for r in on_axis if r["lat"] == 0)
+    assert equator["y"] == pytest.approx(zone.northing, abs=1e-6)
+    halfway = next(r for r in on_axis if abs(r["lat"]) == 45)
+    assert abs(halfway["y"] - zone.northing) == pytest.approx(4_984_944.378 * zone.scale, abs=2e-3)  # the published arc to 45 degrees
 
 
 def test_center_lies_in_its_cell_and_parent_is_unique(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walkgrid.constants import EARTH_RADIUS_M
+from walkgrid.functions.projection import system
 
 POINT = T.StructType([T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 LINE = T.ArrayType(POINT)
@@ -37,14 +38,18 @@ def arc_of(half_chord: Column) -> Column:
 
 
 def to_wgs84(x: Column, y: Column, srid: int | None) -> tuple[Column, Column]:
-    """(lng, lat) of coordinates in ``srid``: unknown or 4326 as they are, 3857 by the closed form."""
+    """(lng, lat) of coordinates in ``srid``: unknown or 4326 as they are, 3857 by the closed form, transverse Mercator systems
+    (``projection.system``) by their series."""
     if srid in (None, 4326):
         return x, y
     if srid == 3857:
         lng = x / M_PER_DEG
         lat = F.degrees(F.atan(F.exp(y / EARTH_RADIUS_M)) * 2 - math.pi / 2)
         return lng, lat
-    raise ValueError(f"unsupported srid {srid}; expected 4326 or 3857")
+    projected = system(srid)
+    if projected is None:
+        raise ValueError(f"unsupported srid {srid}: neither 4326 nor 3857 nor a known transverse Mercator zone")
+    return projected.unproject(x, y)
 
 
 def ring_edges(ring: Column) -> Column:

@@ -12,8 +12,9 @@ from walkgrid.constants import (
 )
 from walkgrid.functions.geo import M_PER_DEG
 from walkgrid.functions.grid import DEFAULT_GRID, SQRT3
+from walkgrid.functions.projection import system
 from walkgrid.plans.personal import SPEED
-from walkgrid.plans.queries import ANCHORS, CHOSEN, CUSTOM_WEIGHTS
+from walkgrid.plans.queries import ANCHORS, CHOSEN, CUSTOM_WEIGHTS, PROJECTED
 
 LAT0, LNG0, MX = DEFAULT_GRID.lat0, DEFAULT_GRID.lng0, DEFAULT_GRID.m_per_deg_lng
 VALUES = ("livability", *[f"score_{c}" for c in CATEGORIES])
@@ -299,6 +300,27 @@ FIRST_RING = f"""{FX_ADDRESS}, {FX_AMENITY}, {CELLED},
     join shops s on s.category = g.category and greatest(abs(s.sq - a.q), abs(s.sr - a.r), abs(s.sq - a.q + s.sr - a.r)) = g.k
     where g.k <= 10 group by a.id, s.category)"""
 
+def projected(source: str, srid: int) -> str:
+    """``source`` plus ``x``, ``y`` in a transverse Mercator system, by the power series in the difference of longitude."""
+    tm = system(srid)
+    a, f = tm.ellipsoid[0], 1 / tm.ellipsoid[1]
+    n, e2 = f / (2 - f), f * (2 - f)
+    arc = (
+        f"({num(a / (1 + n) * (1 + n**2 / 4 + n**4 / 64))} * p - {num(a / (1 + n) * 1.5 * (n - n**3 / 8))} * sin(2 * p)"
+        f" + {num(a / (1 + n) * 15 / 16 * (n**2 - n**4 / 4))} * sin(4 * p) - {num(a / (1 + n) * 35 / 48 * n**3)} * sin(6 * p)"
+        f" + {num(a / (1 + n) * 315 / 512 * n**4)} * sin(8 * p))"
+    )
+    return f"""(select * exclude (p, w, s2, nu, psi, t, c), {num(tm.easting)} + {num(tm.scale)} * nu * w * c * (1 + w * w * c * c / 6 * (psi - t * t)
+        + pow(w * c, 4) / 120 * (4 * pow(psi, 3) * (1 - 6 * t * t) + psi * psi * (1 + 8 * t * t) - psi * 2 * t * t + pow(t, 4))
+        + pow(w * c, 6) / 5040 * (61 - 479 * t * t + 179 * pow(t, 4) - pow(t, 6))) as x,
+      {num(tm.northing)} + {num(tm.scale)} * ({arc} + nu * sin(p) * c * w * w / 2 * (1 + w * w * c * c / 12 * (4 * psi * psi + psi - t * t)
+        + pow(w * c, 4) / 360 * (8 * pow(psi, 4) * (11 - 24 * t * t) - 28 * pow(psi, 3) * (1 - 6 * t * t) + psi * psi * (1 - 32 * t * t)
+          - psi * 2 * t * t + pow(t, 4))
+        + pow(w * c, 6) / 20160 * (1385 - 3111 * t * t + 543 * pow(t, 4) - pow(t, 6)))) as y
+      from (select *, {num(a)} / sqrt(1 - {num(e2)} * s2) as nu, (1 - {num(e2)} * s2) / {num(1 - e2)} as psi, tan(p) as t, cos(p) as c
+      from (select *, radians(lat) as p, radians(lng - {num(tm.meridian)}) as w, pow(sin(radians(lat)), 2) as s2 from {source})))"""
+
+
 _clamped = "greatest(0e0, least(100e0, c_acctbal / 80e0))"
 _custom = {c: DEFAULT_WEIGHTS[c] for c in CATEGORIES if c in CHOSEN}
 _anchor_minutes = {
@@ -345,6 +367,8 @@ ORACLE: dict[str, str] = {
     "polygon_point": f"""with {PARK_POINT} select park_id, round(lng, 6) as lng, round(lat, 6) as lat, {cell()} as cell
       from park_cells""",
     "mercator_to_wgs84": f"with {FX_ADDRESS} select id, round(lng, 6) as lng, round(lat, 6) as lat from fx_address",
+    "projected_to_wgs84": f"""with {FX_ADDRESS}, landed as ({" union all ".join(f"select *, {srid} as srid from " + projected(f"(select * from fx_address where id % 2 = {k})", srid) for k, srid in enumerate(PROJECTED))})
+      select id, cast(srid as integer) as srid, round(x, 2) as x, round(y, 2) as y, round(lng, 6) as lng, round(lat, 6) as lat from landed""",
     "haversine_pairs": f"""with {FX_ADDRESS}, {FX_AMENITY}
       select b.pid as id, round({metres("a.lng", "a.lat", "b.lng", "b.lat")}, 2) as metres
       from fx_amenity b join fx_address a on a.id = (b.pid - 1) % (select max(id) from fx_address) + 1""",

@@ -12,6 +12,7 @@ from walkgrid.constants import CATEGORIES, DIST_COLUMNS, POI_BBOX, SCORE_COLUMNS
 from walkgrid.functions.geo import M_PER_DEG, haversine, to_wgs84
 from walkgrid.functions.grid import DEFAULT_GRID as GRID
 from walkgrid.functions.grid import around_cells, cell_id, hex_distance
+from walkgrid.functions.projection import system
 from walkgrid.functions.score import custom_blend, distance_score, score_color
 from walkgrid.operators import amenities as am
 from walkgrid.operators import quality, rollup
@@ -28,6 +29,7 @@ from walkgrid.sources.sql import SQL, query
 from walkgrid.sources.store import SnapshotStore
 
 CUSTOM_WEIGHTS = {"grocery": 0.5, "transit": 0.3, "park": 0.0, "bike": 0.1, "school": 0.05, "health": 0.3}
+PROJECTED = (2950, 32618)
 CHOSEN = ("grocery", "park", "bike")
 ANCHORS = (
     Anchor("work", 45.505, -73.57, 0.5, "transit"),
@@ -113,6 +115,18 @@ def mercator_to_wgs84(spark, sf):
     return placed.select("id", F.round(lng, 6).alias("lng"), F.round(lat, 6).alias("lat"))
 
 
+def projected_to_wgs84(spark, sf):
+    """Addresses as landed in two projected systems: even ids in a three-degree zone, odd ids in a UTM zone; and back."""
+    found = []
+    for parity, srid in enumerate(PROJECTED):
+        placed = fx.addresses(spark, sf).filter(F.col("id") % 2 == parity)
+        x, y = system(srid).project(F.col("lng"), F.col("lat"))
+        landed = placed.select("id", F.lit(srid).alias("srid"), x.alias("x"), y.alias("y"))
+        lng, lat = to_wgs84(F.col("x"), F.col("y"), srid)
+        found.append(landed.select("id", "srid", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"), F.round(lng, 6).alias("lng"), F.round(lat, 6).alias("lat")))
+    return found[0].unionByName(found[1])
+
+
 def haversine_pairs(spark, sf):
     a = fx.addresses(spark, sf).select("id", F.col("lat").alias("lat1"), F.col("lng").alias("lng1"))
     b = fx.amenities(spark, sf).select(F.col("pid").alias("id"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"))
@@ -596,7 +610,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
-        mercator_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
+        mercator_to_wgs84, projected_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
         cell_scores, livability, livability_custom_weights, custom_blends, score_colors, score_profile, score_metadata,
         tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,
