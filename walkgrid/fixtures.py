@@ -155,6 +155,30 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two regions with a reference point each, far apart in latitude, so that their planes differ in width too."""
+    k = F.col("r_regionkey").cast("double")
+    return table(spark, sf_dir, "region").filter("r_regionkey < 2").select(
+        F.col("r_name").alias("region"), (k * 14.75 + 45.5).alias("lat0"), (k * 98.5 - 73.6).alias("lng0")
+    )
+
+
+def in_regions(df: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of which those with an odd key are moved to the second region, with the name of their region."""
+    names = table(spark, sf_dir, "region").filter("r_regionkey < 2").select(F.col("r_regionkey").alias("_side"), F.col("r_name").alias("region"))
+    side = F.pmod(F.col(key), F.lit(2)).cast("int")
+    moved = df.withColumn("_side", side.cast(names.schema["_side"].dataType))
+    moved = moved.withColumns({"lat": F.col("lat") + side.cast("double") * 14.75, "lng": F.col("lng") + side.cast("double") * 98.5})
+    return moved.join(names, "_side").drop("_side")
+
+
+def region_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boundaries in both regions."""
+    both = boundaries(spark, sf_dir).withColumn("_side", F.explode(F.array(F.lit(0.0), F.lit(1.0))))
+    point = lambda p: F.struct((p["lng"] + F.col("_side") * 98.5).alias("lng"), (p["lat"] + F.col("_side") * 14.75).alias("lat"))
+    return both.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, point))).drop("_side")
+
+
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check history; the newest per (asset, check_name, shard) is by (run_ts, event_id)."""
     return table(spark, sf_dir, "events").select(

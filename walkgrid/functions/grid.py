@@ -1,8 +1,8 @@
 """Planar hexagon grid: cells as axial (q, r) integers, everything a Column expression.
 
 Positions become metres on a local equirectangular plane around a reference point, then axial hexagon coordinates by
-cube rounding. A cell id is the text ``res:q:r``. The reference point is a parameter: the plane is meant for one
-region (a city, a province), not for a continent.
+cube rounding. A cell id is the text ``res:q:r``. The reference point is a parameter (``HexGrid``), or a column that differs by
+region (``RegionGrid``): a plane is meant for one region (a city, a province), not for a continent.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ def hex_distance(q1: Column, r1: Column, q2: Column, r2: Column) -> Column:
     return F.greatest(F.abs(dq), F.abs(dr), F.abs(dq + dr))
 
 
-def cell_id(res: int, q: Column, r: Column) -> Column:
-    return F.concat(F.lit(f"{res}:"), q.cast("string"), F.lit(":"), r.cast("string"))
+def cell_id(res: int, q: Column, r: Column, region: Column | None = None) -> Column:
+    """``res:q:r``, with ``region/`` before it where cells of several regions stand side by side."""
+    own = F.concat(F.lit(f"{res}:"), q.cast("string"), F.lit(":"), r.cast("string"))
+    return own if region is None else F.concat(region, F.lit("/"), own)
 
 
 def cell_q(cell: Column) -> Column:
@@ -91,10 +93,20 @@ class HexGrid:
     lat0: float = 45.5
     lng0: float = -73.6
 
+    #: Columns that tell apart cells of equal (q, r).
+    keys = ()
+
     @property
     def m_per_deg_lng(self) -> float:
         return M_PER_DEG * math.cos(math.radians(self.lat0))
 
+    def attach(self, df: DataFrame) -> DataFrame:
+        """``df`` with what the methods need beside positions and cells."""
+        return df
+
+    def detach(self, df: DataFrame) -> DataFrame:
+        return df
+
     def fractional(self, lng: Column, lat: Column, edge: float) -> tuple[Column, Column]:
         x = (lng - self.lng0) * self.m_per_deg_lng
         y = (lat - self.lat0) * M_PER_DEG
@@ -142,4 +154,27 @@ class HexGrid:
         return F.transform(F.sequence(F.lit(0), steps), at)
 
 
+class RegionGrid(HexGrid):
+    """A plane for each row of ``regions`` (``region``, ``lat0``, ``lng0``; one row a region): rows with a ``region`` get its
+    reference point as columns by an equi-join, and cells are told apart by region. Rows of no known region have no cell."""
+
+    keys = ("region",)
+    _names = ("_grid_lat0", "_grid_lng0")
+
+    def __init__(self, regions: DataFrame) -> None:
+        object.__setattr__(self, "regions", regions.select("region", F.col("lat0").alias(self._names[0]), F.col("lng0").alias(self._names[1])))
+        object.__setattr__(self, "lat0", F.col(self._names[0]))
+        object.__setattr__(self, "lng0", F.col(self._names[1]))
+
+    @property
+    def m_per_deg_lng(self) -> Column:
+        return F.cos(F.radians(self.lat0)) * M_PER_DEG
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.join(self.regions, "region", "left")
+
+    def detach(self, df: DataFrame) -> DataFrame:
+        return df.drop(*self._names)
+
+
 DEFAULT_GRID = HexGrid()

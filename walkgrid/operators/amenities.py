@@ -19,26 +19,26 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+#: (tag key, accepted value, category), in the order in which a key outranks the next.
+_ACCEPTED = [
+    (key, value, category)
+    for key in dict.fromkeys(k for groups in POI_TAGS.values() for k in groups)
+    for category, groups in POI_TAGS.items()
+    for value in groups.get(key, ())
+]
+
+
 def accepted_class(tags: Column) -> Column:
-    """First accepted tag value, looking at the tag keys in the order they are declared; else null."""
-    values: dict[str, list[str]] = {}
-    for groups in POI_TAGS.values():
-        for key, accepted in groups.items():
-            values.setdefault(key, []).extend(accepted)
-    picks = []
-    for key, accepted in values.items():
-        value = F.try_element_at(tags, F.lit(key))
-        picks.append(F.when(value.isin(*accepted), value))
-    return F.coalesce(*picks)
+    """The value of the first tag key, in rank order, that has an accepted one; else null."""
+    found = [F.try_element_at(tags, F.lit(key)) for key in dict.fromkeys(k for k, _, _ in _ACCEPTED)]
+    allowed = [[v for k, v, _ in _ACCEPTED if k == key] for key in dict.fromkeys(k for k, _, _ in _ACCEPTED)]
+    return F.coalesce(*[F.when(value.isin(*values), value) for value, values in zip(found, allowed, strict=True)])
 
 
 def category_of(fclass: Column) -> Column:
     """Scored category of a class, null if it has none."""
-    rules = None
-    for category, groups in POI_TAGS.items():
-        values = [v for accepted in groups.values() for v in accepted]
-        rules = F.when(fclass.isin(*values), category) if rules is None else rules.when(fclass.isin(*values), category)
-    return rules
+    by_class = F.create_map(*[F.lit(x) for _, value, category in _ACCEPTED for x in (value, category)])
+    return F.try_element_at(by_class, fclass)
 
 
 def in_bbox(lng: Column, lat: Column, bbox: tuple[float, float, float, float]) -> Column:
@@ -85,7 +85,7 @@ def categorized_pois(pois: DataFrame, grid: HexGrid = DEFAULT_GRID) -> DataFrame
 def indexed(df: DataFrame, grid: HexGrid = DEFAULT_GRID, res: int = 10) -> DataFrame:
     """Add ``cell_r<res>`` of (lng, lat)."""
     q, r = grid.axial(F.col("lng"), F.col("lat"), res)
-    return df.withColumn(f"cell_r{res}", cell_id(res, q, r))
+    return grid.detach(grid.attach(df).withColumn(f"cell_r{res}", cell_id(res, q, r, *map(F.col, grid.keys))))
 
 
 def with_parent(
@@ -98,16 +98,17 @@ def with_parent(
     """
     pq, pr = grid.parent(F.col("q"), F.col("r"), res, coarse)
     pair = F.explode(F.array(F.struct(pq.alias(names[0]), pr.alias(names[1])))).alias("_parent")
-    return df.select("*", pair).select(*df.columns, f"_parent.{names[0]}", f"_parent.{names[1]}")
+    return grid.attach(df).select(*df.columns, pair).select(*df.columns, f"_parent.{names[0]}", f"_parent.{names[1]}")
 
 
 def indexed_addresses(addresses: DataFrame, grid: HexGrid = DEFAULT_GRID) -> DataFrame:
     """Add the analysis cell and its shard cell; rows without a position (so without a cell) are dropped."""
     q, r = grid.axial(F.col("lng"), F.col("lat"), 10)
-    placed = addresses.dropna(subset=["lng", "lat"]).withColumns({"q": q, "r": r})
+    placed = grid.detach(grid.attach(addresses.dropna(subset=["lng", "lat"])).withColumns({"q": q, "r": r}))
     sharded = with_parent(placed, 10, 6, grid=grid)
+    key = [F.col(k) for k in grid.keys]
     return sharded.withColumns(
-        {"cell_r10": cell_id(10, F.col("q"), F.col("r")), "cell_r6": cell_id(6, F.col("pq"), F.col("pr"))}
+        {"cell_r10": cell_id(10, F.col("q"), F.col("r"), *key), "cell_r6": cell_id(6, F.col("pq"), F.col("pr"), *key)}
     ).drop("q", "r", "pq", "pr")
 
 

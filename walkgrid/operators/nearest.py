@@ -242,11 +242,12 @@ def nearest(
     if mode not in ("exact", "first_ring"):
         raise ValueError(f"unknown mode {mode!r}; expected 'exact' or 'first_ring'")
     double = lambda name: F.col(name).cast("double").alias(name)
-    a = addresses.select(double("lat"), double("lng")).dropna().distinct()
+    own = [] if mode == "exact" else list(grid.keys)  # rings stay within their region
+    a = addresses.select(*own, double("lat"), double("lng")).dropna().distinct()
     cat = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("category")).cast("int")
     b = (
         amenities.filter(F.col("category").isin(*CATEGORIES))
-        .select(cat.alias("cat"), double("lat"), double("lng"))
+        .select(*own, cat.alias("cat"), double("lat"), double("lng"))
         .dropna()
         .distinct()
     )
@@ -255,7 +256,9 @@ def nearest(
         groups = [F.floor(F.col(f"u{x}") / side_len) for x in AXES]
     else:
         side_len = 2 * EDGE_M[10] / EARTH_RADIUS_M
-        groups = [*(x.cast("long") for x in grid.axial(F.col("lng"), F.col("lat"), 10)), F.lit(0).cast("long")]
+        region = F.xxhash64(*own) if own else F.lit(0).cast("long")
+        groups = [*(x.cast("long") for x in grid.axial(F.col("lng"), F.col("lat"), 10)), region]
+        a, b = grid.attach(a), grid.attach(b)
     unit = _unit_vector(F.col("lng"), F.col("lat"))
     named = lambda side: [g.alias(f"{side}g{i}") for i, g in enumerate(groups, 1)]
     seekers = materialize(a.select("*", *unit).select("*", *named("a")), "nearest-addresses")

@@ -188,9 +188,9 @@ def tag_cells(
     cells: DataFrame, boundaries: DataFrame, res: int = 10, grid: HexGrid = DEFAULT_GRID,
     unknown: str = UNKNOWN_MUNICIPALITY,
 ) -> DataFrame:
-    """``cells`` (one row per q, r) plus ``municipality``: the boundary holding the cell's centre, else ``unknown``."""
+    """``cells`` (one row per q, r; and region) plus ``municipality``: the boundary holding the cell's centre, else ``unknown``."""
     lng, lat = grid.center(F.col("q"), F.col("r"), res)
-    centers = cells.withColumns({"lng": lng, "lat": lat})
+    centers = grid.detach(grid.attach(cells).withColumns({"lng": lng, "lat": lat}))
     tagged = with_containing_polygon(centers, boundaries, "municipality").drop("lng", "lat")
     return tagged.withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))
 
@@ -200,5 +200,6 @@ def tag_rows(
     unknown: str = UNKNOWN_MUNICIPALITY,
 ) -> DataFrame:
     """Any rows with (q, r) plus ``municipality``; the lookup runs once per distinct cell. No cell: ``unknown``."""
-    tagged = tag_cells(df.select("q", "r").dropna().distinct(), boundaries, res, grid, unknown)
-    return df.join(tagged, ["q", "r"], "left").withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))
+    cell = [*grid.keys, "q", "r"]
+    tagged = tag_cells(df.select(*cell).dropna().distinct(), boundaries, res, grid, unknown)
+    return df.join(tagged, cell, "left").withColumn("municipality", F.coalesce("municipality", F.lit(unknown)))

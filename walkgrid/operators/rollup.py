@@ -26,14 +26,18 @@ def address_weighted(scores: DataFrame, *group: str) -> DataFrame:
     return sums.select(*group, "addresses", *[F.try_divide(F.col(v), F.col("addresses")).alias(v) for v in VALUE_COLUMNS])
 
 
+def _most_frequent(value: str, n: str) -> Column:
+    """Of counted values the most frequent: ties go to the smallest, nulls do not count."""
+    return F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col(n)).alias("minus_n"), F.col(value).alias("v"))))["v"]
+
+
 def dominant(df: DataFrame, group: list[str], value: str, unknown: str = UNKNOWN_MUNICIPALITY) -> DataFrame:
     """Most frequent ``value`` per group; ties go to the smallest, nulls do not count, no value gives ``unknown``.
 
     Counted per (group, value) first, so a crowded group is combined before it meets in one task.
     """
     counts = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    best = F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col("_n")).alias("minus_n"), F.col(value).alias("v"))))
-    return counts.groupBy(*group).agg(F.coalesce(best["v"], F.lit(unknown)).alias(value))
+    return counts.groupBy(*group).agg(F.coalesce(_most_frequent(value, "_n"), F.lit(unknown)).alias(value))
 
 
 def hex_rollup(scores: DataFrame, res: int = 9, fine: int = 10, grid: HexGrid = DEFAULT_GRID) -> DataFrame:
@@ -41,22 +45,17 @@ def hex_rollup(scores: DataFrame, res: int = 9, fine: int = 10, grid: HexGrid =
 
     The means and the mode share one aggregate per (coarse cell, municipality) and one per coarse cell.
     """
+    coarse = [*grid.keys, "pq", "pr"]
     parts = (
         with_parent(scores.dropna(subset=["q", "r"]), fine, res, grid=grid)
-        .groupBy("pq", "pr", "municipality")
+        .groupBy(*coarse, "municipality")
         .agg(F.count("*").alias("_n"), *_weighted_sums())
     )
-    best = F.min(
-        F.when(
-            F.col("municipality").isNotNull(),
-            F.struct((-F.col("_n")).alias("minus_n"), F.col("municipality").alias("v")),
-        )
-    )
-    whole = parts.groupBy("pq", "pr").agg(
-        best["v"].alias("municipality"), *[F.sum(c).alias(c) for c in ("addresses", *VALUE_COLUMNS)]
-    )
+    sums = [F.sum(c).alias(c) for c in ("addresses", *VALUE_COLUMNS)]
+    whole = grid.attach(parts.groupBy(*coarse).agg(_most_frequent("municipality", "_n").alias("municipality"), *sums))
     return whole.select(
-        cell_id(res, F.col("pq"), F.col("pr")).alias("cell"),
+        *grid.keys,
+        cell_id(res, F.col("pq"), F.col("pr"), *map(F.col, grid.keys)).alias("cell"),
         F.col("pq").alias("q"),
         F.col("pr").alias("r"),
         "addresses",

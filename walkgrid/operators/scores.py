@@ -16,15 +16,15 @@ from walkgrid.operators.polygons import tag_cells
 def with_cell(df: DataFrame, res: int = 10, grid: HexGrid = DEFAULT_GRID) -> DataFrame:
     """Add the cell (q, r) of each position."""
     q, r = grid.axial(F.col("lng"), F.col("lat"), res)
-    return df.withColumns({"q": q, "r": r})
+    return grid.detach(grid.attach(df).withColumns({"q": q, "r": r}))
 
 
-def cell_scores(distances: DataFrame) -> DataFrame:
-    """Per cell (q, r): address count and the mean of each category score (not the score of the mean distance)."""
+def cell_scores(distances: DataFrame, grid: HexGrid = DEFAULT_GRID) -> DataFrame:
+    """Per cell (q, r; of its region, if the grid has regions): address count and the mean of each category score (not the score of the mean distance)."""
     scored = distances.filter(F.col("q").isNotNull()).select(
-        "q", "r", *[distance_score(F.col(f"dist_{c}")).alias(f"score_{c}") for c in CATEGORIES]
+        *grid.keys, "q", "r", *[distance_score(F.col(f"dist_{c}")).alias(f"score_{c}") for c in CATEGORIES]
     )
-    return scored.groupBy("q", "r").agg(
+    return scored.groupBy(*grid.keys, "q", "r").agg(
         F.count("*").alias("n_addresses"), *[F.avg(s).alias(s) for s in SCORE_COLUMNS]
     )
 
@@ -37,7 +37,7 @@ def livability(
 ) -> DataFrame:
     """Per cell: address count, category scores, municipality and the weighted blend."""
     overall = blend(weights)  # checks the weights before any job
-    return tag_cells(cell_scores(distances), boundaries, grid=grid).withColumn("livability", overall)
+    return tag_cells(cell_scores(distances, grid), boundaries, grid=grid).withColumn("livability", overall)
 
 
 def _long(df: DataFrame, prefix: str) -> DataFrame:

@@ -6,6 +6,8 @@ no bins, no tiles, no shortcuts.
 
 from __future__ import annotations
 
+import math
+
 from walkgrid.constants import (
     CATEGORIES, CATEGORY_LABELS, COLOR_STOPS, DEFAULT_WEIGHTS, EARTH_RADIUS_M, EDGE_M, MAX_RING, POI_TAGS, SCORE_KNOTS,
     UNKNOWN_MUNICIPALITY,
@@ -279,6 +281,22 @@ PARK_POINT = f"""{FX_PARK},
   park_points as (select park_id, lng, lat from spans where best = 1),
   park_cells as (select * from {axial("park_points", "lng", "lat", 10)})"""
 
+def by_region(sql: str) -> str:
+    """The query ``sql`` over either half of the addresses and amenities, the second half in a region elsewhere with its own
+    reference point; ``region`` and the rows of both."""
+    out = []
+    for side in (0, 1):
+        lat0, lng0 = 45.5 + side * 14.75, -73.6 + side * 98.5
+        own = sql.replace(num(MX), num(M_PER_DEG * math.cos(math.radians(lat0)))).replace(num(LAT0), num(lat0)).replace(num(LNG0), num(lng0))
+        for fixture, key in ((FX_ADDRESS, "id"), (FX_AMENITY, "pid"), (FX_MUNICIPALITY, None)):
+            name = fixture.split(" ")[0]
+            rows = f"where {key} % 2 = {side}" if key else ""
+            own = own.replace(fixture, fixture.replace(name, f"raw_{name}", 1) + f""", {name} as (select * replace (
+              lat + {num(side * 14.75)} as lat, lng + {num(side * 98.5)} as lng) from raw_{name} {rows})""")
+        out.append(f"select (select r_name from region where r_regionkey = {side}) as region, * from ({own})")
+    return " union all ".join(out)
+
+
 OUTLINE = ", ".join(f"({i})" for i in range(6))
 
 
@@ -390,6 +408,18 @@ ORACLE: dict[str, str] = {
       round(({" + ".join(f"score_{c} * {num(w)}" for c, w in _custom.items())}) / {num(sum(_custom.values()))}, 4) as blend
       from liv""",
     "score_colors": f"select c_custkey as id, {color(_clamped)} as color from customer",
+    "region_cells": f"""select concat(region, '/', cell) as cell, concat(region, '/', parent_r9) as parent_r9,
+        concat(region, '/', parent_r6) as parent_r6, lng, lat, corner_lng, corner_lat
+      from ({by_region(f"""with {FX_ADDRESS}, {CELLED}, p9 as (select * from {parent("cells", 10, 9, "q9", "r9")}),
+        p6 as (select * from {parent("p9", 10, 6, "q6", "r6")})
+        select {cell()} as cell, {cell(9, "q9", "r9")} as parent_r9, {cell(6, "q6", "r6")} as parent_r6,
+          round({center_lng("q", "r", 10)}, 6) as lng, round({center_lat("r", 10)}, 6) as lat,
+          round({center_lng("q", "r", 10)} + {num(EDGE_M[10])} * cos(radians(90)) / {num(MX)}, 6) as corner_lng,
+          round({center_lat("r", 10)} + {num(EDGE_M[10])} * sin(radians(90)) / {num(M_PER_DEG)}, 6) as corner_lat from p6""")})""",
+    "region_livability": f"""select region, concat(region, '/', cell) as cell, n_addresses, municipality, {", ".join(VALUES)}
+      from ({by_region(f"with {LIV} select {cell()} as cell, n_addresses, municipality, {rounds(VALUES)} from liv")})""",
+    "region_rollup": f"""select region, concat(region, '/', cell) as cell, addresses, {", ".join(VALUES)}, municipality
+      from ({by_region(f"with {HEXES} select {cell(9, 'pq', 'pr')} as cell, addresses, {rounds(VALUES)}, municipality from hexed")})""",
     "score_profile": f"""with {LIV}, long as ({each("select '{c}' as category, score_{c} as s from liv", " union all ")})
       select category, count(*) filter (where s > 0) as cells_scored, count(*) as cells, round(avg(s), 4) as mean_score
       from long group by category""",

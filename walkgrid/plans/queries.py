@@ -11,7 +11,7 @@ from walkgrid import fixtures as fx
 from walkgrid.constants import CATEGORIES, DIST_COLUMNS, POI_BBOX, SCORE_COLUMNS
 from walkgrid.functions.geo import M_PER_DEG, haversine, to_wgs84
 from walkgrid.functions.grid import DEFAULT_GRID as GRID
-from walkgrid.functions.grid import around_cells, cell_id, hex_distance
+from walkgrid.functions.grid import RegionGrid, around_cells, cell_id, hex_distance
 from walkgrid.functions.projection import system
 from walkgrid.functions.score import custom_blend, distance_score, score_color
 from walkgrid.operators import amenities as am
@@ -207,6 +207,41 @@ def score_colors(spark, sf):
     )
 
 
+def _region_addresses(spark, sf):
+    return fx.in_regions(fx.addresses(spark, sf), "id", spark, sf)
+
+
+def region_cells(spark, sf):
+    """Two cities in one table: cells of equal numbers in both, told apart by region; parents, centres and a corner of the outline."""
+    grid = RegionGrid(fx.regions(spark, sf))
+    cells = sc.with_cell(_region_addresses(spark, sf), grid=grid).select("region", "q", "r").dropna().distinct()
+    cells = grid.attach(am.with_parent(am.with_parent(cells, 10, 9, ("q9", "r9"), grid), 10, 6, ("q6", "r6"), grid))
+    lng, lat = grid.center(F.col("q"), F.col("r"), 10)
+    corner = F.get(grid.outline(F.col("q"), F.col("r"), 10), 2)
+    ids = [cell_id(res, F.col(q), F.col(r), F.col("region")).alias(name) for res, q, r, name in ((10, "q", "r", "cell"), (9, "q9", "r9", "parent_r9"), (6, "q6", "r6", "parent_r6"))]
+    places = {"lng": lng, "lat": lat, "corner_lng": corner["lng"], "corner_lat": corner["lat"]}
+    return cells.select(*ids, *[F.round(c, 6).alias(n) for n, c in places.items()])
+
+
+def _region_livability(spark, sf, mode="exact"):
+    grid = RegionGrid(fx.regions(spark, sf))
+    amenities = fx.in_regions(fx.amenities(spark, sf), "pid", spark, sf)
+    distances = nearest(_region_addresses(spark, sf), amenities, mode=mode, grid=grid)
+    return sc.livability(sc.with_cell(distances, grid=grid), am.municipalities(fx.region_boundaries(spark, sf)), grid=grid), grid
+
+
+def region_livability(spark, sf):
+    scores, _ = _region_livability(spark, sf)
+    own = cell_id(10, F.col("q"), F.col("r"), F.col("region"))
+    return rounded(scores.select("region", own.alias("cell"), "n_addresses", "municipality", *SCORE_COLUMNS, "livability"), 4, *SCORE_COLUMNS, "livability")
+
+
+def region_rollup(spark, sf):
+    scores, grid = _region_livability(spark, sf)
+    hexes = rollup.hex_rollup(scores, grid=grid).drop("q", "r", "outline")
+    return rounded(hexes, 4, *rollup.VALUE_COLUMNS)
+
+
 def score_profile(spark, sf):
     return rounded(sc.score_profile(_livability(spark, sf)), 4, "mean_score")
 
@@ -611,7 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
         mercator_to_wgs84, projected_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
-        cell_scores, livability, livability_custom_weights, custom_blends, score_colors, score_profile, score_metadata,
+        cell_scores, livability, livability_custom_weights, region_cells, region_livability, region_rollup, custom_blends, score_colors, score_profile, score_metadata,
         tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,
         boundary_types, check_schema, check_uniqueness, check_completeness, check_range, check_bundle_by_shard,
