@@ -59,6 +59,14 @@ def table(df: DataFrame, label: str) -> DataFrame:
         conf.unset(name) if before is None else conf.set(name, before)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, such that ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``k2, k1, doc_id, text``: two numbers that name a row (equal for rows equal in id and text), first in order of a
     numeric id. Ids that are null or no numbers are hashed."""
@@ -92,17 +100,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES["up"][:n], _TABLES["down"][:n]
 
 
+def word_pieces(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``words`` of a text piece by piece; pieces end at white space, so that the tables of powers and all arrays stay small."""
+    at = 0
+    while at < len(text):
+        found = _SPACE.search(text, at + _PIECE) if len(text) - at > 2 * _PIECE else None
+        end = found.start() if found else len(text)
+        h, start, stop = _words(text[at:end])
+        yield h, start + at, stop + at
+        at = end
+
+
 def words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, start and end (bytes) of each word (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) of a text, in order."""
-    if len(text) > 2 * _PIECE:  # pieces end at white space, so that the tables of powers stay small
-        parts, at = [], 0
-        while at < len(text):
-            found = _SPACE.search(text, min(at + _PIECE, len(text)))
-            end = found.start() if found else len(text)
-            h, start, stop = words(text[at:end]) if end - at <= 2 * _PIECE else _words(text[at:end])
-            parts.append((h, start + at, stop + at))
-            at = end
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    if len(text) > 2 * _PIECE:
+        return tuple(np.concatenate(x) for x in zip(*word_pieces(text), strict=True))
     return _words(text)
 
 
@@ -129,3 +141,18 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     for i in range(n):
         value = value * np.uint64(0xD1342543DE82EF95) + words[i : len(words) - n + 1 + i]
     return np.unique(mix(value))
+
+
+def text_shingles(text: bytes, size: int = 5) -> np.ndarray:
+    """``shingle_hashes`` of a text's words. A long text is hashed piece by piece, each with the last words of the one before, so that
+    beside one piece only the distinct shingles are held."""
+    if len(text) <= 2 * _PIECE:
+        return shingle_hashes(word_hashes(text), size)
+    found, last, n = [], np.empty(0, np.uint64), 0
+    for h, _, _ in word_pieces(text):
+        n += len(h)
+        last = np.concatenate((last, h))
+        if len(last) >= size:
+            found.append(shingle_hashes(last, size))
+            last = last[len(last) - size + 1 :]
+    return shingle_hashes(last, size) if n < size else np.unique(np.concatenate(found))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import Batches, mix, raw_texts, shingle_hashes, table, with_columns_in_arrow, word_hashes
+from walkgrid.llm.common import Batches, fresh, mix, raw_texts, table, text_shingles, with_columns_in_arrow
 from walkgrid.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
@@ -17,21 +17,25 @@ SHINGLE, PERCENT = 5, 75
 TREES, ROOT, DEPTH = 24, 3, 5
 #: Rows before it in the sorted order that a row is first compared with.
 NEAR = 4
-#: Candidates whose signatures agree in less of their values make no cluster: at likeness 0.75 that is 5 deviations off.
-SKETCH = 0.55
-#: Sets of a cluster that one task compares at most, and sets that all blocks of a larger cluster share, about.
-BLOCK, PIVOTS = 1024, 128
+#: Values of a signature; the first ``TREES * DEPTH`` order the trees. Candidates whose signatures agree in less of their values make
+#: no cluster: at likeness 0.75 that is 5 deviations off. Sets that are less alike than about a half, which one common passage
+#: makes of any number of documents, are 4 deviations below and form no chains.
+VALUES, SKETCH = 256, 0.615
+#: Shingles in the sets of a cluster that one task compares, about; so many shingles of the same sets are in all blocks of a larger
+#: cluster.
+BLOCK, PIVOTS = 1 << 19, 1 << 16
+#: Bytes of text that are signed before they are handed on.
+SLICE_BYTES = 2 << 20
 
-_SEEDS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SEEDS = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """``TREES * DEPTH`` MinHash values of a set that is not empty, 32 bits each."""
-    out = np.full(len(_SEEDS), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(shingles), 32768):
-        part = shingles[at : at + 32768]
-        out = np.minimum(out, np.array([(part * seed).min() >> np.uint64(32) for seed in _SEEDS], np.uint64).astype(np.uint32))
-    return out
+    """``VALUES`` MinHash values of a set that is not empty, 32 bits each: a running minimum over pieces of the set."""
+    out = np.full(len(_SEEDS), ~np.uint64(0))
+    for at in range(0, len(shingles), 256):
+        np.minimum(out, (shingles[None, at : at + 256] * _SEEDS[:, None]).min(1), out=out)
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def set_key(shingles: np.ndarray) -> bytes:
@@ -45,21 +49,23 @@ def signed(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``n_shingles``, the key of the set, and its signature (null for an empty set)."""
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        sets = [shingle_hashes(word_hashes(t or b""), SHINGLE) for t in raw_texts(batch.column(text))]
-        return {
-            "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-            "node": pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
-            "sig": pa.array([signature(s).astype("<u4").tobytes() if len(s) else None for s in sets], pa.binary()),
-        }
+        size, node, sig = [], [], []
+        for t in batch.column(text).cast(pa.binary()):  # one set at a time
+            shingles = text_shingles(t.as_py() or b"", SHINGLE)
+            size.append(len(shingles))
+            node.append(set_key(shingles) if len(shingles) else None)
+            sig.append(signature(shingles).astype("<u4").tobytes() if len(shingles) else None)
+        return {"n_shingles": pa.array(size, pa.int64()), "node": pa.array(node, pa.binary()), "sig": pa.array(sig, pa.binary())}
 
-    return with_columns_in_arrow(docs, make, [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("sig", T.BinaryType())]
+    return with_columns_in_arrow(docs, make, fields, sized_by=text, slice_bytes=SLICE_BYTES)
 
 
 def _orders(batches: Batches) -> Batches:
     """A row for each set and tree: ``region`` (the tree and its first ``ROOT`` values), ``deep`` (its next values), the set."""
     for batch in batches:
         if batch.num_rows:
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").astype(np.uint64).reshape(-1, TREES, DEPTH)
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, VALUES)[:, : TREES * DEPTH].astype(np.uint64).reshape(-1, TREES, DEPTH)
             region = np.zeros(sig.shape[:2], np.uint64) + np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
             for i in range(ROOT):
                 region = mix(region + sig[:, :, i])
@@ -92,13 +98,12 @@ def _alike(batches: Batches) -> Batches:
             yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(1) >= SKETCH))
 
 
-def block_links(texts: list[bytes], label: list, seeks: list[bool]) -> list[tuple[int, int]]:
-    """Links among the texts of a block that join different labels, as few as join them all: positions of two texts each.
+def block_links(sets: list[np.ndarray], label: list, seeks: list[bool]) -> list[tuple[int, int]]:
+    """Links among the sets of a block that join different labels, as few as join them all: positions of two sets each.
 
-    An inverted index of the full shingle sets gives the exact intersection of one text with all others at a time. Only texts
-    that seek are compared with all others.
+    An inverted index of the sets gives the exact intersection of one set with all others at a time. Only sets that seek are
+    compared with all others.
     """
-    sets = [shingle_hashes(word_hashes(t), SHINGLE) for t in texts]
     size = np.array([len(s) for s in sets])
     value, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
     order = np.argsort(value, kind="stable")
@@ -137,12 +142,12 @@ def _blocks(batches: Batches) -> Batches:
     key, rows = None, []
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("cluster", "x", "y", "node", "label", "seeks")]
-        for c, x, y, node, label, seeks, text in zip(*cols, raw_texts(batch.column("text")), strict=True):
+        for c, x, y, node, label, seeks, text in zip(*cols, raw_texts(batch.column("text")), strict=True):  # texts go, sets stay
             if (c, x, y) != key:
                 if len(rows) > 1:
                     yield done(rows)
                 key, rows = (c, x, y), []
-            rows.append(((c, x, y), node, label.hex(), text, seeks))
+            rows.append(((c, x, y), node, label.hex(), text_shingles(text, SHINGLE), seeks))
     if len(rows) > 1:
         yield done(rows)
 
@@ -161,13 +166,13 @@ def _labelled(nodes: DataFrame, node: str, labels: DataFrame, out: str) -> DataF
 def links(sets: DataFrame, texts_of) -> DataFrame:
     """Component of every set that is linked with another: ``node, component``.
 
-    ``sets`` has one row ``node, sig`` for each distinct set. ``texts_of(nodes)`` gives ``node, text`` for a table of nodes.
+    ``sets`` has one row ``node, sig, n_shingles`` for each distinct set. ``texts_of(nodes)`` gives ``node, text`` for a table of nodes.
 
     Rows near each other in a region of a sorted order are candidates; those whose signatures agree enough form clusters.
-    Within a cluster all links are found on the full sets: in one task up to ``BLOCK`` sets; larger clusters in two passes. The
-    first deals their sets to blocks and adds the same ``PIVOTS`` sets to each, which joins what is widely linked. The second
-    compares what is still outside the cluster's largest component with the whole cluster, block by block. So the work on a
-    large group of near copies grows with its size, no pair is left out, and of the links only a spanning forest is written.
+    Within a cluster all links are found on the full sets: in one task up to ``BLOCK`` shingles; larger clusters in two passes. The
+    first deals their sets to blocks and adds the same sets of ``PIVOTS`` shingles to each, which joins what is widely linked. The
+    second compares what is still outside the cluster's largest component with the whole cluster, block by block: its work grows with
+    what is outside times the cluster. No pair is left out, and of the links only a spanning forest is written.
     """
     width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     orders = sets.mapInArrow(_orders, "region long, deep long, node binary")
@@ -178,8 +183,9 @@ def links(sets: DataFrame, texts_of) -> DataFrame:
     alike = table(met.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a binary, b binary"), "near-alike")
     clusters = table(components(alike, "near-clusters"), "near-clusters").withColumnRenamed("component", "cluster")
     texts = table(texts_of(clusters.select("node")), "near-texts")
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
-    rows = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("label", F.col("node"))
+    members = table(clusters.join(sets.select("node", "n_shingles"), "node"), "near-members")
+    sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("n"))
+    rows = members.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("label", F.col("node"))
     h = F.xxhash64("node", F.lit(5))
     pivot = (F.col("blocks") > 1) & (F.pmod(h, F.greatest(F.lit(1), (F.col("n") / PIVOTS).cast("long"))) == 0)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -187,8 +193,8 @@ def links(sets: DataFrame, texts_of) -> DataFrame:
     done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", F.lit(True).alias("seeks")), texts), "near-links")
     labels = table(components(done, "near-components"), "near-labels")
 
-    large = _labelled(rows.filter("blocks > 1").select("cluster", "node", "n"), "node", labels, "label")
-    counts = large.groupBy("cluster", "label").agg(F.count("*").alias("c"))
+    large = _labelled(rows.filter("blocks > 1").select("cluster", "node", "n", "n_shingles"), "node", labels, "label")
+    counts = large.groupBy("cluster", "label").agg(F.sum("n_shingles").alias("c"))
     most = counts.groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("top")).select("cluster", F.col("top.c").alias("c"), F.col("top.label").alias("top"))
     left = table(large.join(most, "cluster").filter("c < n"), "near-left")
     if not left.isEmpty():
@@ -219,7 +225,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = table(signed(base.withColumn("key", _text_key("doc_id", "text")), "text").drop("text"), "near-signed")
-    sets = rows.filter("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.min("key").alias("key"), F.min("doc_id").alias("doc_id"))
+    sets = rows.filter("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("key").alias("key"), F.min("doc_id").alias("doc_id"))
     sets = table(sets, "near-sets")
     keyed = base.withColumn("key", _text_key("doc_id", "text")).select("key", "text")
 
@@ -227,7 +233,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         wanted = sets.join(nodes, "node", "left_semi").select("node", "key")
         return keyed.join(wanted, "key").select("node", "text").dropDuplicates(["node"])
 
-    labels = links(sets.select("node", "sig"), texts_of)
+    labels = links(sets.select("node", "sig", "n_shingles"), texts_of)
     least = _labelled(sets.select("node", "doc_id"), "node", labels, "comp")
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_set = table(least.select("node", "comp").join(smallest, "comp").select("node", "component_id"), "near-of-set")
@@ -240,7 +246,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """``docs`` with one row of each group of near-duplicates: the smallest id. Documents without words all stay. Of rows that
     repeat both the kept id and its text one stays."""
     found = near_duplicates(docs, doc_id, text)
-    gone = found.filter("not kept").select("key").distinct()
-    rows = docs.withColumn("_key", _text_key(doc_id, text)).join(gone.withColumnRenamed("key", "_key"), "_key", "left_anti")
-    one = rows.filter(F.col(text).isNotNull() & F.col(text).rlike("[^\\x20\\x09-\\x0D]")).dropDuplicates(["_key"])
-    return one.unionByName(rows.filter(F.col(text).isNull() | ~F.col(text).rlike("[^\\x20\\x09-\\x0D]"))).drop("_key")
+    key = fresh(docs, "key")
+    gone = found.filter("not kept").select(F.col("key").alias(key)).distinct()
+    rows = docs.withColumn(key, _text_key(doc_id, text)).join(gone, key, "left_anti")
+    words = F.col(text).isNotNull() & F.col(text).rlike("[^\\x20\\x09-\\x0D]")
+    return rows.filter(words).dropDuplicates([key]).unionByName(rows.filter(~words)).drop(key)
