@@ -278,3 +278,30 @@ def test_reconcile(spark):
     one = spark.createDataFrame([("a",), ("b",)], "shard string")
     two = spark.createDataFrame([("b",), ("c",)], "shard string")
     assert {tuple(r) for r in lg.reconcile(one, two).collect()} == {("a", "drop"), ("b", "keep"), ("c", "add")}
+
+
+def test_ranks_of_one_value_for_all_are_dealt_to_many_tasks(spark):
+    rows = spark.range(5000).select(F.col("id"), F.lit(1.5).alias("v"), F.lit("x").alias("rank"), (F.col("id") % 2).alias("at"))
+    rows = rows.unionByName(spark.createDataFrame([(9001, None, "x", 0), (9000, None, "x", 0), (9002, float("nan"), "x", 0)], "id long, v double, rank string, at long"))
+    ranked = rollup.with_rank(rows.repartition(3), "v", "id")
+    got = {r["id"]: r["rank"] for r in ranked.collect()}
+    assert got == {9002: 1, **{i: i + 2 for i in range(5000)}, 9000: 5002, 9001: 5003}
+    per_task = ranked.select(F.floor(F.col("rank") / 1).alias("n"), F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert per_task.agg(F.max("count")).first()[0] < 5000 / 3
+
+
+def test_uniqueness_of_geometry_survives_colliding_hashes(spark, monkeypatch):
+    """Duplicates by shard, missing geometry and a missing shard among them; the same figures if all keys share one hash."""
+    rows = [("a", [SQUARE]), ("a", [SQUARE]), ("a", [HOLE]), ("b", [SQUARE]), ("b", None), ("b", None), (None, [HOLE]), (None, [HOLE]), (None, [HOLE]), ("c", [SQUARE])]
+    df = spark.createDataFrame(rows, POLYGONS.replace("name", "shard"))
+    contract = Contract(schema={"rings": "geometry"}, unique=("rings",), complete=("rings",))
+    for collide in (False, True):
+        if collide:
+            monkeypatch.setattr(quality, "key_hash", lambda *columns: F.lit(7).cast("long"))
+        by_shard = {r["shard"]: (r["total_rows"], r["duplicate_rows"], r["null_rings"]) for r in quality.check_rows(df, contract, "shard").collect()}
+        assert by_shard == {"a": (3, 1, 0), "b": (3, 1, 2), None: (3, 2, 0), "c": (1, 0, 0)}
+        whole = quality.check_rows(df, contract).first()
+        assert (whole["total_rows"], whole["duplicate_rows"], whole["null_rings"]) == (10, 7, 2)
+        assert tuple(quality.check_rows(df.limit(0), contract).select("total_rows", "duplicate_rows").first()) == (0, 0)
+    plan = quality.check_rows(df, contract)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(rings" not in plan.split("left_semi")[0] and "hashpartitioning(_key" in plan

@@ -9,6 +9,7 @@ from walkgrid.constants import CATEGORIES, CATEGORY_LABELS, SCORE_COLUMNS, UNKNO
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, cell_id
 from walkgrid.functions.text import label, match_key
 from walkgrid.operators.amenities import with_parent
+from walkgrid.session import materialize
 
 VALUE_COLUMNS = ("livability", *SCORE_COLUMNS)
 
@@ -72,24 +73,22 @@ def municipality_table(scores: DataFrame) -> DataFrame:
 
 
 def with_rank(table: DataFrame, value: str = "livability", tie: str = "municipality") -> DataFrame:
-    """Distinct ranks 1..n by falling 0-100 ``value``, then ``tie``.
+    """Distinct ranks 1..n by falling ``value`` (missing last), then ``tie``; a column ``rank`` is replaced.
 
-    Rows are ranked within slices of 0.01 and shifted by the count of the slices above, so no task orders the whole
-    table; the running count sees at most one row per slice.
+    The table is dealt to tasks by ranges of both columns, sorted within each and written; a row's rank is its place in its range
+    plus the rows of all ranges before, one running sum over as many numbers as there are ranges. So no task orders the whole
+    table, even if all values are equal; rows equal in both columns are ranked in any order.
     """
-    sliced = table.withColumn("_slice", F.coalesce(F.floor(F.col(value) * 100), F.lit(-1)))
-    above = (
-        sliced.groupBy("_slice")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_above", F.sum("_n").over(Window.orderBy(F.desc("_slice"))) - F.col("_n"))
-        .select("_slice", "_above")
-    )
-    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(F.desc_nulls_last(value), tie))
-    return (
-        sliced.withColumn("_inside", inside)
-        .join(above, "_slice")
-        .select((F.col("_above") + F.col("_inside")).alias("rank"), *table.columns)
-    )
+    ranges = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = table.select(F.struct(*table.columns).alias("row")).select("row", *[F.col(f"row.{c}").alias(f"_{c}") for c in dict.fromkeys((value, tie))])
+    order = [F.desc_nulls_last(f"_{value}"), F.asc_nulls_last(f"_{tie}"), F.asc(F.xxhash64("row"))]
+    placed = at.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("row", F.monotonically_increasing_id().alias("at"))
+    placed = materialize(placed, "ranked")  # the number is the range's and, below, the place in it
+    split = placed.withColumns({"range": F.shiftright("at", 33), "place": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = split.groupBy("range").agg(F.count("*").alias("n"))
+    before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))  # a row a range
+    kept = [F.col(f"row.{c}").alias(c) for c in table.columns if c != "rank"]
+    return split.join(F.broadcast(before), "range").select((F.col("before") + F.col("place") + 1).alias("rank"), *kept)
 
 
 def municipality_ranking(table: DataFrame) -> DataFrame:

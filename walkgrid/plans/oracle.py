@@ -443,6 +443,8 @@ ORACLE: dict[str, str] = {
     "municipality_ranking": f"""with {MUNI} select rank, municipality, lower(trim(municipality)) as municipality_key,
       format('{{:,}}', addresses) as addresses, round(livability, 1) as livability,
       {rounds([f'score_{c}' for c in CATEGORIES], 0)} from ranked""",
+    "customer_ranks": """select c_custkey as id, 'thousands' as "by", row_number() over (order by floor(c_acctbal / 1000) desc, c_custkey) as rank
+      from customer union all select c_custkey, 'zero', row_number() over (order by c_custkey) from customer""",
     "ranked_boundaries": f"""with {MUNI} select rank, lower(trim(m.municipality)) as municipality_key,
       round(f.lng, 6) as first_lng, round(f.lat, 6) as first_lat, cast(4 as bigint) as n_vertices
       from ranked m join fx_municipality f on f.municipality = m.municipality and f.i = 0""",

@@ -296,6 +296,13 @@ def municipality_ranking(spark, sf):
     return _ranking(spark, sf)
 
 
+def customer_ranks(spark, sf):
+    """All customers by balance, in whole thousands so that many are equal, and all of them once more by one value for all."""
+    customers = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.floor(F.col("c_acctbal") / 1000).alias("thousands"), F.lit(0).alias("zero"))
+    ranks = [rollup.with_rank(customers, value, "id").select("id", F.lit(value).alias("by"), "rank") for value in ("thousands", "zero")]
+    return ranks[0].unionByName(ranks[1])
+
+
 def ranked_boundaries(spark, sf):
     features = report.boundary_features(am.municipalities(fx.boundaries(spark, sf)))
     ranked = report.ranked_boundaries(_ranking(spark, sf), features)
@@ -647,7 +654,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
         mercator_to_wgs84, projected_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
         cell_scores, livability, livability_custom_weights, region_cells, region_livability, region_rollup, custom_blends, score_colors, score_profile, score_metadata,
-        tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking,
+        tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking, customer_ranks,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,
         boundary_types, check_schema, check_uniqueness, check_completeness, check_range, check_bundle_by_shard,
         latest_verdicts, verdict_tally, error_failures, reused_verdicts, stale_tables, changed_shards,
