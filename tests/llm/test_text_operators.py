@@ -7,13 +7,14 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from brute import near_components, removed_repeats, roots, shingles
 from compare import difference, oracle_connection
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from walkgrid.llm import chat, decontam, graph, imatch, langid, licences, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
+from walkgrid.llm import chat, common, decontam, graph, imatch, langid, licences, line_dedup, near_dedup, packing, paragraph_dedup, suffix_dedup
 from walkgrid.llm.oracle import ORACLE
 from walkgrid.llm.queries import QUERIES
 
@@ -94,6 +95,19 @@ def test_line_dedup_counts_pages_of_a_host(spark, odd, none):
     assert line_dedup.drop_boilerplate(odd).count() == len(ODD) and line_dedup.drop_boilerplate(none).count() == 0
 
 
+def test_line_dedup_splits_a_hot_host_and_keeps_columns(spark, monkeypatch):
+    """With salts a hot host's pages meet its lines in many tasks; columns that clash with inner names stay."""
+    rows = [(i, f"menu\nown {i}", "hot" if i % 3 else f"h{i % 5}", i, "x") for i in range(600)]
+    docs = spark.createDataFrame(rows, "id long, text string, source string, found long, host_key string").withColumn("salt", F.col("id")).withColumn("_kept", F.lit(1))
+    plain = line_dedup.drop_boilerplate(docs, ratio=0.5)
+    monkeypatch.setattr(line_dedup, "LINES", 0)
+    salted = line_dedup.drop_boilerplate(docs, ratio=0.5)
+    assert sorted(plain.collect()) == sorted(salted.collect()) and set(docs.columns) < set(salted.columns)
+    assert {r["kept_text"] for r in salted.collect()} == {f"own {i}" for i in range(600)}
+    parts = docs.filter("source = 'hot'").groupBy(F.pmod(F.xxhash64("text"), F.lit(line_dedup.SALTS))).count().agg(F.max("count")).first()[0]
+    assert parts < 400 / 8
+
+
 # 4
 
 
@@ -176,7 +190,7 @@ def test_chat_round_trip(spark):
 # 7
 
 
-@pytest.mark.parametrize("block", [(1024, 128), (4, 2)])
+@pytest.mark.parametrize("block", [(1 << 19, 1 << 16), (600, 300)])
 def test_near_duplicates(spark, rows, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", block[0])
     monkeypatch.setattr(near_dedup, "PIVOTS", block[1])
@@ -188,6 +202,46 @@ def test_near_duplicates(spark, rows, block, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near_components(some)
 
 
+def test_common_passage_makes_no_cluster(spark):
+    """Thousands of documents share a passage that makes them half alike: none is linked, so none needs comparing; planted pairs of
+    likeness just above the bound among them are all found."""
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    passage = [word() for _ in range(110)]
+    docs = [(i, [*passage, *(word() for _ in range(60))]) for i in range(3000)]
+    for i in range(60):
+        text = list(docs[i * 7][1])
+        for k in rng.sample(range(len(text)), 4):  # each changed word changes five shingles
+            text[k] = word()
+        docs.append((10_000 + i, text))
+    rows = [(d, " ".join(t)) for d, t in docs]
+    some = {d: shingles(t) for d, t in rows}
+    alike = lambda a, b: len(some[a] & some[b]) / len(some[a] | some[b])
+    assert 0.45 < alike(1, 2) < 0.5 and sum(alike(i * 7, 10_000 + i) >= 0.75 for i in range(60)) > 50
+    signed = near_dedup.signed(spark.createDataFrame(rows, "doc_id long, text string"), "text")
+    asked = []
+    labels = near_dedup.links(signed.select("node", "sig", "n_shingles"), lambda nodes: asked.append(nodes.count()) or signed.join(nodes, "node").select("node", "text"))
+    of = {r["node"]: r["doc_id"] for r in signed.collect()}
+    pairs = {}
+    for r in labels.collect():
+        pairs.setdefault(r["component"], []).append(of[r["node"]])
+    want = sorted((i * 7, 10_000 + i) for i in range(60) if 100 * len(some[i * 7] & some[10_000 + i]) >= 75 * len(some[i * 7] | some[10_000 + i]))
+    assert sorted(tuple(sorted(p)) for p in pairs.values()) == want
+    assert asked[0] < 400  # of 3,060 texts; the clusters are the pairs and a few more
+
+
+def test_long_texts_are_signed_in_pieces(monkeypatch):
+    rng = random.Random(1)
+    text = " ".join(f"w{rng.randrange(50)}" * rng.randint(1, 3) for _ in range(3000)).encode()
+    whole = common.text_shingles(text)
+    monkeypatch.setattr(common, "_PIECE", 100)
+    assert (common.text_shingles(text) == whole).all() and (common.words(text)[1] == common._words(text)[1]).all()
+    for short in (b"", b" ", b"a b", b"x" * 1000 + b" y", b"a " * 300):
+        assert (common.text_shingles(short) == common.shingle_hashes(common._words(short)[0])).all()
+    sets = np.arange(1, 1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert (near_dedup.signature(sets) == np.array([((sets * s).min() >> np.uint64(32)) for s in near_dedup._SEEDS], np.uint32)).all()
+
+
 def test_near_duplicates_odd(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r["component_id"] for r in got if r["doc_id"] in (1, 2)} == {1}

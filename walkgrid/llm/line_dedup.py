@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walkgrid.llm.common import fresh, table
+
+#: Boilerplate lines of all hosts that are broadcast at most, 12 bytes each; more are joined by host and one of so many salts.
+LINES, SALTS = 200_000, 64
+
 
 def _lines(text: str) -> Column:
     return F.split(F.col(text), "\n", -1)
@@ -44,18 +49,28 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
 
     Lines end at ``\\n``; blank lines are never boilerplate and stay. Null text counts as a page of the host without lines
     and keeps a null ``kept_text``. Pages without a host form one site. A repeated row counts as often as it stands there.
-    Columns named as an output are replaced. The join to the host's lines is a plain equi-join: Spark broadcasts the lines
-    only if it has measured them as small, else splits the hot host's rows over tasks (adaptive skew join); either way rows
-    are only filtered, so every page stays. Empty tables give no rows.
+    Lines of any length are compared by hash and length. Columns named as an output are replaced, all others stay. Empty tables
+    give no rows.
+
+    The lines found are a written table. Up to LINES of them are broadcast, so that a page is judged where it lies; more are joined
+    by host and salt: pages are dealt to SALTS parts by their text, the lines of a host go to each, so that a hot host is no single
+    task's work. Either way every page stays.
     """
-    found = boilerplate(pages, host, text, ratio, min_pages).select(F.col("host").alias("_host"), F.col("lines").alias("_found"))
-    joined = pages.withColumn("_host", F.coalesce(F.col(host), F.lit("\0"))).join(found, "_host", "left")
-    kept = F.filter(_lines(text), lambda x: ~F.coalesce(F.array_contains(F.col("_found"), _line_key(x)), F.lit(False)))
-    return (
-        joined.withColumn("_kept", kept)
-        .withColumn("n_lines", F.coalesce(F.size(_lines(text)), F.lit(0)).cast("long"))
-        .withColumn("kept_text", F.when(F.col(text).isNotNull(), F.array_join("_kept", "\n")))
-        .withColumn("n_dropped", F.when(F.col(text).isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")).cast("long"))
-        .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
-        .drop("_host", "_found", "_kept")
+    found, on = fresh(pages, "found"), [fresh(pages, "host_key"), fresh(pages, "salt")]
+    lines = table(boilerplate(pages, host, text, ratio, min_pages).select(F.col("host").alias(on[0]), F.col("lines").alias(found)), "line-boilerplate")
+    rows = pages.withColumn(on[0], F.coalesce(F.col(host), F.lit("\0")))
+    if (lines.agg(F.sum(F.size(found))).first()[0] or 0) <= LINES:
+        joined = rows.join(F.broadcast(lines), on[0], "left")
+    else:
+        salted = lines.withColumn(on[1], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn(on[1], F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")).join(salted, on, "left")
+    clean = F.filter(_lines(text), lambda x: ~F.coalesce(F.array_contains(F.col(found), _line_key(x)), F.lit(False)))
+    rest = [c for c in pages.columns if c not in ("n_lines", "kept_text", "n_dropped")]
+    has, kept = F.col(text).isNotNull(), fresh(pages, "kept")
+    n_lines = F.when(has, F.size(_lines(text))).otherwise(0).cast("long")
+    return joined.withColumn(kept, clean).select(
+        *rest,
+        F.when(has, F.array_join(kept, "\n")).alias("kept_text"),
+        n_lines.alias("n_lines"),
+        F.when(has, n_lines - F.size(kept)).otherwise(0).cast("long").alias("n_dropped"),
     )
