@@ -211,3 +211,40 @@ def test_pipeline_rebuilds_what_moved_and_nothing_else(spark, store, sf_dir):
     assert [s for s in after if after[s] != before[s]] == [moved]
     assert third.read("distances").filter(F.col("cell_r6") == moved).count() == old.count()
     assert third.read("livability_score").count() < n_scores
+
+
+def test_a_crash_before_publishing_leaves_the_old_version(spark, store, monkeypatch):
+    table = raw_table("parks", "parks", lambda s: s.createDataFrame([([[(float(len(made)), 0.0)]],)], "rings array<array<struct<lng: double, lat: double>>>"))
+    made = [1]
+    run = Run(store, [table], derived=[])
+    run.run()
+    old = store.latest_stamp("bronze/parks")
+    made.append(2)
+    later = Run(store, [table], derived=[], now=datetime.now() + timedelta(days=30))
+    for step in ("publish", "staged"):  # after the checks, and before them
+        with monkeypatch.context() as broken:
+            broken.setattr(SnapshotStore, step, lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                later.run()
+        assert store.latest_stamp("bronze/parks") == old and store.read("bronze/parks").first()["rings"][0][0]["lng"] == 1.0
+        assert later.verdicts().select("version").distinct().count() == 1 and later.ledger().count() == 1
+    assert later.run() == {"parks": False}
+    assert store.latest_stamp("bronze/parks") > old and store.read("bronze/parks").first()["rings"][0][0]["lng"] == 2.0
+    meta = [json.loads(r["metadata"]) for r in later.ledger().orderBy("version").collect()]
+    assert [m["rows"] for m in meta] == [1, 1] and meta[0]["verdicts"] == "3 ok | 0 warn | 0 fail" and list(meta[0]["columns"]) == ["rings"]
+    assert {r["version"] for r in later.verdicts().collect()} == {old, store.latest_stamp("bronze/parks")}
+    reports = spark.read.json(f"{store.root}/reports/quality")
+    assert reports.select("run").distinct().count() == 2 and not later.failures().count()
+
+
+def test_reads_open_one_version_of_the_log(spark, store):
+    table = lambda *rows: spark.createDataFrame(rows, "s string, x int")
+    store.write_sharded(table(("a", 1), ("b", 2), (None, 3)), "silver/t", "s")
+    for i in range(6):
+        store.write(table(("a", 10 + i)), "silver/t", "s", "a")
+    assert store.registry("silver/t").count() == 4 and store.log("silver/t").count() == 28
+    assert sorted((r["s"], r["x"]) for r in store.read("silver/t").collect() if r["s"]) == [("a", 15), ("b", 2)]
+    assert [r["x"] for r in store.read("silver/t", "").collect()] == [3]
+    sizes = store.snapshot_metadata("silver/t")
+    assert sizes.count() == 7 and sizes.filter("bytes > 0").count() == 7
+    assert json.loads(sizes.orderBy("stamp").first()["metadata"])["nulls"] == {"s": 1}

@@ -498,6 +498,28 @@ ORACLE: dict[str, str] = {
       select ok, warn, fail, concat(ok, ' ok | ', warn, ' warn | ', fail, ' fail') as summary from t""",
     "error_failures": f"""with {FX_VERDICT} select asset, check_name, shard, event_id from latest
       where not passed and severity = 'ERROR'""",
+    "quality_report": f"""with {FX_VERDICT}, t as (select concat(count(*) filter (where passed), ' ok | ',
+        count(*) filter (where not passed and severity = 'WARN'), ' warn | ', count(*) filter (where not passed and severity <> 'WARN'), ' fail') as summary from latest)
+      select 'r1' as run, asset, check_name, cast(shard as bigint) as shard, event_id, passed, not passed and severity <> 'WARN' as alert, summary
+      from latest cross join t""",
+    "run_ledger": """with t as (select * from (values ('transit_stops', ''), ('municipality_boundaries', ''),
+        ('cell_transit_stops', 'transit_stops'), ('municipalities', 'municipality_boundaries')) v(asset, inputs)),
+      sized as (select *, case when asset like '%stops' then (select count(*) from part) else (select count(*) from nation) end as n from t)
+      select asset, false as hit, true as same_version, inputs, n as rows, cast(least(n, 5) as integer) as previewed,
+        '3 ok | 0 warn | 0 fail' as verdicts from sized
+      union all select asset, true, true, inputs, null, null, null from sized""",
+    "run_report": """select asset, check_name, true as passed, case when check_name = 'field_completeness' then 'WARN' else 'ERROR' end as severity,
+        true as reused_snapshot
+      from (values ('bronze/transit_stops'), ('bronze/municipality_boundaries'), ('silver/cell_transit_stops'), ('silver/municipalities')) a(asset)
+      cross join (values ('schema_contract'), ('row_uniqueness'), ('field_completeness')) c(check_name)""",
+    "snapshot_preview": f"""with {FX_MUNICIPALITY}, v as (select distinct municipality as "NOM", type as "TYPE" from fx_municipality)
+      select "NOM", "TYPE", true as no_rings, (select count(*) from v) as rows, true as stamp_read, true as in_time
+      from v order by "NOM" limit 5""",
+    "plain_pois": f"""with {POI} select category, count(*) as n, cast(0 as bigint) as named from poi group by category
+      union all select 'park', count(*), cast(6 * count(*) as bigint) from supplier""",
+    "session_options": f"""with {FX_AMENITY} select category, count(*) as n from fx_amenity where lat >= 45.5e0 group by category""",
+    "sharded_versions": f"""with {FX_LEDGER} select asset, true as same_in_any_order, asset <> 'T3' as same_after_move,
+      count(distinct shard) as n_shards from fx_ledger group by asset""",
     "reused_verdicts": f"""with {FX_VERDICT}, pairs as (select asset, shard from fx_verdict group by asset, shard
       having count(*) % 2 = 0)
       select l.asset, l.check_name, l.shard, l.passed, l.event_id, true as reused_snapshot

@@ -18,16 +18,18 @@ from walkgrid import __version__
 from walkgrid.functions.grid import DEFAULT_GRID, HexGrid, cell_id, cell_q, cell_r
 from walkgrid.operators import amenities as am
 from walkgrid.operators.nearest import nearest
-from walkgrid.operators.quality import latest_verdicts, reused_verdicts, run_checks
+from walkgrid.operators.quality import error_failures, latest_verdicts, reused_verdicts, run_checks, verdict_tally, write_quality_report
+from walkgrid.operators.rollup import hex_rollup
 from walkgrid.operators.scores import livability
 from walkgrid.plans.contracts import CONTRACTS, Contract, TableMeta
 from walkgrid.plans.ledger import LEDGER_SCHEMA, current_versions, gate, latest_runs, reconcile, stale_tables
+from walkgrid.plans.report import boundary_features, hex_features, write_features
 from walkgrid.session import materialize
-from walkgrid.sources.store import SnapshotStore, parse_stamp, read_json_table
+from walkgrid.sources.store import SnapshotStore, Staged, now_stamp, parse_stamp, read_json_table, shard_key
 
 VERDICT_SCHEMA = (
     "asset string, shard string, check_name string, passed boolean, severity string, metadata string, "
-    "run_ts timestamp, reused_snapshot boolean"
+    "run_ts timestamp, reused_snapshot boolean, version string"
 )
 
 
@@ -113,13 +115,20 @@ def derived_tables() -> list[Table]:
 
 
 class Run:
-    """One pass over the tables against a store; the ledger and the verdicts are tables of the same store root."""
+    """One pass over the tables against a store; the ledger and the verdicts are tables of the same store root.
 
-    def __init__(self, store: SnapshotStore, raw: list[Table], settings: Settings = Settings(), now: datetime | None = None) -> None:
+    A table is audited before it is published: its data is staged, checked, and only then made its version, with one row in the
+    ledger that carries what was gathered of it and the tally of its verdicts. A run that dies in between leaves the old version.
+    Checks report; they do not hold a version back.
+    """
+
+    def __init__(
+        self, store: SnapshotStore, raw: list[Table], settings: Settings = Settings(), now: datetime | None = None, derived: list[Table] | None = None
+    ) -> None:
         self.spark = store.spark
         self.store = store
         self.settings = settings
-        self.tables = [*raw, *derived_tables()]
+        self.tables = [*raw, *(derived_tables() if derived is None else derived)]
         self.by_name = {t.name: t for t in self.tables}
         self.now = now or datetime.now(timezone.utc).replace(tzinfo=None)
         self.results: dict[str, bool] = {}  # table -> reused
@@ -146,22 +155,26 @@ class Run:
         """Append to the ledger; columns not given are null."""
         rows.withColumn("run_ts", F.lit(self.now)).write.mode("append").json(f"{self.store.root}/ledger")
 
-    def _record_table(self, table: Table, version: str, inputs: dict[str, str] | None, hit: bool) -> None:
-        row = (table.name, version, self._code(table), inputs, hit)
-        schema = "asset string, version string, code_version string, input_versions map<string,string>, hit boolean"
+    def _record_table(self, table: Table, version: str, inputs: dict[str, str] | None, hit: bool, metadata: dict | None = None) -> None:
+        row = (table.name, version, self._code(table), inputs, hit, None if metadata is None else json.dumps(metadata))
+        schema = "asset string, version string, code_version string, input_versions map<string,string>, hit boolean, metadata string"
         self._record(self.spark.createDataFrame([row], schema))
 
-    def _check(self, table: Table, df: DataFrame, shard: str | None) -> None:
-        fresh = run_checks(df, table.contract, table.meta.location, shard).withColumns(
-            {"run_ts": F.lit(self.now), "reused_snapshot": F.lit(False)}
-        )
+    def _publish(self, table: Table, staged: Staged) -> dict:
+        """Check staged data, publish it, and say what is known of it: for the ledger."""
+        location = table.meta.location
+        fresh = run_checks(self.store.staged(staged), table.contract, location, table.shard_column)
+        fresh = materialize(fresh.withColumns({"run_ts": F.lit(self.now), "reused_snapshot": F.lit(False), "version": F.lit(staged.stamp)}), "verdicts")
+        tally = verdict_tally(fresh).first()
+        self.store.publish(staged)
         fresh.write.mode("append").json(f"{self.store.root}/verdicts")
+        return {**staged.metadata, "columns": dict(self.store.staged(staged).dtypes), "verdicts": tally["summary"]}
 
     def _repeat_checks(self, table: Table, shards: DataFrame) -> None:
         location = table.meta.location
         reused = shards.select(F.lit(location).alias("asset"), "shard")
         prior = latest_verdicts(self.verdicts().filter(F.col("asset") == location))
-        prior = prior.select(*[f.name for f in prior.schema.fields if f.name not in ("run_ts", "reused_snapshot")])
+        prior = prior.drop("run_ts", "reused_snapshot")
         again = reused_verdicts(prior, reused).withColumn("run_ts", F.lit(self.now))
         again.write.mode("append").json(f"{self.store.root}/verdicts")
 
@@ -192,18 +205,15 @@ class Run:
             decision = gate(wanted, self.ledger(), upstreams, versions).first()
             hit, version = decision["hit"], decision["version"]
             inputs = {r["asset"]: r["version"] for r in versions.collect()}  # one row per input table
+        metadata = None
         if not hit:
             built = table.build({n: self.read(n) for n in table.inputs}, self.settings)
-            if table.shard_column:
-                version = self.store.write_sharded(built, location, table.shard_column)
-            else:
-                version = self.store.write(built, location)
-        self._record_table(table, version, inputs, hit)
-        if not hit:
-            self._check(table, self.read(table.name), table.shard_column)
-        elif table.shard_column:
+            staged = self.store.stage(built, location, table.shard_column)
+            version, metadata = staged.stamp, self._publish(table, staged)
+        self._record_table(table, version, inputs, hit, metadata)
+        if hit and table.shard_column:
             self._repeat_checks(table, self.store.shards(location).select("shard"))
-        else:
+        elif hit:
             self._repeat_checks(table, self.spark.createDataFrame([(None,)], "shard string"))
         self.results[table.name] = hit
 
@@ -228,13 +238,15 @@ class Run:
         decided = materialize(decided, "gate")  # the ledger grows below; the decision must not move with it
         changed = decided.filter(~F.col("hit")).select("shard")
         all_reused = changed.isEmpty()
+        metadata = None
         if not all_reused:
-            moved = changed.withColumnRenamed("shard", table.shard_column)
             inputs = {n: self.read(n) for n in table.inputs}
-            inputs[sharded] = inputs[sharded].join(moved, table.shard_column, "left_semi")
+            own = shard_key(F.col(table.shard_column))
+            inputs[sharded] = inputs[sharded].withColumn("_shard", own).join(changed.withColumnRenamed("shard", "_shard"), "_shard", "left_semi").drop("_shard")
             first = self.store.latest_stamp(location) is None
             built = table.build(inputs, self.settings)
-            stamp = self.store.write_sharded(built, location, table.shard_column, None if first else changed)
+            staged = self.store.stage(built, location, table.shard_column, None if first else changed)
+            stamp, metadata = staged.stamp, self._publish(table, staged)
             known = versions.withColumnsRenamed({"asset": "upstream", "version": "consumed"})
             taken = (
                 upstreams.join(known, "upstream")
@@ -248,18 +260,36 @@ class Run:
                     "input_versions", "hit",
                 )
             )
-            self._check(table, self.read(table.name).join(moved, table.shard_column, "left_semi"), table.shard_column)
         self._repeat_checks(table, decided.filter("hit").select("shard"))
         gone = reconcile(self.store.shards(location), registry).filter(F.col("action") == "drop")
         if not gone.isEmpty():
             self.store.drop_shards(location, gone, table.shard_column)
         shards = self.store.shards(location).select(F.lit(table.name).alias("asset"), "shard", F.col("stamp").alias("version"))
         fingerprint = current_versions(shards).first()
-        self._record_table(table, fingerprint["version"], None, all_reused)
+        self._record_table(table, fingerprint["version"], None, all_reused, metadata)
         self.results[table.name] = all_reused
 
     def run(self) -> dict[str, bool]:
-        """Bring every table up to date; says per table whether its snapshot was reused."""
+        """Bring every table up to date and report on it; says per table whether its snapshot was reused."""
         for table in self.tables:
             self._by_shard(table) if table.per_shard else self._whole(table)
+        self.write_report()
         return self.results
+
+    def report(self) -> DataFrame:
+        """Latest verdict of each check and shard of this run's tables."""
+        own = self.verdicts().filter(F.col("asset").isin(*[t.meta.location for t in self.tables]))
+        return latest_verdicts(own)
+
+    def write_report(self) -> None:
+        """The quality report, one for each run, and the map's features once there are scores."""
+        stamp = now_stamp()
+        write_quality_report(self.report(), f"{self.store.root}/reports/quality/run={stamp}", stamp)
+        if self.results.get("livability_score") is False:
+            hexes = hex_features(hex_rollup(_cell_columns(self.read("livability_score")), grid=self.settings.grid))
+            write_features(hexes, f"{self.store.root}/reports/hexes/run={stamp}")
+            write_features(boundary_features(self.read("municipalities")), f"{self.store.root}/reports/boundaries/run={stamp}")
+
+    def failures(self) -> DataFrame:
+        """What the report would alert on."""
+        return error_failures(self.report())

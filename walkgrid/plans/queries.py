@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from walkgrid import fixtures as fx
@@ -23,10 +23,11 @@ from walkgrid.plans import ledger as lg
 from walkgrid.plans import report
 from walkgrid.plans.contracts import CONTRACTS, Contract
 from walkgrid.plans.personal import Anchor, personal_scores, top_cells
+from walkgrid.plans.pipeline import Run, derived_tables, raw_table
 from walkgrid.session import materialize, scratch_path
 from walkgrid.sources import files
-from walkgrid.sources.sql import SQL, query
-from walkgrid.sources.store import SnapshotStore
+from walkgrid.sources.sql import SQL, configure, query
+from walkgrid.sources.store import SnapshotStore, parse_stamp, stamp_of
 
 CUSTOM_WEIGHTS = {"grocery": 0.5, "transit": 0.3, "park": 0.0, "bike": 0.1, "school": 0.05, "health": 0.3}
 PROJECTED = (2950, 32618)
@@ -418,6 +419,80 @@ def error_failures(spark, sf):
     return quality.error_failures(_latest_verdicts(spark, sf)).select("asset", "check_name", "shard", "event_id")
 
 
+def quality_report(spark, sf):
+    """The report over the latest verdicts, written and read back."""
+    path = scratch_path(spark, "report")
+    quality.write_quality_report(_latest_verdicts(spark, sf), path, "r1")
+    back = spark.read.schema("run string, asset string, check_name string, shard long, event_id long, passed boolean, alert boolean, summary string").json(path)
+    return back
+
+
+def _small_run(spark, sf) -> Run:
+    """Stops and boundaries, raw and indexed, brought up to date twice against a fresh store."""
+    stops = raw_table("transit_stops", "stops", lambda s: _stop_points(s, sf))
+    shapes = raw_table("municipality_boundaries", "boundaries", lambda s: fx.boundaries(s, sf))
+    derived = [t for t in derived_tables() if t.name in ("cell_transit_stops", "municipalities")]
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    Run(store, [stops, shapes], derived=derived).run()
+    again = Run(store, [stops, shapes], derived=derived)
+    again.run()
+    return again
+
+
+def run_ledger(spark, sf):
+    """What the ledger holds of a run and of the next one, which reuses all."""
+    ledger = _small_run(spark, sf).ledger()
+    found = F.from_json("metadata", "rows long, verdicts string, preview array<map<string, string>>, columns map<string, string>")
+    rows = ledger.withColumn("m", found).withColumn("version_first", F.min("version").over(Window.partitionBy("asset")))
+    return rows.select(
+        "asset", "hit", (F.col("version") == F.col("version_first")).alias("same_version"), F.map_keys("input_versions").alias("inputs"),
+        F.col("m.rows").alias("rows"), F.size("m.preview").alias("previewed"), F.col("m.verdicts").alias("verdicts"),
+    ).withColumn("inputs", F.array_join("inputs", ","))
+
+
+def run_report(spark, sf):
+    """The verdicts of the second run, all repeated from the first."""
+    return _small_run(spark, sf).report().select("asset", "check_name", "passed", "severity", "reused_snapshot")
+
+
+def snapshot_preview(spark, sf):
+    """The first rows that the log keeps of a snapshot, without geometry, with the snapshot's stamp taken back from its path."""
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    stamp = store.write(fx.boundaries(spark, sf).coalesce(1).sortWithinPartitions("NOM"), "bronze/municipality_boundaries")
+    kept = store.snapshot_metadata("bronze/municipality_boundaries")
+    rows = kept.select("stamp", "rows", F.explode(F.from_json("metadata", "preview array<struct<NOM: string, TYPE: string, rings: string>>")["preview"]).alias("p"))
+    back = stamp_of(F.concat(F.lit("x/stamp="), "stamp", F.lit("/part")))
+    in_time = parse_stamp(back) > F.lit("2020-01-01").cast("timestamp")
+    return rows.select("p.NOM", "p.TYPE", F.col("p.rings").isNull().alias("no_rings"), "rows", (back == stamp).alias("stamp_read"), in_time.alias("in_time"))
+
+
+def plain_pois(spark, sf):
+    """POIs of a source without names, as a snapshot of a plain table and one with geometry read by the same reader."""
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    store.write(_poi_points(spark, sf).drop("name"), "bronze/pois")
+    store.write(fx.parks(spark, sf), "bronze/parks")
+    pois = am.categorized_pois(store.read("bronze/pois"))
+    parks = store.read("bronze/parks").select("park_id", F.size(F.get("rings", F.lit(0))).alias("vertices"))
+    counts = pois.groupBy("category").agg(F.count("*").alias("n"), F.count("name").alias("named"))
+    return counts.unionByName(parks.agg(F.lit("park").alias("category"), F.count("*").alias("n"), F.sum("vertices").alias("named")))
+
+
+def session_options(spark, sf):
+    """A query under an option set as text, with a shard of the sharded inputs' order-free fingerprint beside it."""
+    configure(spark, ["set walkgrid.least = 45.5"])
+    points = SQL("select category, count(*) as n from $amenities where lat >= $least group by category", amenities=fx.amenities(spark, sf), least=float(spark.conf.get("walkgrid.least")))
+    return query(spark, points)
+
+
+def sharded_versions(spark, sf):
+    """One version of a sharded upstream, whatever the order of its shards: equal for equal histories, another if one shard moves."""
+    last = lg.latest_runs(fx.ledger(spark, sf)).select("asset", F.col("shard").cast("string").alias("shard"), F.col("version").cast("string").alias("version"))
+    moved = last.withColumn("version", F.when((F.col("asset") == "T3") & (F.col("shard") == "3"), "moved").otherwise(F.col("version")))
+    now = {n: lg.current_versions(df).withColumnRenamed("version", n) for n, df in (("a", last), ("b", last.orderBy(F.desc("version"))), ("c", moved))}
+    both = now["a"].join(now["b"], "asset").join(now["c"], "asset")
+    return both.select("asset", (F.col("a") == F.col("b")).alias("same_in_any_order"), (F.col("a") == F.col("c")).alias("same_after_move"), F.split("a", ":")[0].cast("long").alias("n_shards"))
+
+
 def reused_verdicts(spark, sf):
     """Verdicts of the pairs with an even number of past checks count as reused."""
     pairs = fx.verdicts(spark, sf).groupBy("asset", "shard").count().filter(F.col("count") % 2 == 0)
@@ -657,7 +732,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking, customer_ranks,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,
         boundary_types, check_schema, check_uniqueness, check_completeness, check_range, check_bundle_by_shard,
-        latest_verdicts, verdict_tally, error_failures, reused_verdicts, stale_tables, changed_shards,
+        latest_verdicts, verdict_tally, error_failures, quality_report, run_ledger, run_report, snapshot_preview, plain_pois,
+        session_options, sharded_versions, reused_verdicts, stale_tables, changed_shards,
         shard_reconcile, sql_fragment, snapshot_roundtrip, sharded_roundtrip, one_shard, snapshot_metadata,
         read_formats, geojson_paths, geojson_boundaries, geojson_addresses, feature_collection, elements_document,
         elements_files, stops_csv, feature_json, personal_top,
