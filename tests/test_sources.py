@@ -211,6 +211,15 @@ def test_pipeline_rebuilds_what_moved_and_nothing_else(spark, store, sf_dir):
     assert [s for s in after if after[s] != before[s]] == [moved]
     assert third.read("distances").filter(F.col("cell_r6") == moved).count() == old.count()
     assert third.read("livability_score").count() < n_scores
+    profile = {r["category"]: r for r in third.distance_profile().collect()}  # from sketches: of the replaced shard the new one
+    values = third.read("distances")
+    for c in ("grocery", "bike"):
+        found = [r[0] for r in values.select(f"dist_{c}").collect() if r[0] is not None]
+        assert (profile[c]["resolved"], profile[c]["total"]) == (len(found), values.count())
+        below, upto = (sum(f(v, profile[c]["median"]) for v in found) / len(found) for f in (lambda a, b: a < b, lambda a, b: a <= b))
+        assert below - 0.005 <= 0.5 <= upto + 0.005
+    assert all("/profiles/" in f or "/log/" in f for f in third.distance_profile().inputFiles())
+    assert spark.read.text(f"{store.root}/reports/hexes").count() > 0
 
 
 def test_a_crash_before_publishing_leaves_the_old_version(spark, store, monkeypatch):

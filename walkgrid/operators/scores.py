@@ -96,6 +96,35 @@ def distance_profile(distances: DataFrame) -> DataFrame:
     )
 
 
+#: Size of the quantile sketches; their error is RANK_ERROR of the rows in rank, with 99 % confidence.
+SKETCH_K, RANK_ERROR = 1000, 0.004
+
+
+def shard_profiles(df: DataFrame, shard: Column, prefix: str = "dist", placed: Column | None = None) -> DataFrame:
+    """Mergeable profiles: per shard and category the rows (those ``placed``), those with a value, those above 0, their sum, and a
+    quantile sketch of the values. Some kilobytes a row, whatever the size of the shard; one pass, combined before the shuffle."""
+    rows = df if placed is None else df.filter(placed)
+    values = [F.struct(F.lit(c).alias("category"), present(F.col(f"{prefix}_{c}")).alias("value")) for c in CATEGORIES]
+    long = rows.select(shard.alias("shard"), F.explode(F.array(*values)).alias("x")).select("shard", "x.*")
+    return long.groupBy("shard", "category").agg(
+        F.count("*").alias("total"),
+        F.count("value").alias("resolved"),
+        F.count_if(F.col("value") > 0).alias("above"),
+        F.coalesce(F.sum("value"), F.lit(0.0)).alias("value_sum"),
+        F.kll_sketch_agg_double("value", SKETCH_K).alias("sketch"),
+    )
+
+
+def merged_profile(profiles: DataFrame) -> DataFrame:
+    """Per category, of the shards' profiles without a look at their rows: total, resolved, above 0, mean, and the median to within
+    RANK_ERROR in rank (null without values)."""
+    whole = profiles.groupBy("category").agg(
+        *[F.sum(c).alias(c) for c in ("total", "resolved", "above", "value_sum")], F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch")
+    )
+    median = F.when(F.col("resolved") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)))
+    return whole.select("category", "resolved", "total", "above", F.try_divide("value_sum", F.col("resolved")).alias("mean"), median.alias("median"))
+
+
 def score_profile(scores: DataFrame) -> DataFrame:
     """Per category: cells with a score above 0, all cells, mean score."""
     return (

@@ -398,6 +398,9 @@ ORACLE: dict[str, str] = {
     "distance_profile": f"""with {DIST}, long as ({each("select '{c}' as category, dist_{c} as d from dist where lat is not null", " union all ")})
       select category, count(d) as resolved, count(*) as total, round(median(floor(d * 100 + 0.5e0)) / 100, 3) as median_m
       from long group by category""",
+    "profile_after_move": f"""with {DIST}, long as ({each("select '{c}' as category, id, dist_{c} as d from dist where lat is not null", " union all ")})
+      select category, count(d) as resolved, count(*) as total, round(avg(case when id % 27 = 3 then d * 2 + 5 else d end), 2) as mean_m,
+        true as median_within_error from long group by category""",
     "distance_scores": f"with {CELL_SCORES} select id, {rounds([f'score_{c}' for c in CATEGORIES])} from scored",
     "cell_scores": f"""with {CELL_SCORES} select {cell()} as cell, n_addresses, {rounds([f'score_{c}' for c in CATEGORIES])}
       from per_cell""",

@@ -20,7 +20,7 @@ from walkgrid.operators import amenities as am
 from walkgrid.operators.nearest import nearest
 from walkgrid.operators.quality import error_failures, latest_verdicts, reused_verdicts, run_checks, verdict_tally, write_quality_report
 from walkgrid.operators.rollup import hex_rollup
-from walkgrid.operators.scores import livability
+from walkgrid.operators.scores import livability, merged_profile, shard_profiles
 from walkgrid.plans.contracts import CONTRACTS, Contract, TableMeta
 from walkgrid.plans.ledger import LEDGER_SCHEMA, current_versions, gate, latest_runs, reconcile, stale_tables
 from walkgrid.plans.report import boundary_features, hex_features, write_features
@@ -168,8 +168,20 @@ class Run:
         tally = verdict_tally(fresh).first()
         self.store.publish(staged)
         fresh.write.mode("append").json(f"{self.store.root}/verdicts")
+        if table.name == "distances":
+            profiles = shard_profiles(self.store.staged(staged), shard_key(F.col(table.shard_column)))
+            profiles.withColumn("stamp", F.lit(staged.stamp)).write.mode("append").parquet(self._profiles(table.name))
         return {**staged.metadata, "columns": dict(self.store.staged(staged).dtypes), "verdicts": tally["summary"]}
 
+    def _profiles(self, name: str) -> str:
+        return f"{self.store.root}/profiles/{name}"
+
+    def distance_profile(self) -> DataFrame:
+        """Profile of all current shards from what was kept of each when it was written: no shard is read again."""
+        current = self.store.shards(self.by_name["distances"].meta.location)
+        kept = self.spark.read.parquet(self._profiles("distances"))
+        return merged_profile(kept.join(current, ["shard", "stamp"], "left_semi"))
+
     def _repeat_checks(self, table: Table, shards: DataFrame) -> None:
         location = table.meta.location
         reused = shards.select(F.lit(location).alias("asset"), "shard")

@@ -168,6 +168,28 @@ def distance_profile(spark, sf):
     return rounded(sc.distance_profile(_distances(spark, sf)), 3, "median_m")
 
 
+def _rank_of(values: DataFrame, profile: DataFrame) -> DataFrame:
+    """Exact share of values below and not above the profile's median, by category."""
+    both = values.join(F.broadcast(profile.select("category", "median")), "category")
+    return both.groupBy("category").agg(F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+
+
+def profile_after_move(spark, sf):
+    """The profile of all shards after one shard's distances have changed, from the others' kept sketches and that shard's new one;
+    its median's rank among all values is held against the stated error."""
+    shard = F.pmod(F.col("id"), F.lit(27)).cast("string")
+    distances = _distances(spark, sf).filter("lat is not null").withColumn("shard", shard)
+    distances = materialize(distances, "profile-distances")
+    moved = distances.filter("shard = '3'").withColumns({c: F.col(c) * 2 + 5 for c in DIST_COLUMNS})
+    kept = materialize(sc.shard_profiles(distances, F.col("shard")), "profiles").filter("shard != '3'")
+    profile = materialize(sc.merged_profile(kept.unionByName(sc.shard_profiles(moved, F.col("shard")))), "profile")
+    now = distances.filter("shard != '3'").unionByName(moved)
+    values = now.select(F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"dist_{c}").alias("value")) for c in CATEGORIES])).alias("x")).select("x.*").dropna()
+    ranks = _rank_of(values, profile)
+    near = (F.col("below") <= 0.5 + sc.RANK_ERROR) & (F.col("upto") >= 0.5 - sc.RANK_ERROR)
+    return profile.join(ranks, "category").select("category", "resolved", "total", F.round("mean", 2).alias("mean_m"), near.alias("median_within_error"))
+
+
 def distance_scores(spark, sf):
     scored = _distances(spark, sf).select(
         "id", *[distance_score(F.col(f"dist_{c}")).alias(f"score_{c}") for c in CATEGORIES]
@@ -727,7 +749,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         cell_index, cell_parent, cell_center, cell_outline, ring_cells, line_trace, line_cells, polygon_point,
-        mercator_to_wgs84, projected_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, distance_scores,
+        mercator_to_wgs84, projected_to_wgs84, haversine_pairs, nearest_exact, nearest_edges, nearest_first_ring, distance_profile, profile_after_move, distance_scores,
         cell_scores, livability, livability_custom_weights, region_cells, region_livability, region_rollup, custom_blends, score_colors, score_profile, score_metadata,
         tag_municipality, tag_zones, address_municipality, hex_rollup, dominant_municipality, municipality_table, municipality_ranking, customer_ranks,
         ranked_boundaries, global_stats, category_share, map_center, poi_elements, poi_bbox, amenities_union,

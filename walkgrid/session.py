@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: set[str] = set()  # folders that are already due to go
+
 
 def build_session(master: str, app: str = "walkgrid", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     builder = (
@@ -35,12 +37,24 @@ def shared_dir(spark: SparkSession) -> str:
     if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="walkgrid-")
+    _gone_at_exit(spark, local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
+def _gone_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete a folder when the application ends: until then a result may still read it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/walkgrid/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's own scratch folder, which goes when the application ends."""
+    own = f"{shared_dir(spark)}/walkgrid/{spark.sparkContext.applicationId}"
+    if own not in _SCRATCH:
+        _SCRATCH.add(own)
+        _gone_at_exit(spark, own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
