@@ -9,7 +9,7 @@ from walkgrid.functions.grid import DEFAULT_GRID as GRID
 from walkgrid.functions.grid import hex_distance, ring_offsets
 from walkgrid.functions.projection import system
 from walkgrid.functions.score import blend, check_weights, custom_blend, distance_score, score_color
-from walkgrid.functions.text import label, match_key, thousands
+from walkgrid.functions.text import label, match_key
 from walkgrid.operators.amenities import line_cells, traced_lines, with_parent
 from walkgrid.operators.scores import with_cell
 
@@ -147,6 +147,6 @@ def test_colors(spark):
 def test_text(spark):
     df = spark.createDataFrame([("  ÉCOLE ", 1234567), ("Straße", 5), ("ﬁn", 0), (None, None)], "s string, n long")
     assert [r[0] for r in df.select(match_key(F.col("s"))).collect()] == ["école", "strasse", "fin", None]
-    assert df.select(thousands(F.col("n"))).first()[0] == "1,234,567"
+    assert df.select(F.format_number("n", 0)).first()[0] == "1,234,567"
     names = spark.createDataFrame([("bike",), ("museum",)], "k string")
     assert [r[0] for r in names.select(label(F.col("k"), {"bike": "Bike paths"})).collect()] == ["Bike paths", "Museum"]

@@ -50,9 +50,14 @@ CATEGORY_LABELS = {
     "grocery": "Grocery stores", "school": "Schools", "health": "Health",
     "park": "Parks", "transit": "Transit", "bike": "Bike paths",
 }
-TABLE_LABELS = {
-    "grocery": "Gro.", "school": "Sch.", "health": "Health",
-    "transit": "Transit", "park": "Park", "bike": "Bike",
+
+# Columns of the landed address table and their types.
+ADDRESS_COLUMNS = {
+    "ID_UEV": "string", "CIVIQUE_DEBUT": "string", "CIVIQUE_FIN": "string", "NOM_RUE": "string", "SUITE_DEBUT": "string",
+    "ETAGE_HORS_SOL": "long", "NOMBRE_LOGEMENT": "long", "ANNEE_CONSTRUCTION": "long", "CODE_UTILISATION": "string",
+    "LETTRE_DEBUT": "string", "LETTRE_FIN": "string", "LIBELLE_UTILISATION": "string", "CATEGORIE_UEF": "string",
+    "MATRICULE83": "string", "SUPERFICIE_TERRAIN": "double", "SUPERFICIE_BATIMENT": "double", "NO_ARROND_ILE_CUM": "string",
+    "MUNICIPALITE": "string",
 }
 
 # Snapshot stamp: fixed-width UTC, so text order is time order.

@@ -31,7 +31,3 @@ def label(key: Column, labels: Mapping[str, str]) -> Column:
     """Label of a key, or the key capitalised."""
     pairs = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
     return F.coalesce(F.try_element_at(pairs, key), F.initcap(key))
-
-
-def thousands(n: Column) -> Column:
-    return F.format_number(n, 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from walkgrid.constants import DIST_COLUMNS, SCORE_COLUMNS
+from walkgrid.constants import ADDRESS_COLUMNS, DIST_COLUMNS, SCORE_COLUMNS
 
 KINDS = ("str", "numeric", "geometry")
 
@@ -28,10 +28,7 @@ class TableMeta:
     layer: str
     name: str
     description: str
-    data_category: str = "geospatial"
     segmentation: str = "snapshot"  # or the shard column
-    source: str = ""
-    url: str = ""
 
     @property
     def location(self) -> str:
@@ -40,15 +37,10 @@ class TableMeta:
 
 _POINT = {"lng": "numeric", "lat": "numeric"}
 
+# Names, kinds, keys, bounds and ages have to equal those that the tables' producers publish.
 CONTRACTS: dict[str, Contract] = {
     "addresses": Contract(
-        schema={
-            "ID_UEV": "str", "CIVIQUE_DEBUT": "str", "CIVIQUE_FIN": "str", "NOM_RUE": "str", "SUITE_DEBUT": "str",
-            "ETAGE_HORS_SOL": "numeric", "NOMBRE_LOGEMENT": "numeric", "ANNEE_CONSTRUCTION": "numeric",
-            "CODE_UTILISATION": "str", "LETTRE_DEBUT": "str", "LETTRE_FIN": "str", "LIBELLE_UTILISATION": "str",
-            "CATEGORIE_UEF": "str", "MATRICULE83": "str", "SUPERFICIE_TERRAIN": "numeric",
-            "SUPERFICIE_BATIMENT": "numeric", "NO_ARROND_ILE_CUM": "str", "MUNICIPALITE": "str", **_POINT,
-        },
+        schema={**{name: "str" if kind == "string" else "numeric" for name, kind in ADDRESS_COLUMNS.items()}, **_POINT},
         unique=("ID_UEV",), complete=("ID_UEV", "lng", "lat"), max_days=360,
     ),
     "bike_paths": Contract(

@@ -15,12 +15,12 @@ LEDGER_SCHEMA = (
 )
 
 # Texts of miss_reason.
-NO_PRIOR = "no prior materialization"
-NO_INPUTS = "prior materialization carries no inputs"
-CODE_CHANGED = "code version changed"
-UPSTREAM_MISSING = "upstream never materialized"
-UPSTREAM_MOVED = "upstream version changed"
-NO_VERSION = "prior materialization carries no version"
+NO_PRIOR = "never built"
+NO_INPUTS = "last build names no inputs"
+CODE_CHANGED = "built by other code"
+UPSTREAM_MISSING = "an input was never built"
+UPSTREAM_MOVED = "an input has another version"
+NO_VERSION = "last build names no version"
 
 
 def latest_runs(ledger: DataFrame, order: tuple[str, ...] = ("run_ts", "version")) -> DataFrame:

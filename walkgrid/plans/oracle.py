@@ -540,10 +540,10 @@ ORACLE: dict[str, str] = {
           c.asset is null as never
         from last l left join cur c on l.asset <> 'T5'
           and c.asset = concat('T', cast(cast(substr(l.asset, 2, 1) as integer) + 1 as varchar))),
-      why as (select asset, shard, version, case when code_version <> '0.2.0' then 'code version changed'
-          when never then 'upstream never materialized' when seen <> v then 'upstream version changed' end as miss_reason from up)
+      why as (select asset, shard, version, case when code_version <> '0.2.0' then 'built by other code'
+          when never then 'an input was never built' when seen <> v then 'an input has another version' end as miss_reason from up)
       select asset, shard, version, miss_reason is null as hit, miss_reason from why
-      union all select 'T6', shard, null, false, 'no prior materialization' from (select distinct shard from fx_ledger)""",
+      union all select 'T6', shard, null, false, 'never built' from (select distinct shard from fx_ledger)""",
     "shard_reconcile": f"""with {FX_ADDRESS}, {FX_AMENITY},
       a10 as (select * from {axial("(select lat, lng from fx_address where lat is not null)", "lng", "lat", 10)}),
       b10 as (select * from {axial("(select lat, lng from fx_amenity)", "lng", "lat", 10)}),

@@ -14,16 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from walkgrid.constants import ADDRESS_COLUMNS
 from walkgrid.functions.geo import to_wgs84
 from walkgrid.operators.amenities import require_columns
 from walkgrid.sources import documents
 
-ADDRESS_PROPERTIES = (
-    "ID_UEV string, CIVIQUE_DEBUT string, CIVIQUE_FIN string, NOM_RUE string, SUITE_DEBUT string, "
-    "ETAGE_HORS_SOL long, NOMBRE_LOGEMENT long, ANNEE_CONSTRUCTION long, CODE_UTILISATION string, "
-    "LETTRE_DEBUT string, LETTRE_FIN string, LIBELLE_UTILISATION string, CATEGORIE_UEF string, MATRICULE83 string, "
-    "SUPERFICIE_TERRAIN double, SUPERFICIE_BATIMENT double, NO_ARROND_ILE_CUM string, MUNICIPALITE string"
-)
+ADDRESS_PROPERTIES = ", ".join(f"{name} {kind}" for name, kind in ADDRESS_COLUMNS.items())
 BIKE_PATH_PROPERTIES = "ID_CYCL long"
 BOUNDARY_PROPERTIES = "NOM string, TYPE string"
 
