@@ -8,7 +8,8 @@ Plan of both modes:
    and row count, so a pair has a lower and an upper bound on the distance; pairs that cannot hold the nearest
    amenity are dropped.
 3. A pair whose position product is above ``MAX_PRODUCT`` is split into quarters on both sides, bounded again and
-   pruned again, until every pair is small. Crowded places thus descend, sparse places stop at the first level.
+   pruned again, until every pair is small. Crowded places thus descend, sparse places stop at the first level: a
+   position is read once, and once more for each level at which its cell is crowded.
    Nothing is capped: splitting only ever replaces a pair by all of its parts.
 4. The small pairs meet the positions by equi-join; the minimum per position and category is one aggregate with
    map-side combine.
@@ -112,19 +113,23 @@ def _pruned(pairs: DataFrame, radius: float | None) -> DataFrame:
     )
 
 
+def _inside(points: DataFrame, deep: DataFrame, side: str, group: list[str], side_len: float, level: int) -> DataFrame:
+    """The positions in cells of crowded pairs, written: only those are read again, one level down."""
+    cell = [f"{side}{x}" for x in AXES]
+    wanted = deep.select(*group, *cell).distinct()
+    return materialize(_with_sub_cells(points, side, side_len, level).join(wanted, [*group, *cell], "left_semi").drop(*cell), f"nearest-deep-{side}")
+
+
 def _split(deep: DataFrame, seekers: DataFrame, targets: DataFrame, side_len: float, level: int) -> DataFrame:
-    """Replace pairs of cells of ``level`` by the pairs of their parts, one level down."""
+    """Replace pairs of cells of ``level`` by the pairs of their parts, one level down, of the positions in those cells."""
 
-    def parts(points: DataFrame, side: str, group: list[str]) -> DataFrame:
-        cell = [f"{side}{x}" for x in AXES]
-        wanted = deep.select(*group, *cell).distinct()
-        inside = _with_sub_cells(points, side, side_len, level).join(wanted, [*group, *cell], "left_semi").drop(*cell)
+    def parts(points: DataFrame, side: str) -> DataFrame:
         up = (lambda x: F.lit(0).cast("long")) if level == 0 else (lambda x: F.shiftright(x, 1))
-        return _cells(inside, side, side_len, level + 1).withColumns({f"{side}p{x}": up(F.col(f"{side}{x}")) for x in AXES})
+        return _cells(points, side, side_len, level + 1).withColumns({f"{side}p{x}": up(F.col(f"{side}{x}")) for x in AXES})
 
     renamed = deep.select(*A_GROUP, "cat", *B_GROUP, *[F.col(f"{side}{x}").alias(f"{side}p{x}") for side in "ab" for x in AXES])
-    return renamed.join(parts(seekers, "a", A_GROUP), [*A_GROUP, *[f"ap{x}" for x in AXES]]).join(
-        parts(targets, "b", ["cat", *B_GROUP]), ["cat", *B_GROUP, *[f"bp{x}" for x in AXES]]
+    return renamed.join(parts(seekers, "a"), [*A_GROUP, *[f"ap{x}" for x in AXES]]).join(
+        parts(targets, "b"), ["cat", *B_GROUP, *[f"bp{x}" for x in AXES]]
     )
 
 
@@ -155,7 +160,9 @@ def _closest(
         )
         if crowded.get["n"] == 0:
             break
-        pairs = _split(pairs.filter(~small), seekers, targets, side_len, level)
+        deep = pairs.filter(~small)
+        seekers, targets = _inside(seekers, deep, "a", A_GROUP, side_len, level), _inside(targets, deep, "b", ["cat", *B_GROUP], side_len, level)
+        pairs = _split(deep, seekers, targets, side_len, level)
         level += 1
     least = (
         reduce(DataFrame.unionByName, candidates)
