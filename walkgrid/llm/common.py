@@ -48,8 +48,15 @@ def with_columns_in_arrow(
     return df.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
-def table(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, with the shuffle files of the write let go at once."""
+#: Rows of a file of a narrow table whose number of rows is known.
+FILE_ROWS = 1 << 18
+
+
+def table(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back, with the shuffle files of the write let go at once. With ``rows``, a bound
+    on a narrow table's rows, it is dealt to as few files as they need: a small table is not left as a file from each task."""
+    if rows is not None:
+        df = df.repartition(max(1, -(-rows // FILE_ROWS)))
     conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(name, None)
     conf.set(name, "true")

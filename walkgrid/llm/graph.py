@@ -14,13 +14,14 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Alternating large-star and small-star rounds: each links the neighbours of a node to the smallest of them, by grouped
     minimum and join, so a hub is no single task's work, and the number of rounds grows with the logarithm of the longest
-    chain. Every round is a table in the shared folder; the driver only sees whether a round changed anything.
+    chain. Every round is a table in the shared folder, of few files if it has few rows (a round never adds edges); the driver
+    only sees whether a round changed anything.
     """
     now = table(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     state = _state(now)
     while state[0]:
         large = _star(now.union(now.select("b", "a")), larger_only=True)
-        now = table(_star(large, larger_only=False), label)
+        now = table(_star(large, larger_only=False), label, state[0])
         state, before = _state(now), state
         if state == before:
             break

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from walkgrid.llm.common import table
+from walkgrid.llm.common import fresh, table
 
 
 CAPACITY = 2048
@@ -146,9 +146,16 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
     return [b for b in _Search(lengths, bins, free, capacity).run() if b]
 
 
+#: Widths of the local search. Pieces of a bin that are tried in pairs; pieces of one length, bins and other givers that are looked
+#: at for an exchange; the largest gain of one exchange, and of one for two; steps spent on one bin; bins in a row that
+#: may withstand before the search ends. Wider searches take longer and empty a few more bins.
+PAIRED, ALIKE, BINS, GIVERS, GAIN, GAIN_OF_TWO, STEPS, TRIES = 12, 64, 200, 8, 256, 8, 400, 8
+
+
 class _Search:
     """Empties the emptiest bins. Each step moves a piece out of the victim, or exchanges one or two of its pieces for one of
-    another bin (or one for two), so that the other bin gets fuller and the sum of squared fills grows."""
+    another bin (or one for two), so that the other bin gets fuller and the sum of squared fills grows. A bin that cannot be
+    emptied stays, and the search goes on with the next."""
 
     def __init__(self, lengths: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:
         self.n, self.bins, self.free, self.capacity = lengths, bins, free, capacity
@@ -178,11 +185,11 @@ class _Search:
         """Pieces of the victim to give away, the piece to take instead, and the bin, which is no emptier; the largest gain that
         is found."""
         own = sorted(self.bins[victim], key=lambda i: -self.n[i])
-        pairs = [(i, j) for k, i in enumerate(own[:12]) for j in own[k + 1 : 12]]
+        pairs = [(i, j) for k, i in enumerate(own[:PAIRED]) for j in own[k + 1 : PAIRED]]
         for gain in range(most, 0, -1):
             for out in [(i,) for i in own] + pairs:
                 want = sum(self.n[i] for i in out) - gain
-                for j in sorted(self.by_length.get(want, ()))[:64]:
+                for j in sorted(self.by_length.get(want, ()))[:ALIKE]:
                     if self.home[j] not in (victim, avoid) and gain <= self.free[self.home[j]] <= self.free[victim]:
                         return list(out), [j], self.home[j]
         return None
@@ -195,7 +202,7 @@ class _Search:
                     continue
                 seen: dict[int, int] = {}
                 for j in self.bins[b]:
-                    for gain in range(min(self.free[b], 8), 0, -1):
+                    for gain in range(min(self.free[b], GAIN_OF_TWO), 0, -1):
                         k = seen.get(self.n[i] - gain - self.n[j])
                         if k is not None:
                             return [i], [j, k], b
@@ -204,12 +211,13 @@ class _Search:
 
     def run(self) -> list[list[int]]:
         under = [b for b, f in enumerate(self.free) if f]
-        while len(under) > 1:
+        withstood: set[int] = set()
+        while len(under) > 1 and len(withstood) < TRIES:
             room = sum(self.free[b] for b in under)
-            victim = max(under, key=lambda b: self.free[b])
-            if room - self.free[victim] < self.capacity - self.free[victim]:
-                break  # the others cannot take it in, whatever is exchanged
-            for _ in range(400):
+            victim = max((b for b in under if b not in withstood), key=lambda b: self.free[b], default=None)
+            if victim is None or room < self.capacity:
+                break  # the others cannot take any bin in, whatever is exchanged
+            for _ in range(STEPS):
                 moved = False
                 for i in sorted(self.bins[victim], key=lambda i: -self.n[i]):
                     fits = [b for b in under if b != victim and self.free[b] >= self.n[i]]
@@ -221,27 +229,29 @@ class _Search:
                         break
                     continue
                 best = max((self.free[b] for b in under if b != victim), default=0)
-                step = self._better(victim, min(best, 256)) or self._two(victim, sorted(under, key=lambda b: -self.free[b])[:200])
+                step = self._better(victim, min(best, GAIN)) or self._two(victim, sorted(under, key=lambda b: -self.free[b])[:BINS])
                 giver = victim
                 if step is None:  # two other bins: the emptier one gets emptier, until it can take a piece of the victim
-                    for giver in sorted((b for b in under if b != victim and self.free[b]), key=lambda b: -self.free[b])[:8]:
-                        step = self._better(giver, min(best, 256), victim)
+                    for giver in sorted((b for b in under if b != victim and self.free[b]), key=lambda b: -self.free[b])[:GIVERS]:
+                        step = self._better(giver, min(best, GAIN), victim)
                         if step:
                             break
                 if step is None:
                     break
                 self._swap(*step[:2], giver, step[2])
             if self.bins[victim]:
-                break
+                withstood.add(victim)
+            else:
+                withstood.clear()  # its pieces have made other bins fuller
             under = [b for b in under if self.free[b] and self.bins[b]]
         return self.bins
 
 
-def _packer(columns: list[str], length: str, capacity: int, n_round: int, last: bool):
+def _packer(names: dict[str, str], length: str, capacity: int, n_round: int, last: bool):
     """Packs one group; the sequences it could not fill stay open unless the round is the last."""
 
     def one(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(columns, kind="stable", ignore_index=True).drop(columns="_group")
+        part = part.sort_values(names["row"], ignore_index=True).drop(columns=names["group"])
         lengths = part[length].astype(int).tolist()
         sequence, offset, unfilled = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), np.zeros(len(part), bool)
         for k, own in enumerate(pack_lengths(lengths, capacity)):
@@ -250,7 +260,7 @@ def _packer(columns: list[str], length: str, capacity: int, n_round: int, last:
                 sequence[i], offset[i] = (n_round << 56) + (int(key[0]) << 24) + k, fill
                 fill += lengths[i]
             unfilled[own] = not last and fill < capacity
-        return part.assign(sequence_id=sequence, offset=offset, _open=unfilled)
+        return part.assign(**{"sequence_id": sequence, "offset": offset, names["open"]: unfilled})
 
     return one
 
@@ -258,27 +268,32 @@ def _packer(columns: list[str], length: str, capacity: int, n_round: int, last:
 def pack(found: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
     """``found`` with ``sequence_id`` and ``offset``: sequences of at most ``capacity`` ids, as few as local search finds.
 
-    Pieces are dealt at random to groups of about ``GROUP`` rows; each group is packed by a task of its own. Full sequences are
-    then final; what a group could not fill (a few sequences) goes on to the next, smaller round of groups until one group is
-    left, so no row is dropped and no group grows with the table. Lengths must lie between 1 and ``capacity``. Ties and
-    repeated rows are separate pieces. An empty table gives no rows. Columns named as an output are replaced.
+    Each row is numbered, in a written table, and dealt by its number to groups of about ``GROUP`` rows, so that repeated rows are
+    dealt like all others; each group is packed by a task of its own. Full sequences are then final; what a group could not fill (a
+    few sequences) goes on to the next, smaller round of groups until one group is left, so no row is dropped and no group grows
+    with the table. Where a round closes less than a tenth of its rows (few, long pieces, of which hardly any fill a sequence), no
+    further round would, and its groups stay as they are packed: every row is in a sequence, only the search across groups ends.
+    Lengths must lie between 1 and ``capacity``. Ties and repeated rows are separate pieces. An empty table gives no rows. Columns
+    named as an output are replaced, all others stay.
     """
     columns = [c for c in found.columns if c not in ("sequence_id", "offset")]
-    rest, done, n_round = found.select(*columns), None, 0
-    schema = T.StructType([*rest.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("_open", T.BooleanType())])
-    rows = rest.count()
+    names = {n: fresh(found, n) for n in ("row", "group", "open")}
+    rest = table(found.select(*columns, F.monotonically_increasing_id().alias(names["row"])), "pieces")
+    fields = [*rest.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    schema, done, n_round, rows = T.StructType([*fields, T.StructField(names["open"], T.BooleanType())]), None, 0, rest.count()
     while True:
         groups, last_round = max(1, -(-rows // GROUP)), rows <= GROUP
-        dealt = rest.withColumn("_group", F.pmod(F.xxhash64(*columns, F.lit(n_round)), F.lit(groups)).cast("int"))
-        packed = table(dealt.groupBy("_group").applyInPandas(_packer(columns, length, capacity, n_round, last_round), schema), "packed")
-        closed = packed.filter("not _open").drop("_open")
+        dealt = rest.withColumn(names["group"], F.pmod(F.xxhash64(names["row"], F.lit(n_round)), F.lit(groups)).cast("int"))
+        packed = dealt.groupBy(names["group"]).applyInPandas(_packer(names, length, capacity, n_round, last_round), schema)
+        packed = table(packed, "packed", rows)
+        closed = packed.filter(~F.col(names["open"])).drop(*names.values())
         done = closed if done is None else done.unionByName(closed)
         if last_round:
             return done
-        rest = packed.filter("_open").select(*columns)
+        rest = packed.filter(names["open"]).select(*columns, names["row"])
         before, rows, n_round = rows, rest.count(), n_round + 1
-        if rows > 0.9 * before:  # hardly a sequence gets full (few, long pieces): take the groups as they are
-            return done.unionByName(packed.filter("_open").drop("_open"))
+        if rows > 0.9 * before:
+            return done.unionByName(packed.filter(names["open"]).drop(*names.values()))
 
 
 def tokenizer_path() -> str:
@@ -289,6 +304,6 @@ def tokenizer_path() -> str:
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """All documents cut and packed; see ``pieces`` and ``pack``."""
-    return pack(table(pieces(docs, path or tokenizer_path()), "pieces"))
+    return pack(pieces(docs, path or tokenizer_path()))
 
 
