@@ -163,40 +163,53 @@ def _labelled(nodes: DataFrame, node: str, labels: DataFrame, out: str) -> DataF
     return nodes.join(own, node, "left").withColumn(out, F.coalesce(out, node))
 
 
+def candidates(sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes of ``sets`` (``node, sig``) that are near each other in a region of a sorted order of the forest, and
+    whose signatures agree enough."""
+    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    orders = sets.mapInArrow(_orders, "region long, deep long, node binary")
+    sort = ["region", "deep", "node"]
+    met = orders.repartitionByRange(width, *sort).sortWithinPartitions(*sort).mapInArrow(_neighbours, "region long, node binary, other binary").filter("other is not null")
+    met = table(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-met")
+    sa, sb = (sets.select(F.col("node").alias(n), F.col("sig").alias(f"s{n}")) for n in "ab")
+    agreeing = met.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a binary, b binary")
+    return table(agreeing, "near-alike", met.count())
+
+
 def links(sets: DataFrame, texts_of) -> DataFrame:
     """Component of every set that is linked with another: ``node, component``.
 
     ``sets`` has one row ``node, sig, n_shingles`` for each distinct set. ``texts_of(nodes)`` gives ``node, text`` for a table of nodes.
+    """
+    return linked_in_clusters(candidates(sets.select("node", "sig")), sets.select("node", "n_shingles"), texts_of)
 
-    Rows near each other in a region of a sorted order are candidates; those whose signatures agree enough form clusters.
+
+def linked_in_clusters(alike: DataFrame, sets: DataFrame, texts_of) -> DataFrame:
+    """``node, component`` of every set that is linked with another of its cluster.
+
+    Clusters are the components of the candidate pairs ``alike`` (``a, b``); ``sets`` has ``node, n_shingles`` for each distinct set.
     Within a cluster all links are found on the full sets: in one task up to ``BLOCK`` shingles; larger clusters in two passes. The
     first deals their sets to blocks and adds the same sets of ``PIVOTS`` shingles to each, which joins what is widely linked. The
     second compares what is still outside the cluster's largest component with the whole cluster, block by block: its work grows with
     what is outside times the cluster. No pair is left out, and of the links only a spanning forest is written.
     """
-    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    orders = sets.mapInArrow(_orders, "region long, deep long, node binary")
-    sort = ["region", "deep", "node"]
-    met = orders.repartitionByRange(width, *sort).sortWithinPartitions(*sort).mapInArrow(_neighbours, "region long, node binary, other binary").filter("other is not null")
-    met = table(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-met")
-    sa, sb = (sets.select(F.col("node").alias(n), F.col("sig").alias(f"s{n}")) for n in "ab")
-    alike = table(met.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a binary, b binary"), "near-alike")
-    clusters = table(components(alike, "near-clusters"), "near-clusters").withColumnRenamed("component", "cluster")
+    known = sets.count()
+    clusters = table(components(alike, "near-clusters"), "near-clusters", known).withColumnRenamed("component", "cluster")
     texts = table(texts_of(clusters.select("node")), "near-texts")
-    members = table(clusters.join(sets.select("node", "n_shingles"), "node"), "near-members")
+    members = table(clusters.join(sets.select("node", "n_shingles"), "node"), "near-members", known)
     sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("n"))
     rows = members.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("label", F.col("node"))
     h = F.xxhash64("node", F.lit(5))
     pivot = (F.col("blocks") > 1) & (F.pmod(h, F.greatest(F.lit(1), (F.col("n") / PIVOTS).cast("long"))) == 0)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = rows.withColumn("x", F.explode(F.when(pivot, every).otherwise(F.array(F.pmod(F.shiftright(h, 20), "blocks").cast("int")))))
-    done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", F.lit(True).alias("seeks")), texts), "near-links")
-    labels = table(components(done, "near-components"), "near-labels")
+    done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", F.lit(True).alias("seeks")), texts), "near-links", known)
+    labels = table(components(done, "near-components"), "near-labels", known)
 
     large = _labelled(rows.filter("blocks > 1").select("cluster", "node", "n", "n_shingles"), "node", labels, "label")
     counts = large.groupBy("cluster", "label").agg(F.sum("n_shingles").alias("c"))
     most = counts.groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("top")).select("cluster", F.col("top.c").alias("c"), F.col("top.label").alias("top"))
-    left = table(large.join(most, "cluster").filter("c < n"), "near-left")
+    left = table(large.join(most, "cluster").filter("c < n"), "near-left", known)
     if not left.isEmpty():
         out = F.ceil((F.col("n") - F.col("c")) / BLOCK).cast("int")
         all_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -204,7 +217,7 @@ def links(sets: DataFrame, texts_of) -> DataFrame:
         seekers = left.filter("label != top").select("cluster", own(out).alias("x"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("y"), "node", "label", F.lit(True).alias("seeks"))
         whole = left.select("cluster", F.explode(F.sequence(F.lit(0), out - 1)).alias("x"), own(all_blocks).alias("y"), "node", "label", F.lit(False).alias("seeks"))
         both = seekers.unionByName(whole).groupBy("cluster", "x", "y", "node", "label").agg(F.max("seeks").alias("seeks"))
-        labels = table(components(table(_linked(both, texts), "near-links").unionByName(done), "near-components"), "near-labels")
+        labels = table(components(table(_linked(both, texts), "near-links", known).unionByName(done), "near-components"), "near-labels", known)
     return labels
 
 
@@ -236,7 +249,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = links(sets.select("node", "sig", "n_shingles"), texts_of)
     least = _labelled(sets.select("node", "doc_id"), "node", labels, "comp")
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_set = table(least.select("node", "comp").join(smallest, "comp").select("node", "component_id"), "near-of-set")
+    of_set = table(least.select("node", "comp").join(smallest, "comp").select("node", "component_id"), "near-of-set", sets.count())
     out = rows.select("doc_id", "n_shingles", "node", "key").join(of_set, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "key", F.col("node").isNull().alias("empty"))
