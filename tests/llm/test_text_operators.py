@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -136,7 +137,9 @@ def test_packing(spark, sf_dir, rows):
     total = 0
     for d, t, _ in rows:
         own = sorted((r for r in got if r["doc_id"] == d), key=lambda r: r["piece"])
-        n = len(encode.whole.encode(t, add_special_tokens=False).ids) + 1
+        ids = np.array([*encode.whole.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        n = len(ids)
+        assert [r["ids_crc32"] for r in own] == [zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) for r in own]
         assert [r["start"] for r in own] == [sum(r["length"] for r in own[:i]) for i in range(len(own))]
         assert sum(r["length"] for r in own) == n and all(r["length"] == 2048 for r in own[1:])
         total += n
@@ -171,6 +174,25 @@ def test_packing_odd(odd, none, monkeypatch):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_repeated_rows_are_dealt_and_clashing_names_stay(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    seen = []
+    deal = packing._packer
+    monkeypatch.setattr(packing, "_packer", lambda *a: seen.append(a[3]) or deal(*a))
+    same = spark.range(600).select(F.lit(1).alias("group"), F.lit("x").alias("open"), F.lit(2).alias("row"), F.lit(700).alias("length"))
+    got = packing.pack(same, 2048)
+    assert set(got.columns) == {"group", "open", "row", "length", "sequence_id", "offset"} and got.count() == 600
+    assert got.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+    assert got.groupBy(F.shiftright("sequence_id", 24)).count().agg(F.max("count")).first()[0] < 150  # of each group its share
+
+
+def test_search_goes_on_past_a_bin_that_withstands():
+    rng = random.Random(3)
+    lengths = [rng.randint(400, 1000) for _ in range(600)]
+    bins = packing.pack_lengths(lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(600)) and all(sum(lengths[i] for i in b) <= 2048 for b in bins)
+
+
 # 6
 
 
@@ -268,6 +290,10 @@ def test_licences(spark, odd, none):
     assert got[1]["licence"] == "MIT" and got[3]["licence"] is None and got[4]["canonical_sha256"] is None
     assert (got[2]["n_notices"], got[2]["licences"]) == (2, ["CC-BY-4.0", "MIT"])
     assert licences.scan(odd).count() == len(ODD) and licences.scan(none).count() == 0
+    known = spark.createDataFrame([("CC0-1.0", "CC0 1.0 Universal"), ("X", "Some Licence\nof two lines"), ("Y", None)], "licence string, text string")
+    docs = spark.createDataFrame([(1, "a\n cc0 1.0  UNIVERSAL!\n"), (2, "some license: of two lines"), (3, "")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["licence"], r["licences"]) for r in licences.scan(docs, known).collect()}
+    assert got == {1: (None, ["CC0-1.0"]), 2: ("X", ["X"]), 3: (None, [])}
 
 
 # 9
@@ -299,6 +325,32 @@ def test_paragraph_dedup(spark, rows, odd, none):
     assert paragraph_dedup.remove_repeated_paragraphs(odd).count() == len(ODD) and paragraph_dedup.remove_repeated_paragraphs(none).count() == 0
 
 
+def test_families_of_near_paragraphs_are_found_whole(spark):
+    """Copies of 60 words with a few of them replaced: of all linked paragraphs nearly all are in one group with a linked one."""
+    rng = random.Random(9)
+    found = linked = 0
+    for share in (0.02, 0.03, 0.05):
+        base = [f"b{rng.randrange(10**6)}" for _ in range(60)]
+        family = [" ".join(w if rng.random() > share else f"n{rng.randrange(50)}" for w in base) for _ in range(400)]
+        rest = [" ".join(f"r{rng.randrange(300)}" for _ in range(60)) for _ in range(100)]
+        texts = family + rest
+        sets = [shingles(t) for t in texts]
+        at, both = {}, Counter()
+        for i, s in enumerate(sets):
+            for x in s:
+                both.update((j, i) for j in at.setdefault(x, []))
+                at[x].append(i)
+        edges = [e for e, n in both.items() if 100 * n >= 75 * (len(sets[e[0]]) + len(sets[e[1]]) - n)]
+        group = roots(range(len(texts)), edges)
+        size = Counter(group.values())
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r["doc_id"]: r["n_repeated"] for r in paragraph_dedup.remove_repeated_paragraphs(docs).collect()}
+        linked += sum(size[g] > 1 for g in group.values())
+        found += sum(size[g] > 1 and got[i] == 1 for i, g in group.items())
+        assert not any(got[i] for i, g in group.items() if size[g] == 1)
+    assert linked > 600 and found >= 0.98 * linked
+
+
 # 10
 
 

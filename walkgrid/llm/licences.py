@@ -75,7 +75,7 @@ Unless required by applicable law or agreed to in writing, software distributed
 SPELLINGS = {"licence": "license", "sub-licens": "sublicens", "non-commercial": "noncommercial", "non-infringement": "noninfringement", "acknowledgement": "acknowledgment", "organisation": "organization", "copyright owner": "copyright holder", "https:": "http:"}
 #: Punctuation, each mark a separator.
 MARKS = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127), 169, 8211, 8212, 8216, 8217, 8220, 8221)))
-#: A word part that every known notice line has; other lines are no notice.
+#: A word part that every built-in text has. Where all known texts have it, a line without it is none of them.
 IN_NOTICES = "licen"
 
 
@@ -104,13 +104,15 @@ def scan(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id"
     else null), ``n_notices`` (lines that are a known text by themselves) and ``licences`` (theirs, sorted, each once).
 
     Null text has no digest, no licence and no notices; an empty text is no licence. Repeated rows get the same answer each.
-    ``known`` has columns ``licence, text``; an empty one finds nothing. Digests are joined by equality: the built-in table is
+    ``known`` has columns ``licence, text``, whole texts and single lines alike; an empty one finds nothing. Digests are joined by equality: the built-in table is
     a few hundred rows, and a larger one is broadcast only if Spark has measured it as small.
     """
     by_digest = table(digests(known if known is not None else known_texts(docs.sparkSession)), "licences")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("k1"), F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("\0"))).alias("k2"))
     whole = rows.select("doc_id", "k1", "k2", F.sha2(normalised(F.col("text")), 256).alias("canonical_sha256")).join(by_digest.withColumnRenamed("digest", "canonical_sha256"), "canonical_sha256", "left")
-    lines = rows.select("k1", "k2", F.posexplode(F.filter(F.split("text", "\n"), lambda x: F.contains(F.lower(x), F.lit(IN_NOTICES)))).alias("at", "line"))
+    others = known is not None and not known.filter(~F.contains(F.lower("text"), F.lit(IN_NOTICES))).isEmpty()
+    lines = F.filter(F.split("text", "\n"), lambda x: F.contains(F.lower(x), F.lit("" if others else IN_NOTICES)) & (F.trim(x) != ""))
+    lines = rows.select("k1", "k2", F.posexplode(lines).alias("at", "line"))
     found = lines.select("k1", "k2", "at", F.sha2(normalised(F.col("line")), 256).alias("digest")).join(by_digest, "digest").dropDuplicates(["k1", "k2", "at"])
     notices = found.groupBy("k1", "k2").agg(F.count("*").alias("n_notices"), F.array_sort(F.collect_set("licence")).alias("licences"))
     none = F.array().cast("array<string>")
