@@ -6,6 +6,7 @@ import random
 import pytest
 
 from walkgrid.constants import CATEGORIES, DIST_COLUMNS
+from walkgrid.operators import nearest as module
 from walkgrid.operators.nearest import nearest
 
 
@@ -122,3 +123,19 @@ def test_more_positions_than_the_budget_within_a_nanometre_end(spark):
     a = [(i, 45.5 + i * 1e-14, -73.6) for i in range(9)]
     b = [("park", 45.5, -73.6 - i * 2e-14) for i in range(9)]
     check(run(spark, a, b, max_product=2), brute(a, b, 1465.0))
+
+
+@pytest.mark.parametrize("mode", ["exact", "first_ring"])
+def test_no_row_is_made_for_a_pair_of_positions(spark, monkeypatch, mode):
+    """What is aggregated is a row an address position and level, though 90,000 pairs of positions are in reach."""
+    made = []
+    met = module._met
+    monkeypatch.setattr(module, "_met", lambda *args: made.append(met(*args)) or made[-1])
+    rng = random.Random(5)
+    a = [(i, *p) for i, p in enumerate(points(rng, 30, 45.5, -73.6, 0.0001))]
+    b = [(CATEGORIES[i % 2], *p) for i, p in enumerate(points(rng, 3000, 45.5, -73.6, 0.0001))]
+    got = run(spark, a, b, mode=mode, max_product=10**6)  # more positions in a cell than an array holds
+    if mode == "exact":
+        check(got, brute(a, b, 1465.0))
+    assert all(set(g) == set(CATEGORIES[:2]) for g in got.values())
+    assert sum(m.count() for m in made) == len(a)

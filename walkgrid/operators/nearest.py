@@ -11,15 +11,19 @@ Plan of both modes:
    pruned again, until every pair is small. Crowded places thus descend, sparse places stop at the first level: a
    position is read once, and once more for each level at which its cell is crowded.
    Nothing is capped: splitting only ever replaces a pair by all of its parts.
-4. The small pairs meet the positions by equi-join; the minimum per position and category is one aggregate with
-   map-side combine.
+4. The small pairs meet the positions by equi-join: the rows of a cell of addresses stand together, its own positions first,
+   then those of the amenity cells it is paired with, as short arrays. Distances are taken array by array, so no row is made
+   for a pair of positions; the minimum per position and category is one aggregate over a row a position.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -32,12 +36,15 @@ from walkgrid.session import materialize
 RADIUS_M = (MAX_RING * math.sqrt(3) + 2) * EDGE_M[10]
 
 # Most position pairs one pair of cells may produce before it is split.
-MAX_PRODUCT = 8192
+MAX_PRODUCT = 16384
 
 # Positions are binned as whole numbers of this many halvings of the unit sphere's radius, 6 nanometres on the ground. Splitting
 # ends there: positions that share such a cube cannot be told apart by distance, and are compared one by one.
 BITS = 50
 
+# Most amenity positions in one array, and most pairs whose distances are taken at once.
+PACK, BLOCK = 256, 1 << 16
+
 # Rings probed for every cell before the far ones are probed for cells still lacking a category.
 NEAR_RINGS = 2
 
@@ -133,42 +140,97 @@ def _split(deep: DataFrame, seekers: DataFrame, targets: DataFrame, side_len: fl
     )
 
 
+def _least_chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least squared chord from each position of ``a`` to those of ``b`` (three rows each: the axes)."""
+    least = np.full(a.shape[1], np.nan)
+    step = max(1, BLOCK // a.shape[1])
+    for at in range(0, b.shape[1], step):
+        total = np.zeros(1)
+        for mine, other in zip(a, b, strict=True):
+            d = mine[None, :] - other[at : at + step, None]
+            d *= d
+            total = total + d
+        least = np.fmin(least, np.fmin.reduce(total, axis=0))
+    return least
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by cell and category, the cell's own positions first (category 0): least squared chords of each position."""
+    names = ["lat", "lng", *CATEGORIES]
+    cell, own, least = None, np.empty((5, 0)), {}
+
+    def done() -> list[np.ndarray]:
+        return [np.vstack((own[:2], *[least.get(i, np.full(own.shape[1], np.inf)) for i in range(1, len(CATEGORIES) + 1)]))] if least else []
+
+    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.hstack(found) if found else np.empty((len(names), 0))
+        chords = [pa.array(r, mask=np.isposinf(r)) for r in rows[2:]]  # infinite: nothing to meet
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), *chords], names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in [*A_CELL, "cat"]])
+        points = np.stack([batch.column(f"u{x}").flatten().to_numpy() for x in AXES])
+        places = np.stack([batch.column(c).flatten().to_numpy() for c in ("lat", "lng")])
+        ends = batch.column("ux").offsets.to_numpy().astype(np.int64)
+        place_ends = batch.column("lat").offsets.to_numpy().astype(np.int64)
+        first = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
+        found = []
+        for lo, hi in zip(first, np.append(first[1:], batch.num_rows), strict=True):
+            *at, cat = keys[:, lo].tolist()
+            if at != cell:
+                found += done()
+                cell, own, least = at, np.empty((5, 0)), {}
+            some = points[:, ends[lo] - ends[0] : ends[hi] - ends[0]]
+            if cat == 0:
+                own = np.hstack((own, np.vstack((places[:, place_ends[lo] - place_ends[0] : place_ends[hi] - place_ends[0]], some))))
+            elif own.shape[1]:
+                met = _least_chords(own[2:], some)
+                least[cat] = np.fmin(least[cat], met) if cat in least else met
+        yield batch_of(found)
+    yield batch_of(done())
+
+
+def _met(seekers: DataFrame, targets: DataFrame, small: DataFrame, side_len: float, level: int) -> DataFrame:
+    """(lat, lng, <category>...) least squared chords over the ``small`` pairs of cells of ``level``; null without a pair."""
+    axes = [f"u{x}" for x in AXES]
+    b_cell = ["cat", *B_CELL]
+    b = _with_sub_cells(targets, "b", side_len, level).join(small.select(*b_cell).distinct(), b_cell, "left_semi")
+    packed = b.groupBy(*b_cell).agg(F.collect_list(F.struct(*axes)).alias("all"))  # of cells in small pairs: as bounded as these
+    begins = F.sequence(F.lit(1), F.size("all"), F.lit(PACK))
+    packed = packed.select(*b_cell, F.explode(F.transform(begins, lambda i: F.slice("all", i, PACK))).alias("some"))
+    none = F.array().cast("array<double>")
+    met = small.select(*A_CELL, *b_cell).join(packed, b_cell).select(
+        *A_CELL, "cat", none.alias("lat"), none.alias("lng"), *[F.col("some")[x].alias(x) for x in axes]
+    )
+    own = _with_sub_cells(seekers, "a", side_len, level).select(
+        *A_CELL, F.lit(0).alias("cat"), *[F.array(c).alias(c) for c in ("lat", "lng", *axes)]
+    )
+    rows = own.unionByName(met).repartition(_partitions(small), *A_CELL).sortWithinPartitions(*A_CELL, "cat")
+    return rows.mapInArrow(_by_cell, ", ".join(f"{c} double" for c in ("lat", "lng", *CATEGORIES)))
+
+
 def _closest(
     seekers: DataFrame, targets: DataFrame, pairs: DataFrame, side_len: float, radius: float | None, max_product: int
 ) -> DataFrame:
     """(lat, lng, dist_<category>...) of the least distance per address position over its candidate groups."""
-    partitions = _partitions(pairs)
     candidates = []
     level = 0
     while True:
         small = F.col("product") <= max_product if level < _last_level(side_len) else F.lit(True)
-        crowded = Observation()  # counted while the pairs are written, so asking costs no job
-        pairs = materialize(_pruned(pairs, radius).observe(crowded, F.count_if(~small).alias("n")), "nearest-pairs")
-        a = _with_sub_cells(seekers, "a", side_len, level)
-        b = _with_sub_cells(targets, "b", side_len, level).select(
-            "cat", *B_CELL, *[F.col(f"u{x}").alias(f"v{x}") for x in AXES]
-        )
-        dx, dy, dz = F.col("ux") - F.col("vx"), F.col("uy") - F.col("vy"), F.col("uz") - F.col("vz")
-        candidates.append(
-            pairs.filter(small)
-            .select(*A_CELL, "cat", *B_CELL)
-            .join(b, ["cat", *B_CELL])
-            .select(*A_CELL, "cat", "vx", "vy", "vz")
-            .repartition(partitions, *A_CELL)  # rows per cell are bounded, so this is even; also the join's own key
-            .join(a, A_CELL)
-            .select("lat", "lng", "cat", (dx * dx + dy * dy + dz * dz).alias("chord2"))
-        )
-        if crowded.get["n"] == 0:
+        seen = Observation()  # counted while the pairs are written, so asking costs no job
+        pairs = materialize(_pruned(pairs, radius).observe(seen, F.count_if(small).alias("small"), F.count_if(~small).alias("crowded")), "nearest-pairs")
+        last = seen.get["crowded"] == 0
+        if seen.get["small"] or (last and not candidates):
+            candidates.append(_met(seekers, targets, pairs.filter(small), side_len, level))
+        if last:
             break
         deep = pairs.filter(~small)
         seekers, targets = _inside(seekers, deep, "a", A_GROUP, side_len, level), _inside(targets, deep, "b", ["cat", *B_GROUP], side_len, level)
         pairs = _split(deep, seekers, targets, side_len, level)
         level += 1
-    least = (
-        reduce(DataFrame.unionByName, candidates)
-        .groupBy("lat", "lng")
-        .agg(*[F.min(F.when(F.col("cat") == i, F.col("chord2"))).alias(c) for i, c in enumerate(CATEGORIES, 1)])
-    )
+    least = reduce(DataFrame.unionByName, candidates).groupBy("lat", "lng").agg(*[F.min(c).alias(c) for c in CATEGORIES])
 
     found = least.select("lat", "lng", *[arc_of(F.sqrt(c) / 2).alias(f"dist_{c}") for c in CATEGORIES])
     if radius is not None:
