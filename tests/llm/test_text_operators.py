@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import near_components, removed_repeats, roots, shingles
 from compare import difference, oracle_connection
@@ -351,6 +352,26 @@ def test_families_of_near_paragraphs_are_found_whole(spark):
     assert linked > 600 and found >= 0.98 * linked
 
 
+def test_paragraphs_that_meet_only_in_crowded_bands_are_linked(spark):
+    """Pairs of likeness 0.75 among hundreds that share 40 of 60 words (likeness 0.47) and their bands: all that meet are found."""
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(40)]
+    texts = []
+    for i in range(200):
+        own = [f"o{rng.randrange(10**7)}" for _ in range(20)]
+        texts += [" ".join(common + own), " ".join(common + own[:12] + [f"x{i}x{k}" for k in range(8)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bands = {}
+    for batch in paragraph_dedup._banded([pa.RecordBatch.from_pydict({"text": texts})]):
+        for band, h in zip(*batch.to_pydict().values(), strict=True):
+            bands.setdefault(h, set()).add(band)
+    node = [int(paragraph_dedup.paragraphs(t.encode())[0].view("int64")[0]) for t in texts]
+    meet = {i for i in range(0, len(texts), 2) if bands[node[i]] & bands[node[i + 1]]}
+    got = {r["doc_id"]: r["n_removed"] for r in paragraph_dedup.remove_repeated_paragraphs(docs).collect()}
+    assert len(meet) > 190
+    assert all(got[i] + got[i + 1] == 1 for i in meet)
+
+
 # 10
 
 

@@ -184,18 +184,39 @@ def links(sets: DataFrame, texts_of) -> DataFrame:
     return linked_in_clusters(candidates(sets.select("node", "sig")), sets.select("node", "n_shingles"), texts_of)
 
 
-def linked_in_clusters(alike: DataFrame, sets: DataFrame, texts_of) -> DataFrame:
+def _across(groups: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``cluster, node, seeks`` of the groups that no one cluster holds, of equal groups one. The sets of a group's most frequent cluster
+    are compared with each other there, so that only the others seek."""
+    own = _labelled(groups, "node", clusters, "own")
+    h = [F.bit_xor(F.xxhash64("node", F.lit(i))) for i in range(2)]
+    split = own.groupBy("group").agg(F.count("*").alias("n"), h[0].alias("h0"), h[1].alias("h1"), F.min("own").alias("low"), F.max("own").alias("high"))
+    once = split.filter("low != high").groupBy("n", "h0", "h1").agg(F.min("group").alias("group")).select("group")
+    rows = own.join(once, "group")
+    most = rows.groupBy("group", "own").agg(F.count("*").alias("c")).groupBy("group").agg(F.max(F.struct("c", "own")).alias("top"))
+    return rows.join(most, "group").select(F.col("group").alias("cluster"), "node", (F.col("own") != F.col("top.own")).alias("seeks"))
+
+
+def linked_in_clusters(alike: DataFrame, sets: DataFrame, texts_of, groups: DataFrame | None = None) -> DataFrame:
     """``node, component`` of every set that is linked with another of its cluster.
 
-    Clusters are the components of the candidate pairs ``alike`` (``a, b``); ``sets`` has ``node, n_shingles`` for each distinct set.
+    Clusters are the components of the candidate pairs ``alike`` (``a, b``) and, if not within one of them, the ``groups`` (``group,
+    node``; names unlike those of nodes), which may overlap; ``sets`` has ``node, n_shingles`` for each distinct set.
     Within a cluster all links are found on the full sets: in one task up to ``BLOCK`` shingles; larger clusters in two passes. The
     first deals their sets to blocks and adds the same sets of ``PIVOTS`` shingles to each, which joins what is widely linked. The
     second compares what is still outside the cluster's largest component with the whole cluster, block by block: its work grows with
     what is outside times the cluster. No pair is left out, and of the links only a spanning forest is written.
     """
     known = sets.count()
-    clusters = table(components(alike, "near-clusters"), "near-clusters", known).withColumnRenamed("component", "cluster")
-    texts = table(texts_of(clusters.select("node")), "near-texts")
+    clusters = table(components(alike, "near-clusters"), "near-clusters", known)
+    nodes, more = clusters.select("node"), None
+    if groups is not None:
+        more = table(_across(groups, clusters), "near-across")
+        more = None if more.isEmpty() else more
+    clusters = clusters.select(F.col("component").alias("cluster"), "node", F.lit(True).alias("seeks"))
+    if more is not None:
+        clusters, nodes = clusters.unionByName(more), nodes.union(more.select("node")).distinct()
+        known += more.count()
+    texts = table(texts_of(nodes), "near-texts")
     members = table(clusters.join(sets.select("node", "n_shingles"), "node"), "near-members", known)
     sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("n"))
     rows = members.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("label", F.col("node"))
@@ -203,7 +224,7 @@ def linked_in_clusters(alike: DataFrame, sets: DataFrame, texts_of) -> DataFrame
     pivot = (F.col("blocks") > 1) & (F.pmod(h, F.greatest(F.lit(1), (F.col("n") / PIVOTS).cast("long"))) == 0)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = rows.withColumn("x", F.explode(F.when(pivot, every).otherwise(F.array(F.pmod(F.shiftright(h, 20), "blocks").cast("int")))))
-    done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", F.lit(True).alias("seeks")), texts), "near-links", known)
+    done = table(_linked(dealt.select("cluster", "x", F.lit(0).alias("y"), "node", "label", "seeks"), texts), "near-links", known)
     labels = table(components(done, "near-components"), "near-labels", known)
 
     large = _labelled(rows.filter("blocks > 1").select("cluster", "node", "n", "n_shingles"), "node", labels, "label")

@@ -24,7 +24,7 @@ LONG, CUT = 64, 16
 #: A pair of likeness 0.75 meets in a band with probability 1 - (1 - 0.75**3)**10 = 0.996, one of 0.85 with 0.9999.
 BANDS, ROWS = 10, 3
 #: Different paragraphs before it in a band that a paragraph is first compared with. Those of this likeness, in per cent, form
-#: clusters, within which all are compared.
+#: clusters, within which all are compared; so are all paragraphs of a band with more of them that no one cluster holds.
 NEAR, LOOSE = 3, 50
 
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
@@ -89,7 +89,8 @@ def _banded(batches: Batches) -> Batches:
 
 
 def _colliding(batches: Batches) -> Batches:
-    """Of rows sorted by band and hash: pairs of different paragraphs near each other in a band."""
+    """Of rows sorted by band and hash: pairs ``a, b`` of different paragraphs near each other in a band; for each paragraph ``a`` of
+    a band with more than ``NEAR + 1`` also the ``band`` (null in pairs)."""
     kept = [np.empty(0, np.int64)] * 2
     for batch in batches:
         band, h = (np.concatenate((k, batch.column(i).to_numpy())) for i, k in enumerate(kept))
@@ -101,9 +102,15 @@ def _colliding(batches: Batches) -> Batches:
             i = i[band[i] == band[i - lag]]
             a.append(np.minimum(h[i], h[i - lag]))
             b.append(np.maximum(h[i], h[i - lag]))
-        kept = [band[-NEAR:], h[-NEAR:]]
+        i = np.arange(max(NEAR + 1, len(kept[0])), len(band))
+        i = i[band[i] == band[i - NEAR - 1]]
+        crowd = np.unique(np.concatenate([i - lag for lag in range(NEAR + 2)]))
+        kept = [band[-NEAR - 1 :], h[-NEAR - 1 :]]
         pair = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+        of = np.concatenate((np.zeros(len(pair), np.int64), band[crowd]))
+        single = np.arange(len(of)) >= len(pair)
+        other = np.concatenate((pair[:, 1], np.zeros(len(crowd), np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((pair[:, 0], h[crowd]))), pa.array(other, mask=single), pa.array(of, mask=~single)], ["a", "b", "band"])
 
 
 def _cut_out(batches: Batches) -> Batches:
@@ -145,8 +152,9 @@ def remove_repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: st
     nearly), ``n_removed, kept_text, kept_sha256``.
 
     Two paragraphs are linked if they are the same words (A-Z lower-cased), or if their distinct shingles of five words have a
-    likeness of 0.75 or more and they are in one candidate cluster: those that meet in a band, near each other, and are alike by
-    a half at least are chained, and within a cluster all are compared exactly (``linked_in_clusters``), however many they are.
+    likeness of 0.75 or more and they meet in a band or are in one candidate cluster: those that meet in a band, near each other, and
+    are alike by a half at least are chained, and within a cluster all are compared exactly (``linked_in_clusters``), however many
+    they are. The paragraphs of a crowded band that such chains leave apart are one more cluster, so none that meet are missed.
     Linked ones form a group, of which the first place stays (by numeric id, hash of the text, offset) and all others are
     removed. Paragraphs of fewer than ``MIN_WORDS`` words stay.
 
@@ -156,8 +164,9 @@ def remove_repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: st
     """
     rows = keyed(docs, doc_id, text)
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = rows.mapInArrow(_banded, "band long, h long").repartition(width, "band").sortWithinPartitions("band", "h").mapInArrow(_colliding, "a long, b long")
-    pairs = table(pairs.distinct(), "paragraph-pairs")
+    pairs = rows.mapInArrow(_banded, "band long, h long").repartition(width, "band").sortWithinPartitions("band", "h").mapInArrow(_colliding, "a long, b long, band long")
+    met = table(pairs.distinct(), "paragraph-pairs")
+    pairs, crowded = met.filter("band is null").select("a", "b"), met.filter("band is not null")
     places = rows.mapInArrow(_places, "k2 long, k1 long, h long, start long, stop long")
     near = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
     again = places.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
@@ -171,7 +180,8 @@ def remove_repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: st
     name = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
     sets = cut.select(name("h").alias("node"), (F.length("bytes") / 6).cast("long").alias("n_shingles"))  # about; it only sizes blocks
     texts_of = lambda nodes: cut.select(name("h").alias("node"), F.col("bytes").alias("text")).join(nodes, "node")
-    labels = linked_in_clusters(loose.select(name("a").alias("a"), name("b").alias("b")), sets, texts_of)
+    groups = crowded.select(F.concat(F.lit(b"band"), name("band")).alias("group"), name("a").alias("node"))
+    labels = linked_in_clusters(loose.select(name("a").alias("a"), name("b").alias("b")), sets, texts_of, groups)
     number = lambda c: F.conv(F.hex(c), 16, -10).cast("long").alias(c)
     labels = labels.select(number("node"), number("component"))
     cluster = F.coalesce("component", "h").alias("cluster")
