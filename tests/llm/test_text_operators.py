@@ -265,6 +265,31 @@ def test_long_texts_are_signed_in_pieces(monkeypatch):
     assert (near_dedup.signature(sets) == np.array([((sets * s).min() >> np.uint64(32)) for s in near_dedup._SEEDS], np.uint32)).all()
 
 
+def test_short_texts_are_hashed_together(monkeypatch):
+    """Paragraphs and shingles of many texts at once are those of each alone, and a batch takes few passes over its words, not one a text."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(40)] + ["End.", "what?", "x\n", "\n\n", "É", "Stop!"]
+    texts = [" ".join(rng.choices(words, k=rng.choice((0, 1, 4, 5, 12, 90)))) for _ in range(600)]
+    texts = [t.encode() for t in ["", " ", "\n", "a", "a b c d", *texts, "w1 " * 300, ""]]
+    many = paragraph_dedup.paragraphs_of(texts)
+    for i, text in enumerate(texts):
+        own, start, stop, _, _, n = paragraph_dedup.paragraphs(text)
+        here = many[5] == i
+        assert (many[0][here] == own).all() and (many[1][here] == start).all() and (many[2][here] == stop).all() and many[6][i] == n
+    for got, text in zip(common.shingle_sets([None, *texts]), [b"", *texts], strict=True):
+        want = common.shingle_hashes(common._words(text)[0])
+        assert got.dtype == want.dtype and len(got) == len(want) and (got == want).all()
+
+    passes, hashed = [], common._words
+    monkeypatch.setattr(common, "_words", lambda text: passes.append(len(text)) or hashed(text))
+    rows = pa.RecordBatch.from_pydict({"k2": range(len(texts)), "k1": range(len(texts)), "text": [t.decode() for t in texts]})
+    for step in (paragraph_dedup._places, paragraph_dedup._banded):
+        list(step([rows]))
+    pairs = pa.RecordBatch.from_pydict({"a": range(len(texts)), "b": range(len(texts)), "xa": texts, "xb": texts[::-1]})
+    list(paragraph_dedup._loosely_alike([pairs]))
+    assert len(passes) < 20  # 600 a step, if text by text
+
+
 def test_near_duplicates_odd(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r["component_id"] for r in got if r["doc_id"] in (1, 2)} == {1}

@@ -163,3 +163,62 @@ def text_shingles(text: bytes, size: int = 5) -> np.ndarray:
             found.append(shingle_hashes(last, size))
             last = last[len(last) - size + 1 :]
     return shingle_hashes(last, size) if n < size else np.unique(np.concatenate(found))
+
+
+#: Bytes of texts whose words are taken at once: the arrays stay in a core's cache.
+JOINED = 1 << 17
+
+
+def joined(texts: list[bytes | None]) -> Iterator[list[bytes]]:
+    """The texts, null as empty, in lists of about ``JOINED`` bytes, a text at least."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t or b"")
+        size += len(some[-1])
+        if size >= JOINED or len(some) == 1 << 15:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``words`` of several texts, one after the other with a line end between: hash, start and end of each word; the number of its
+    text; the first byte of each text."""
+    base = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    h, start, end = words(b"\n".join(texts))
+    return h, start, end, np.searchsorted(base, start, "right") - 1, base
+
+
+def by_owner(value: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Order by owner (a number from 0), then value."""
+    order = np.argsort(value)
+    small = owner.astype(np.min_scalar_type(owner.max(initial=0)))  # sorted by its digits
+    return order[np.argsort(small[order], kind="stable")]
+
+
+def shingle_sets(texts: list[bytes | None], size: int = 5) -> Iterator[np.ndarray]:
+    """``text_shingles`` of each text, in order; short texts are hashed together."""
+    for some in joined(texts):
+        if len(some) == 1 or len(some[-1]) >= JOINED:  # a long text is the last of its list
+            some, last = some[:-1], some[-1]
+        else:
+            last = None
+        if some:
+            h, _, _, of, _ = words_of(some)
+            n = np.bincount(of, minlength=len(some))
+            first = np.cumsum(n) - n
+            value = np.full(max(0, len(h) - size + 1), size, np.uint64)
+            for i in range(size):
+                value = value * np.uint64(0xD1342543DE82EF95) + h[i : i + len(value)]
+            whole = of[: len(value)] == of[size - 1 :][: len(value)]
+            value, of = mix(value[whole]), of[: len(value)][whole]
+            order = by_owner(value, of)
+            value, of = value[order], of[order]
+            new = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1]))[: len(value)]
+            value, of = value[new], of[new]
+            ends = np.cumsum(np.bincount(of, minlength=len(some))).tolist()
+            for i, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+                yield value[a:b] if n[i] >= size else shingle_hashes(h[first[i] : first[i] + n[i]], size)
+        if last is not None:
+            yield text_shingles(last, size)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import Batches, fresh, mix, raw_texts, table, text_shingles, with_columns_in_arrow
+from walkgrid.llm.common import Batches, fresh, mix, raw_texts, shingle_sets, table, text_shingles, with_columns_in_arrow
 from walkgrid.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
@@ -142,12 +142,12 @@ def _blocks(batches: Batches) -> Batches:
     key, rows = None, []
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("cluster", "x", "y", "node", "label", "seeks")]
-        for c, x, y, node, label, seeks, text in zip(*cols, raw_texts(batch.column("text")), strict=True):  # texts go, sets stay
+        for c, x, y, node, label, seeks, shingles in zip(*cols, shingle_sets(raw_texts(batch.column("text")), SHINGLE), strict=True):  # texts go, sets stay
             if (c, x, y) != key:
                 if len(rows) > 1:
                     yield done(rows)
                 key, rows = (c, x, y), []
-            rows.append(((c, x, y), node, label.hex(), text_shingles(text, SHINGLE), seeks))
+            rows.append(((c, x, y), node, label.hex(), shingles, seeks))
     if len(rows) > 1:
         yield done(rows)
 

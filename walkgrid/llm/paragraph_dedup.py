@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walkgrid.llm.common import Batches, keyed, mix, powers, raw_texts, shingle_hashes, table, word_hashes, words
+from walkgrid.llm.common import JOINED, Batches, by_owner, joined, keyed, mix, powers, raw_texts, shingle_sets, slices, table, words_of
 from walkgrid.llm.near_dedup import linked_in_clusters
 
 SHINGLE = 5
@@ -30,14 +30,14 @@ NEAR, LOOSE = 3, 50
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
-def paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Hash, start and end byte of each paragraph of ``MIN_WORDS`` or more; the words' hashes, the paragraphs' first and last
-    words as an array of pairs, and the number of all paragraphs."""
-    h, start, end = words(text)
+def paragraphs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end byte (in its text) of each paragraph of ``MIN_WORDS`` or more of some texts; the words' hashes, the paragraphs'
+    first and last words as an array of pairs, the number of each one's text, and the number of all paragraphs of each text."""
+    h, start, end, text_of, base = words_of(texts)
     if not len(h):
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, h, np.empty((0, 2), np.int64), 0
-    raw = np.frombuffer(text, np.uint8)
+        return np.empty(0, np.uint64), none, none, h, np.empty((0, 2), np.int64), none, np.zeros(len(texts), np.int64)
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)  # a line end between texts, so no paragraph is of two
     lines = np.concatenate(([0], np.cumsum(raw == 10)))
     last = raw[end[:-1] - 1]
     opens = np.concatenate(([True], (lines[start[1:]] > lines[end[:-1]]) | (last == 46) | (last == 33) | (last == 63)))
@@ -46,46 +46,63 @@ def paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         opens |= np.repeat(size > LONG, size) & (h % np.uint64(CUT) == 0)
     first = np.flatnonzero(opens)
     stop = np.append(first[1:], len(h))
-    n = len(first)
+    n = np.bincount(text_of[first], minlength=len(texts))
     long_enough = stop - first >= MIN_WORDS
     first, stop = first[long_enough], stop[long_enough]
     up, down = powers(len(h) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)])))
     own = mix((total[stop] - total[first]) * down[first] + (stop - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return own, start[first], end[stop - 1], h, np.stack((first, stop), 1), n
+    of = text_of[first]
+    return own, start[first] - base[of], end[stop - 1] - base[of], h, np.stack((first, stop), 1), of, n
+
+
+def paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """``paragraphs_of`` one text, without the number of the text."""
+    own, start, stop, h, span, _, n = paragraphs_of([text])
+    return own, start, stop, h, span, int(n[0])
 
 
 def _places(batches: Batches) -> Batches:
     """``k2, k1, h, start, stop`` of every paragraph."""
     for batch in batches:
-        found = [paragraphs(t or b"") for t in raw_texts(batch.column("text"))]
+        found, row = [], 0
+        for texts in joined(raw_texts(batch.column("text"))):
+            own, start, stop, _, _, of, _ = paragraphs_of(texts)
+            found.append((own.view(np.int64), start, stop, of + row))
+            row += len(texts)
         if found:
-            of = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-            h, start, stop = (np.concatenate([f[i] for f in found]) for i in range(3))
-            yield pa.RecordBatch.from_arrays([batch.column("k2").take(of), batch.column("k1").take(of), pa.array(h.view(np.int64)), pa.array(start), pa.array(stop)], ["k2", "k1", "h", "start", "stop"])
+            h, start, stop, of = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column("k2").take(pa.array(of)), batch.column("k1").take(pa.array(of)), pa.array(h), pa.array(start), pa.array(stop)], ["k2", "k1", "h", "start", "stop"])
+
+
+def _bands(h: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The bands (a row each) of the paragraphs at ``span`` of the words ``h``."""
+    shingle = np.zeros(len(h) - SHINGLE + 1, np.uint64)
+    for i in range(SHINGLE):
+        shingle = shingle * np.uint64(0xD1342543DE82EF95) + h[i : len(h) - SHINGLE + 1 + i]
+    n = span[:, 1] - span[:, 0] - SHINGLE + 1
+    first = np.cumsum(n) - n
+    shingle = mix(shingle[np.arange(n.sum()) + np.repeat(span[:, 0] - first, n)])  # paragraph by paragraph, none between
+    bands = np.zeros((BANDS, len(span)), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.uint64(0x632BE59BD9B4E019)
+    for b in range(BANDS):
+        for r in range(ROWS):
+            bands[b] = mix(bands[b] + (np.minimum.reduceat(shingle * _SEEDS[b * ROWS + r], first) >> np.uint64(24)))
+    return bands
 
 
 def _banded(batches: Batches) -> Batches:
     """``band, h`` of the paragraphs of a batch, each different one once."""
     for batch in batches:
-        found = [f for f in (paragraphs(t or b"") for t in raw_texts(batch.column("text"))) if len(f[0])]
+        found = [f for f in map(paragraphs_of, joined(raw_texts(batch.column("text")))) if len(f[0])]
         if not found:
             continue
-        shift = np.cumsum([0, *(len(f[3]) for f in found[:-1])])
         own, at = np.unique(np.concatenate([f[0] for f in found]), return_index=True)
-        span = np.concatenate([f[4] + s for f, s in zip(found, shift, strict=True)])[at]
-        h = np.concatenate([f[3] for f in found])
-        shingle = np.zeros(len(h) - SHINGLE + 1, np.uint64)
-        for i in range(SHINGLE):
-            shingle = shingle * np.uint64(0xD1342543DE82EF95) + h[i : len(h) - SHINGLE + 1 + i]
-        shingle = np.append(mix(shingle), ~np.uint64(0))
-        order = np.argsort(span[:, 0], kind="stable")
-        ends = np.stack((span[order, 0], span[order, 1] - SHINGLE + 1), 1).reshape(-1)
-        bands = np.zeros((BANDS, len(own)), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.uint64(0x632BE59BD9B4E019)
-        for b in range(BANDS):
-            for r in range(ROWS):
-                bands[b] = mix(bands[b] + (np.minimum.reduceat(shingle * _SEEDS[b * ROWS + r], ends)[::2] >> np.uint64(24)))
-        yield pa.RecordBatch.from_arrays([pa.array(bands.reshape(-1).view(np.int64)), pa.array(np.tile(own[order], BANDS).view(np.int64))], ["band", "h"])
+        ends = np.cumsum([0, *(len(f[0]) for f in found)])
+        order = np.argsort(at)
+        own, at = own[order], at[order]
+        cuts = np.searchsorted(at, ends)
+        bands = [_bands(f[3], f[4][at[lo:hi] - begin]) for f, begin, lo, hi in zip(found, ends, cuts, cuts[1:], strict=False) if hi > lo]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands, 1).reshape(-1).view(np.int64)), pa.array(np.tile(own, BANDS).view(np.int64))], ["band", "h"])
 
 
 def _colliding(batches: Batches) -> Batches:
@@ -120,31 +137,43 @@ def _cut_out(batches: Batches) -> Batches:
 
 
 def _loosely_alike(batches: Batches) -> Batches:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
-            a, b = shingle_hashes(word_hashes(x), SHINGLE), shingle_hashes(word_hashes(y), SHINGLE)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= LOOSE * (len(a) + len(b) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    for whole in batches:
+        for batch in slices(whole, "xa", JOINED):
+            sets = list(shingle_sets(batch.column("xa").to_pylist() + batch.column("xb").to_pylist(), SHINGLE))
+            if not sets:
+                continue
+            n = np.array([len(s) for s in sets]).reshape(2, -1)
+            value, pair = np.concatenate(sets), np.repeat(np.tile(np.arange(batch.num_rows), 2), n.reshape(-1))
+            order = by_owner(value, pair)
+            value, pair = value[order], pair[order]
+            both = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])  # a set has a value once
+            common = np.bincount(pair[1:][both], minlength=batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array(100 * common >= LOOSE * (n.sum(0) - common)))
 
 
 def _remove(batches: Batches) -> Batches:
     """Texts without the paragraphs to go; a kept line end stays where it was."""
     for batch in batches:
-        out = []
-        for raw, parts in zip(raw_texts(batch.column("text")), batch.column("parts").to_pylist(), strict=True):
+        raws, parts = raw_texts(batch.column("text")), batch.column("parts")
+        n = np.concatenate([np.empty(0, np.int64), *(paragraphs_of(texts)[6] for texts in joined(raws))])
+        start, stop, off = (parts.values.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("start", "stop", "gone"))
+        at_part = parts.offsets.to_numpy().tolist()
+        repeated, removed, left, digest = [], [], [], []
+        for raw, lo, hi in zip(raws, at_part, at_part[1:], strict=False):
             text, at, kept, gone = raw or b"", 0, [], 0
-            places = {(p["start"], p["stop"]): p["gone"] for p in parts or ()}
-            for (start, stop), off in sorted(places.items()):
-                if off:
-                    kept.append(text[at:start])
-                    at, gone = stop, gone + 1
-            own = b"".join([*kept, text[at:]])
-            out.append((paragraphs(text)[5], len(places), gone, None if raw is None else own.decode(), None if raw is None else hashlib.sha256(own).hexdigest()))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        cols = list(zip(*out, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n_paragraphs", "n_repeated", "n_removed", "kept_text", "kept_sha256"])
+            places = dict(zip(zip(start[lo:hi], stop[lo:hi], strict=True), off[lo:hi], strict=True))
+            for (begin, end), away in sorted(places.items()):
+                if away:
+                    kept.append(text[at:begin])
+                    at, gone = end, gone + 1
+            own = b"".join([*kept, text[at:]]) if gone else text
+            repeated.append(len(places))
+            removed.append(gone)
+            left.append(None if raw is None else own)
+            digest.append(None if raw is None else hashlib.sha256(own).hexdigest())
+        counts = [pa.array(c, pa.int64()) for c in (n, repeated, removed)]
+        texts = pa.array(left, pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, texts, pa.array(digest, pa.string())], ["doc_id", "n_paragraphs", "n_repeated", "n_removed", "kept_text", "kept_sha256"])
 
 
 def remove_repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,7 +196,7 @@ def remove_repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: st
     pairs = rows.mapInArrow(_banded, "band long, h long").repartition(width, "band").sortWithinPartitions("band", "h").mapInArrow(_colliding, "a long, b long, band long")
     met = table(pairs.distinct(), "paragraph-pairs")
     pairs, crowded = met.filter("band is null").select("a", "b"), met.filter("band is not null")
-    places = rows.mapInArrow(_places, "k2 long, k1 long, h long, start long, stop long")
+    places = table(rows.mapInArrow(_places, "k2 long, k1 long, h long, start long, stop long"), "paragraph-places")
     near = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
     again = places.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     found = table(places.join(table(again.union(near).distinct(), "paragraph-again"), "h"), "paragraph-found")
