@@ -139,3 +139,22 @@ def test_no_row_is_made_for_a_pair_of_positions(spark, monkeypatch, mode):
         check(got, brute(a, b, 1465.0))
     assert all(set(g) == set(CATEGORIES[:2]) for g in got.values())
     assert sum(m.count() for m in made) == len(a)
+
+
+def test_all_levels_meet_in_one_pass_of_few_tasks(spark, monkeypatch):
+    """Several levels under 64 shuffle partitions: one shuffle, and as many tasks as the size of the rows asks for."""
+    made = []
+    met = module._met
+    monkeypatch.setattr(module, "_met", lambda *args: made.append(met(*args)) or made[-1])
+    rng = random.Random(13)
+    a = [(i, *p) for i, p in enumerate(points(rng, 200, 45.5, -73.6, 0.004) + points(rng, 60, 45.5, -73.6, 0.0001))]
+    b = [(CATEGORIES[i % 6], *p) for i, p in enumerate(points(rng, 300, 45.5, -73.6, 0.004) + points(rng, 60, 45.5, -73.6, 0.0001))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = run(spark, a, b, max_product=16)
+        tasks = sum(m.rdd.getNumPartitions() for m in made)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    check(got, brute(a, b, 1465.0))
+    assert len(made) == 1 and tasks <= 8

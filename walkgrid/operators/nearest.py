@@ -13,7 +13,8 @@ Plan of both modes:
    Nothing is capped: splitting only ever replaces a pair by all of its parts.
 4. The small pairs meet the positions by equi-join: the rows of a cell of addresses stand together, its own positions first,
    then those of the amenity cells it is paired with, as short arrays. Distances are taken array by array, so no row is made
-   for a pair of positions; the minimum per position and category is one aggregate over a row a position.
+   for a pair of positions; the minimum per position and category is one aggregate over a row a position. All levels share one
+   shuffle and one pass, so the number of tasks does not grow with the levels.
 """
 
 from __future__ import annotations
@@ -85,10 +86,6 @@ def _cells(points: DataFrame, side: str, side_len: float, level: int) -> DataFra
     )
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _pruned(pairs: DataFrame, radius: float | None) -> DataFrame:
     """Keep the pairs that can hold an address's nearest amenity.
 
@@ -110,8 +107,8 @@ def _pruned(pairs: DataFrame, radius: float | None) -> DataFrame:
     slack = 1.0 + 1e-9  # rounding of the bounds themselves
     if radius is not None:
         bounded = bounded.filter(c("lower") <= _chord(radius) ** 2 * slack)
-    # one shuffle serves the window, keeps the session's parallelism and sets the layout of the written pairs
-    bounded = bounded.repartition(_partitions(pairs), *A_CELL)
+    # one shuffle serves the window and sets the layout of the written pairs, in as many files as their size asks for
+    bounded = bounded.repartition(*A_CELL)
     best = F.min("upper").over(Window.partitionBy(*A_CELL, "cat"))
     return (
         bounded.withColumn("best", best)
@@ -155,7 +152,7 @@ def _least_chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by cell and category, the cell's own positions first (category 0): least squared chords of each position."""
+    """Of rows sorted by level, cell and category, the cell's own positions first (category 0): least squared chords of each position."""
     names = ["lat", "lng", *CATEGORIES]
     cell, own, least = None, np.empty((5, 0)), {}
 
@@ -170,7 +167,7 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column(c).to_numpy() for c in [*A_CELL, "cat"]])
+        keys = np.stack([batch.column(c).to_numpy() for c in ["level", *A_CELL, "cat"]])
         points = np.stack([batch.column(f"u{x}").flatten().to_numpy() for x in AXES])
         places = np.stack([batch.column(c).flatten().to_numpy() for c in ("lat", "lng")])
         ends = batch.column("ux").offsets.to_numpy().astype(np.int64)
@@ -192,8 +189,8 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of(done())
 
 
-def _met(seekers: DataFrame, targets: DataFrame, small: DataFrame, side_len: float, level: int) -> DataFrame:
-    """(lat, lng, <category>...) least squared chords over the ``small`` pairs of cells of ``level``; null without a pair."""
+def _meeting(seekers: DataFrame, targets: DataFrame, small: DataFrame, side_len: float, level: int) -> DataFrame:
+    """Rows of arrays that meet by cell: the positions of cells of ``level``, and those of the cells they are paired with in ``small``."""
     axes = [f"u{x}" for x in AXES]
     b_cell = ["cat", *B_CELL]
     b = _with_sub_cells(targets, "b", side_len, level).join(small.select(*b_cell).distinct(), b_cell, "left_semi")
@@ -207,7 +204,12 @@ def _met(seekers: DataFrame, targets: DataFrame, small: DataFrame, side_len: flo
     own = _with_sub_cells(seekers, "a", side_len, level).select(
         *A_CELL, F.lit(0).alias("cat"), *[F.array(c).alias(c) for c in ("lat", "lng", *axes)]
     )
-    rows = own.unionByName(met).repartition(_partitions(small), *A_CELL).sortWithinPartitions(*A_CELL, "cat")
+    return own.unionByName(met).withColumn("level", F.lit(level))
+
+
+def _met(meeting: list[DataFrame]) -> DataFrame:
+    """(lat, lng, <category>...) least squared chords at each level, null without a pair: one shuffle and one pass for all levels."""
+    rows = reduce(DataFrame.unionByName, meeting).repartition("level", *A_CELL).sortWithinPartitions("level", *A_CELL, "cat")
     return rows.mapInArrow(_by_cell, ", ".join(f"{c} double" for c in ("lat", "lng", *CATEGORIES)))
 
 
@@ -215,22 +217,22 @@ def _closest(
     seekers: DataFrame, targets: DataFrame, pairs: DataFrame, side_len: float, radius: float | None, max_product: int
 ) -> DataFrame:
     """(lat, lng, dist_<category>...) of the least distance per address position over its candidate groups."""
-    candidates = []
+    meeting = []
     level = 0
     while True:
         small = F.col("product") <= max_product if level < _last_level(side_len) else F.lit(True)
         seen = Observation()  # counted while the pairs are written, so asking costs no job
         pairs = materialize(_pruned(pairs, radius).observe(seen, F.count_if(small).alias("small"), F.count_if(~small).alias("crowded")), "nearest-pairs")
         last = seen.get["crowded"] == 0
-        if seen.get["small"] or (last and not candidates):
-            candidates.append(_met(seekers, targets, pairs.filter(small), side_len, level))
+        if seen.get["small"] or (last and not meeting):
+            meeting.append(_meeting(seekers, targets, pairs.filter(small), side_len, level))
         if last:
             break
         deep = pairs.filter(~small)
         seekers, targets = _inside(seekers, deep, "a", A_GROUP, side_len, level), _inside(targets, deep, "b", ["cat", *B_GROUP], side_len, level)
         pairs = _split(deep, seekers, targets, side_len, level)
         level += 1
-    least = reduce(DataFrame.unionByName, candidates).groupBy("lat", "lng").agg(*[F.min(c).alias(c) for c in CATEGORIES])
+    least = _met(meeting).groupBy("lat", "lng").agg(*[F.min(c).alias(c) for c in CATEGORIES])
 
     found = least.select("lat", "lng", *[arc_of(F.sqrt(c) / 2).alias(f"dist_{c}") for c in CATEGORIES])
     if radius is not None:
