@@ -168,10 +168,8 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         keys = np.stack([batch.column(c).to_numpy() for c in ["level", *A_CELL, "cat"]])
-        points = np.stack([batch.column(f"u{x}").flatten().to_numpy() for x in AXES])
-        places = np.stack([batch.column(c).flatten().to_numpy() for c in ("lat", "lng")])
-        ends = batch.column("ux").offsets.to_numpy().astype(np.int64)
-        place_ends = batch.column("lat").offsets.to_numpy().astype(np.int64)
+        values = batch.column("some").flatten().to_numpy()
+        ends = batch.column("some").offsets.to_numpy().astype(np.int64)
         first = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
         found = []
         for lo, hi in zip(first, np.append(first[1:], batch.num_rows), strict=True):
@@ -179,31 +177,28 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if at != cell:
                 found += done()
                 cell, own, least = at, np.empty((5, 0)), {}
-            some = points[:, ends[lo] - ends[0] : ends[hi] - ends[0]]
+            some = values[ends[lo] - ends[0] : ends[hi] - ends[0]]
             if cat == 0:
-                own = np.hstack((own, np.vstack((places[:, place_ends[lo] - place_ends[0] : place_ends[hi] - place_ends[0]], some))))
+                own = np.hstack((own, some.reshape(-1, 5).T))
             elif own.shape[1]:
-                met = _least_chords(own[2:], some)
+                met = _least_chords(own[2:], np.ascontiguousarray(some.reshape(-1, 3).T))
                 least[cat] = np.fmin(least[cat], met) if cat in least else met
         yield batch_of(found)
     yield batch_of(done())
 
 
 def _meeting(seekers: DataFrame, targets: DataFrame, small: DataFrame, side_len: float, level: int) -> DataFrame:
-    """Rows of arrays that meet by cell: the positions of cells of ``level``, and those of the cells they are paired with in ``small``."""
+    """One array of numbers a row, to meet by cell of ``level``: each position of the cells of addresses in ``small`` pairs (category 0:
+    lat, lng and the three axes), and those of the cells they are paired with (the three axes, position by position)."""
     axes = [f"u{x}" for x in AXES]
     b_cell = ["cat", *B_CELL]
     b = _with_sub_cells(targets, "b", side_len, level).join(small.select(*b_cell).distinct(), b_cell, "left_semi")
-    packed = b.groupBy(*b_cell).agg(F.collect_list(F.struct(*axes)).alias("all"))  # of cells in small pairs: as bounded as these
+    packed = b.groupBy(*b_cell).agg(F.collect_list(F.array(*axes)).alias("all"))  # of cells in small pairs: as bounded as these
     begins = F.sequence(F.lit(1), F.size("all"), F.lit(PACK))
-    packed = packed.select(*b_cell, F.explode(F.transform(begins, lambda i: F.slice("all", i, PACK))).alias("some"))
-    none = F.array().cast("array<double>")
-    met = small.select(*A_CELL, *b_cell).join(packed, b_cell).select(
-        *A_CELL, "cat", none.alias("lat"), none.alias("lng"), *[F.col("some")[x].alias(x) for x in axes]
-    )
-    own = _with_sub_cells(seekers, "a", side_len, level).select(
-        *A_CELL, F.lit(0).alias("cat"), *[F.array(c).alias(c) for c in ("lat", "lng", *axes)]
-    )
+    packed = packed.select(*b_cell, F.explode(F.transform(begins, lambda i: F.flatten(F.slice("all", i, PACK)))).alias("some"))
+    met = small.select(*A_CELL, *b_cell).join(packed, b_cell).select(*A_CELL, "cat", "some")
+    a = _with_sub_cells(seekers, "a", side_len, level).join(small.select(*A_CELL).distinct(), A_CELL, "left_semi")
+    own = a.select(*A_CELL, F.lit(0).alias("cat"), F.array("lat", "lng", *axes).alias("some"))
     return own.unionByName(met).withColumn("level", F.lit(level))
 
 
